@@ -228,3 +228,76 @@ IVR_QUERIES: dict[str, Query] = {
 }
 
 ALL_QUERIES: dict[str, Query] = {**IVR_QUERIES}
+
+
+# --- table model and validation (V1-V8) over the driver's tables --------------------
+from ..operators import validate  # noqa: E402
+from ..sources.bindings import modules_from_lineitem  # noqa: E402
+from ..sources.model import TPCH_MODEL  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+NOT_NULL_DETAIL_COLS = ["calls_vdn_label", "module_sequece", "step_sequence", "document_type",
+                        "customer_phone", "step_description_error"]
+LENGTH_LIMITS_DETAIL = {"calls_phone_number": 2, "document_identification": 3,
+                        "billing_account_id": 4, "step_name": 20}
+
+
+def _q_check_not_null(spark, d):
+    return validate.check_not_null(detail(spark, d), NOT_NULL_DETAIL_COLS)
+
+
+def _q_check_unique(spark, d):
+    return validate.check_unique(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _q_check_primary_key(spark, d):
+    return validate.check_unique(read_table(spark, d, "orders"), ["o_orderkey"], allow_null=False)
+
+
+def _q_check_foreign_key(spark, d):
+    # orders whose key has no line item (the reverse of the declared direction)
+    return validate.check_foreign_key(read_table(spark, d, "orders"), ["o_orderkey"],
+                                      read_table(spark, d, "lineitem"), ["l_orderkey"])
+
+
+def _q_check_foreign_key_lineitem(spark, d):
+    return validate.check_foreign_key(read_table(spark, d, "lineitem"), ["l_orderkey"],
+                                      read_table(spark, d, "orders"), ["o_orderkey"])
+
+
+def _q_check_domain(spark, d):
+    return validate.check_domain(read_table(spark, d, "events"), "event_type",
+                                 ["click", "view", "purchase"])
+
+
+def _q_check_length(spark, d):
+    return validate.check_length(detail(spark, d), LENGTH_LIMITS_DETAIL)
+
+
+def _q_assign_key(spark, d):
+    mods = modules_from_lineitem(read_table(spark, d, "lineitem"))
+    return validate.assign_key(mods, "module_id",
+                               ["ivr_id", "module_sequece", "module_name", "module_result"])
+
+
+def _q_validate_model(spark, d):
+    tables = {t.name: read_table(spark, d, t.name) for t in TPCH_MODEL}
+    for spec in TPCH_MODEL:
+        for fk in spec.foreign_keys:
+            tables.setdefault(fk.parent, read_table(spark, d, fk.parent))
+    return validate.validate_model(tables, TPCH_MODEL)
+
+
+MODEL_QUERIES: dict[str, Query] = {
+    "check_not_null": _q_check_not_null,
+    "check_unique": _q_check_unique,
+    "check_primary_key": _q_check_primary_key,
+    "check_foreign_key": _q_check_foreign_key,
+    "check_foreign_key_lineitem": _q_check_foreign_key_lineitem,
+    "check_domain": _q_check_domain,
+    "check_length": _q_check_length,
+    "assign_key": _q_assign_key,
+    "validate_model": _q_validate_model,
+}
+
+ALL_QUERIES.update(MODEL_QUERIES)

@@ -290,3 +290,85 @@ FROM number_documents_in_call GROUP BY 1""",
 }
 
 ALL_ORACLES: dict[str, str] = {**IVR_ORACLES}
+
+
+# --- table model and validation ----------------------------------------------------
+def _model_sql(model) -> str:
+    parts = []
+
+    def head(t, rule, cols):
+        return f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{cols}' AS columns, "
+
+    def anynull(cols):
+        return " OR ".join(f"{c} IS NULL" for c in cols)
+
+    for spec in model:
+        t = spec.name
+        keys = ([(spec.primary_key, True)] if spec.primary_key else []) + [(u, False) for u in spec.unique]
+        for cols, primary in keys:
+            cl = ", ".join(cols)
+            dup = f"WHEN NOT ({anynull(cols)}) AND n > 1 THEN n - 1"
+            expr = (f"CASE WHEN {anynull(cols)} THEN n {dup} ELSE 0 END" if primary
+                    else f"CASE {dup} ELSE 0 END")
+            parts.append(head(t, "primary_key" if primary else "unique", ",".join(cols))
+                         + f"CAST(COALESCE(SUM({expr}), 0) AS BIGINT) AS violations "
+                         + f"FROM (SELECT {cl}, COUNT(*) AS n FROM {t} GROUP BY {cl}) g")
+        for fk in spec.foreign_keys:
+            on = " AND ".join(f"p.{pc} = c.{cc}" for cc, pc in zip(fk.columns, fk.parent_columns))
+            nn = " AND ".join(f"c.{cc} IS NOT NULL" for cc in fk.columns)
+            label = f"{','.join(fk.columns)}->{fk.parent}({','.join(fk.parent_columns)})"
+            parts.append(head(t, "foreign_key", label)
+                         + f"CAST(COUNT(*) AS BIGINT) AS violations FROM {t} c WHERE {nn} "
+                         + f"AND NOT EXISTS (SELECT 1 FROM {fk.parent} p WHERE {on})")
+        for c in spec.not_null:
+            parts.append(head(t, "not_null", c)
+                         + f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {t}")
+        for d in spec.domains:
+            allowed = ", ".join(f"'{a.lower()}'" for a in d.allowed)
+            parts.append(head(t, "check", d.column)
+                         + f"CAST(COUNT(*) FILTER (WHERE {d.column} IS NOT NULL AND lower({d.column}) "
+                         + f"NOT IN ({allowed})) AS BIGINT) AS violations FROM {t}")
+        for c, n in spec.max_lengths.items():
+            parts.append(head(t, "max_length", f"{c}({n})")
+                         + f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _tpch_model():
+    import os
+    import sys
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+    from dialtone.sources.model import TPCH_MODEL
+    return TPCH_MODEL
+
+
+NOT_NULL_DETAIL_COLS = ["calls_vdn_label", "module_sequece", "step_sequence", "document_type",
+                        "customer_phone", "step_description_error"]
+LENGTH_LIMITS_DETAIL = {"calls_phone_number": 2, "document_identification": 3,
+                        "billing_account_id": 4, "step_name": 20}
+
+MODEL_ORACLES = {
+    "check_not_null": ivr("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM det"
+        for c in NOT_NULL_DETAIL_COLS)),
+    "check_unique": """SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "check_primary_key": """SELECT o_orderkey, COUNT(*) AS n FROM orders GROUP BY 1
+HAVING o_orderkey IS NULL OR COUNT(*) > 1""",
+    "check_foreign_key": """SELECT * FROM orders o WHERE o.o_orderkey IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "check_foreign_key_lineitem": """SELECT * FROM lineitem l WHERE l.l_orderkey IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)""",
+    "check_domain": """SELECT * FROM events WHERE event_type IS NOT NULL
+AND lower(event_type) NOT IN ('click', 'view', 'purchase')""",
+    "check_length": ivr("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {n} AS max_length, "
+        f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM det"
+        for c, n in LENGTH_LIMITS_DETAIL.items())),
+    "assign_key": ivr("""SELECT *, ROW_NUMBER() OVER (ORDER BY ivr_id, module_sequece, module_name,
+  module_result) AS module_id FROM mods"""),
+    "validate_model": _model_sql(_tpch_model()),
+}
+
+ALL_ORACLES.update(MODEL_ORACLES)
