@@ -69,7 +69,12 @@ def _bucketed_neighbours(base: DataFrame, key: str, entity: str, ts: str,
         F.lag(ts).over(w_in).alias("_prev_in"), F.lead(ts).over(w_in).alias("_next_in"),
         F.lag(F.lit(1)).over(w_in).isNull().alias("_first"),
         F.lead(F.lit(1)).over(w_in).isNull().alias("_last"))
-    per_bucket = r.groupBy(*pk).agg(F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"))
+    # Bucket bounds from the window output itself: the first row holds the
+    # smallest start, the last row the largest. Grouping by the window's own
+    # partition keys needs no new exchange, and depending on the window keeps
+    # the optimizer from re-deriving this table from the raw input.
+    per_bucket = r.groupBy(*pk).agg(F.max(F.when(F.col("_first"), F.col(ts))).alias("_bmin"),
+                                    F.max(F.when(F.col("_last"), F.col(ts))).alias("_bmax"))
     # One row per (phone, bucket): NULL buckets first, like NULL starts.
     w_b = Window.partitionBy("_en", "_ev").orderBy(F.col("_bn").desc(), F.col("_bv").asc())
     edges = per_bucket.select(*pk, F.lag("_bmax").over(w_b).alias("_prev_b"),

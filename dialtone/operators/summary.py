@@ -79,18 +79,28 @@ def _select_summary(df: DataFrame) -> DataFrame:
 
 
 def build_summary(detail: DataFrame, method: str = "max", form: str = "fused",
-                  skew_safe: bool = True, key: str = KEY) -> DataFrame:
-    """S3 (method='max') and S4 (method='best_row') summary tables, 20 columns."""
+                  skew_safe: bool = True, key: str = KEY,
+                  calls: DataFrame | None = None) -> DataFrame:
+    """S3 (method='max') and S4 (method='best_row') summary tables, 20 columns.
+
+    ``calls``: optionally the prefixed call rows the detail was built from
+    (``detail.prefixed_calls``). The repeat flags only read (call id, phone,
+    start), which the detail copies unchanged from every call (the left joins
+    keep all calls), so they can be computed from the calls alone instead of
+    re-running the detail's joins in a second branch.
+    """
     if method not in ("max", "best_row"):
         raise ValueError("method must be 'max' or 'best_row'")
+    rec_src = calls if calls is not None else detail
     if form == "joins":
-        return _summary_joins(detail, method, skew_safe, key)
+        return _summary_joins(detail, method, skew_safe, key, rec_src)
     if form != "fused":
         raise ValueError("form must be 'fused' or 'joins'")
-    return _summary_fused(detail, method, skew_safe, key)
+    return _summary_fused(detail, method, skew_safe, key, rec_src)
 
 
-def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str) -> DataFrame:
+def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
+                   rec_src: DataFrame) -> DataFrame:
     label_t = T.StructType([T.StructField("calls_vdn_label", T.StringType())])
     if method == "max":
         base_aggs = [F.max(c).alias(c) for c in BASE_COLUMNS]
@@ -137,7 +147,7 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str) ->
     shaped = shaped.withColumn(
         "vdn_aggregation",
         F.when(F.col("_label").isNotNull(), label_class(F.col("_label")["calls_vdn_label"])))
-    rec = recency_flags(detail, skew_safe=skew_safe).select(
+    rec = recency_flags(rec_src, skew_safe=skew_safe).select(
         F.col(key).alias("_r_id"), "repeated_phone_24H",
         F.col("cause_recall_phone_24H").alias("cause_recall_24H"))
     out = shaped.join(rec, shaped[key] == rec["_r_id"], "left")
@@ -145,7 +155,8 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str) ->
         "*", *_out_base()))
 
 
-def _summary_joins(detail: DataFrame, method: str, skew_safe: bool, key: str) -> DataFrame:
+def _summary_joins(detail: DataFrame, method: str, skew_safe: bool, key: str,
+                   rec_src: DataFrame) -> DataFrame:
     """The eight-join plan, one grouped input per feature."""
     if method == "max":
         base = base_by_max(detail, key)
@@ -167,7 +178,7 @@ def _summary_joins(detail: DataFrame, method: str, skew_safe: bool, key: str) ->
             .withColumnRenamed(key, "_k"),
         feat.presence_flag(detail, feat.info_by_dni_pred(), "info_by_dni_lg", key)
             .withColumnRenamed(key, "_k"),
-        recency_flags(detail, skew_safe=skew_safe).select(
+        recency_flags(rec_src, skew_safe=skew_safe).select(
             F.col(key).alias("_k"), "repeated_phone_24H",
             F.col("cause_recall_phone_24H").alias("cause_recall_24H")),
     ]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import date_id
 from ..operators import cleaning, features as feat, profile, summary
-from ..operators.detail import build_detail
+from ..operators.detail import build_detail, prefixed_calls
 from ..operators.recency import recency_flags
 from ..sources.bindings import ivr_tables
 
@@ -165,8 +165,11 @@ def _q_best_row(spark, d):
 
 def _q_summary(method, form, skew_safe=True):
     def q(spark, d):
-        return arrays_as_text(summary.build_summary(detail(spark, d), method=method, form=form,
-                                                    skew_safe=skew_safe))
+        calls, modules, steps = ivr_tables(spark, d)
+        det = build_detail(calls, modules, steps)
+        return arrays_as_text(summary.build_summary(det, method=method, form=form,
+                                                    skew_safe=skew_safe,
+                                                    calls=prefixed_calls(calls) if form == "fused" else None))
     return q
 
 

@@ -53,13 +53,15 @@ def _s(n: int):
 
 def _spec(name: str, cols: list[tuple[str, object]], pk: str, not_null=(), unique=(),
           fks=(), domains=()) -> TableSpec:
+    # Every field stays nullable: NOT NULL lives in the rule list, since Spark
+    # would trust a non-nullable field and fail on the very NULLs to report.
     fields, lengths = [], {}
     for col, typ in cols:
         if isinstance(typ, tuple):
-            fields.append(T.StructField(col, T.StringType(), col not in not_null and col != pk))
+            fields.append(T.StructField(col, T.StringType(), True))
             lengths[col] = typ[1]
         else:
-            fields.append(T.StructField(col, typ, col not in not_null and col != pk))
+            fields.append(T.StructField(col, typ, True))
     return TableSpec(
         name=name, schema=T.StructType(fields), primary_key=(pk,), not_null=tuple(not_null),
         unique=tuple((u,) for u in unique),
