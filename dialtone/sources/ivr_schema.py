@@ -97,3 +97,14 @@ STEPS_SCHEMA = T.StructType([
     T.StructField("customer_phone", T.StringType()),
     T.StructField("billing_account_id", T.StringType()),
 ])
+
+# Schema of the detail table (for streaming reads of detail files).
+DETAIL_SCHEMA = T.StructType(
+    [T.StructField("calls_" + f.name, f.dataType) for f in CALLS_SCHEMA.fields[:5]]
+    + [T.StructField("calls_start_date_id", T.StringType()),
+       T.StructField("calls_end_date", T.TimestampType()),
+       T.StructField("calls_end_date_id", T.StringType())]
+    + [T.StructField("calls_" + f.name, f.dataType) for f in CALLS_SCHEMA.fields[6:]]
+    + [f for f in MODULES_SCHEMA.fields[1:]]
+    + [f for f in STEPS_SCHEMA.fields[2:]])
+assert [f.name for f in DETAIL_SCHEMA.fields] == DETAIL_COLUMNS

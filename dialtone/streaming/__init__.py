@@ -1,0 +1 @@
+from .call_flags import call_flags, read_detail_stream, start_call_flags  # noqa: F401

@@ -1,0 +1,30 @@
+import os
+
+from pyspark.sql import functions as F
+
+from dialtone.operators import features as feat
+from dialtone.operators.detail import build_detail
+from dialtone.streaming import call_flags, read_detail_stream
+
+from fixtures import ivr_frames
+
+
+def test_stream_flags_equal_batch_for_closed_calls(spark, tmp_path):
+    det = build_detail(*ivr_frames(spark)).filter(F.col("calls_start_date").isNotNull())
+    src = os.path.join(str(tmp_path), "detail")
+    # two "arrivals": early days, then later ones that move the watermark on
+    det.filter("calls_start_date < '2024-01-02'").write.parquet(src + "/a")
+    det.filter("calls_start_date >= '2024-01-02'").write.parquet(src + "/b")
+    stream = read_detail_stream(spark, src + "/*", max_files_per_trigger=1)
+    q = (call_flags(stream, delay="1 hour").writeStream.outputMode("append")
+         .format("memory").queryName("flags_out")
+         .option("checkpointLocation", os.path.join(str(tmp_path), "ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = {r[0]: tuple(r[2:]) for r in spark.table("flags_out").collect()}
+    batch = {r[0]: tuple(r[1:]) for r in feat.presence_flags(det, {
+        "m": feat.mass_outage_pred(), "p": feat.info_by_phone_pred(refined=True),
+        "d": feat.info_by_dni_pred()}).collect()}
+    assert got, "watermark should have closed the first day's calls"
+    for cid, flags in got.items():
+        assert flags == batch[cid]
