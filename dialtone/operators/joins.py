@@ -35,8 +35,18 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     if not skew_safe:
         return left.join(right, _cond(left, right, left_keys, right_keys), "left").select(*out_cols)
 
-    matched = left.join(right, _cond(left, right, left_keys, right_keys), "inner").select(*out_cols)
+    # Rows with a NULL key can never match: they pass straight through. The
+    # rest carries the same explicit NOT NULL filter in the inner and the anti
+    # branch, so both plan the same left subtree and Spark reuses its exchange
+    # (otherwise the inner join's inferred filters make the two differ).
+    known = F.lit(True)
+    for k in left_keys:
+        known = known & F.col(k).isNotNull()
+    left_nn = left.filter(known)
+    matched = left_nn.join(right, _cond(left_nn, right, left_keys, right_keys), "inner").select(*out_cols)
     keys = right.select(*right_keys).distinct()
-    unmatched = left.join(keys, _cond(left, keys, left_keys, right_keys), "left_anti")
+    unmatched = left_nn.join(keys, _cond(left_nn, keys, left_keys, right_keys), "left_anti")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(unmatched.select(*left.columns, *nulls))
+    no_key = left.filter(~known)
+    return (matched.unionByName(unmatched.select(*left.columns, *nulls))
+                   .unionByName(no_key.select(*left.columns, *nulls)))
