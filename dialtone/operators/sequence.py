@@ -32,21 +32,6 @@ from pyspark.sql import types as T
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
 
 
-def _order_exprs(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
-
-
-def order_names(order: Sequence[Column]) -> list[str]:
-    """Plain column names referenced by simple sort expressions."""
-    out = []
-    for c in order:
-        s = str(c)
-        # Column('x ASC NULLS FIRST') -> x
-        inner = s[len("Column<'"):-2] if s.startswith("Column<'") else s
-        out.append(inner.split(" ")[0].strip("`"))
-    return out
-
-
 def _reuse_enabled(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true"
 
@@ -61,8 +46,9 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def global_position(df: DataFrame, order: Sequence[str | Column], name: str = "_g") -> DataFrame:
-    """Add a dense 0-based position in ``order`` (ascending, NULLs first).
+def global_position(df: DataFrame, order: Sequence[str], name: str = "_g") -> DataFrame:
+    """Add a dense 0-based position in ``order`` (column names, ascending,
+    NULLs first).
 
     The remaining columns are appended to the sort key. That breaks ties
     deterministically and, more importantly, makes every branch below read
@@ -70,17 +56,16 @@ def global_position(df: DataFrame, order: Sequence[str | Column], name: str = "_
     the per-partition count branch a narrower exchange that Spark does not
     reuse, and a second exchange would sample its own range bounds.
     """
-    order = _order_exprs(order)
-    named = {c for c in order_names(order)}
-    rest = [f for f in df.schema.fields if f.name not in named]
+    rest = [f for f in df.schema.fields if f.name not in set(order)]
+    sort = [F.col(c).asc_nulls_first() for c in order]
     if all(_orderable(f.dataType) for f in rest) and _reuse_enabled(df):
-        s = df.orderBy(*order, *[F.col(f.name).asc_nulls_first() for f in rest])
+        s = df.orderBy(*sort, *[F.col(f.name).asc_nulls_first() for f in rest])
     else:
         # Unorderable columns or no exchange reuse: materialise the sorted rows
         # once in the shared checkpoint folder so all branches see one order.
         from ..session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
-        s = df.orderBy(*order).checkpoint(eager=True)
+        s = df.orderBy(*sort).checkpoint(eager=True)
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     s = (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
           .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
@@ -115,7 +100,7 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     return out.drop("_g", "_first", "_cnt", *["_k_" + k for k in keys])
 
 
-def row_sequence(df: DataFrame, order: Sequence[str | Column], name: str = "seq",
+def row_sequence(df: DataFrame, order: Sequence[str], name: str = "seq",
                  start: int | Column = 0) -> DataFrame:
     """Global 1-based sequence in ``order`` (plus ``start``), distributed."""
     start_col = start if isinstance(start, Column) else F.lit(start)
