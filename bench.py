@@ -43,7 +43,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
-        f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="dialtone-bench",
+        f"local[{cpus}]", shuffle_partitions=8 * cpus, app_name="dialtone-bench",
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")
