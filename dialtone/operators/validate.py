@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.model import Domain, ForeignKey, TableSpec
+from ..sources.model import ForeignKey, TableSpec
 from .sequence import row_sequence
 
 REPORT_SCHEMA = T.StructType([
@@ -90,7 +90,7 @@ def check_unique(df: DataFrame, cols: Sequence[str], allow_null: bool = True) ->
     return groups.filter(_any_null(cols) | (F.col("n") > 1))
 
 
-def key_violations(df: DataFrame, cols: Sequence[str], primary: bool) -> Column:
+def key_violations(cols: Sequence[str], primary: bool) -> Column:
     """Aggregate expression over ``check_unique``-style groups: rejected rows."""
     dup = F.when(~_any_null(cols) & (F.col("n") > 1), F.col("n") - 1).otherwise(0)
     if primary:
@@ -157,7 +157,7 @@ def _row_rules(name: str, df: DataFrame, spec: TableSpec) -> DataFrame | None:
 
 def _key_rule(name: str, df: DataFrame, cols: Sequence[str], primary: bool) -> DataFrame:
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(key_violations(groups, cols, primary).alias("violations")).select(
+    return groups.agg(key_violations(cols, primary).alias("violations")).select(
         F.lit(name).alias("table_name"), F.lit("primary_key" if primary else "unique").alias("rule"),
         F.lit(",".join(cols)).alias("columns"), "violations")
 

@@ -1 +1,2 @@
 from .call_flags import call_flags, read_detail_stream, start_call_flags  # noqa: F401
+from .repeat_flags import repeat_flags  # noqa: F401

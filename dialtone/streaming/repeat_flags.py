@@ -1,0 +1,107 @@
+"""Repeat-call flags (F9) over a stream of calls: a custom stateful operator.
+
+The batch operator needs the *next* call of a phone (LEAD), which a stream only
+knows later. Per phone, ``applyInPandasWithState`` buffers calls not yet final
+and emits a call once neither neighbour can change:
+
+* its successor is known and older than the watermark (no call can still
+  arrive in between, since rows older than the watermark are dropped), or
+* the watermark is ``hours`` past the call: any later call is too far away
+  to set the recall flag.
+
+Rows leave in (start, call id) order per phone, as in the batch window. After
+``hours`` without calls the phone's state is removed, so state stays bounded by
+the calls of the last ``hours`` plus the watermark delay. Only the flags are
+emitted (not the neighbour timestamps): a neighbour older than the state
+horizon can no longer change a flag, but its exact time is not kept.
+
+Start times must be set (a NULL event time cannot be watermarked).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
+
+KEY, ENTITY, TS = "calls_ivr_id", "calls_phone_number", "calls_start_date"
+
+OUTPUT_SCHEMA = T.StructType([
+    T.StructField(KEY, T.DoubleType()),
+    T.StructField(ENTITY, T.StringType()),
+    T.StructField(TS, T.TimestampType()),
+    T.StructField("repeated_phone_24H", T.IntegerType()),
+    T.StructField("cause_recall_phone_24H", T.IntegerType()),
+])
+STATE_SCHEMA = T.StructType([
+    T.StructField("pending_ids", T.ArrayType(T.DoubleType())),
+    T.StructField("pending_us", T.ArrayType(T.LongType())),
+    T.StructField("last_us", T.LongType()),        # last emitted start (micros), or NULL
+])
+
+
+def _updater(hours: int):
+    horizon_us = hours * 3600 * 1_000_000
+
+    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        phone = key[0]
+        if state.exists:
+            ids, us, last_us = state.get
+            ids, us = list(ids or []), list(us or [])
+        else:
+            ids, us, last_us = [], [], None
+        for pdf in batches:
+            ids.extend(pdf[KEY].astype("float64").tolist())
+            us.extend((pdf[TS].astype("datetime64[us]").astype("int64")).tolist())
+        # distinct (call, start), ordered by (start, call id)
+        pending = sorted(set(zip(us, ids)))
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        out_ids, out_us, rep, cau = [], [], [], []
+        i = 0
+        while i < len(pending):
+            t, cid = pending[i]
+            nxt = pending[i + 1][0] if i + 1 < len(pending) else None
+            if not ((nxt is not None and nxt < wm_us) or wm_us >= t + horizon_us):
+                break
+            out_ids.append(cid)
+            out_us.append(t)
+            rep.append(int(last_us is not None and t - last_us < horizon_us))
+            cau.append(int(nxt is not None and nxt - t < horizon_us))
+            last_us = t
+            i += 1
+        pending = pending[i:]
+        if pending:
+            state.update(([c for _, c in pending], [t for t, _ in pending], last_us))
+            # wake up when the first pending call can be closed by time alone
+            state.setTimeoutTimestamp(max(pending[0][0] + horizon_us, wm_us + 1000) // 1000)
+        elif last_us is not None and wm_us < last_us + horizon_us:
+            state.update(([], [], last_us))
+            state.setTimeoutTimestamp((last_us + horizon_us) // 1000)
+        elif state.exists:
+            state.remove()
+        if out_ids:
+            yield pd.DataFrame({
+                KEY: np.array(out_ids, dtype="float64"),
+                ENTITY: [phone] * len(out_ids),
+                TS: pd.to_datetime(np.array(out_us, dtype="int64"), unit="us"),
+                "repeated_phone_24H": np.array(rep, dtype="int32"),
+                "cause_recall_phone_24H": np.array(cau, dtype="int32"),
+            })
+
+    return update
+
+
+def repeat_flags(calls_stream: DataFrame, hours: int = 24, delay: str = "1 hour") -> DataFrame:
+    """Append-mode stream of (call, phone, start, repeated, recall) flags.
+
+    ``calls_stream`` needs the prefixed call columns (``calls_ivr_id``,
+    ``calls_phone_number``, ``calls_start_date``), e.g. a stream of detail rows.
+    """
+    rows = (calls_stream.select(KEY, ENTITY, TS).filter(calls_stream[TS].isNotNull())
+            .withWatermark(TS, delay))
+    return rows.groupBy(ENTITY).applyInPandasWithState(
+        _updater(hours), OUTPUT_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")

@@ -28,3 +28,39 @@ def test_stream_flags_equal_batch_for_closed_calls(spark, tmp_path):
     assert got, "watermark should have closed the first day's calls"
     for cid, flags in got.items():
         assert flags == batch[cid]
+
+
+def test_stream_repeat_flags_equal_batch(spark, tmp_path):
+    import random
+    from datetime import datetime, timedelta
+
+    from dialtone.operators.recency import recency_flags
+    from dialtone.sources.ivr_schema import DETAIL_SCHEMA
+    from dialtone.streaming import repeat_flags
+
+    rnd = random.Random(5)
+    base = datetime(2024, 1, 1)
+    rows_ = []
+    for i in range(400):
+        phone = rnd.choice(["HOT", "HOT", "a", "b", "UNKNOWN"])
+        t = base + timedelta(minutes=rnd.randint(0, 6 * 24 * 60))
+        rows_.append((float(i), phone, t))
+    calls = spark.createDataFrame(rows_, "calls_ivr_id double, calls_phone_number string, calls_start_date timestamp")
+    src = os.path.join(str(tmp_path), "calls")
+    # arrive day by day (files in time order), each batch one file
+    for d in range(7):
+        lo, hi = base + timedelta(days=d), base + timedelta(days=d + 1)
+        part = calls.filter((F.col("calls_start_date") >= F.lit(lo)) & (F.col("calls_start_date") < F.lit(hi)))
+        part.coalesce(1).write.parquet(f"{src}/d{d}")
+    schema = "calls_ivr_id double, calls_phone_number string, calls_start_date timestamp"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
+    q = (repeat_flags(stream, delay="1 hour").writeStream.outputMode("append").format("memory")
+         .queryName("repeat_out").option("checkpointLocation", os.path.join(str(tmp_path), "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = {r[0]: (r[3], r[4]) for r in spark.table("repeat_out").collect()}
+    batch = {r[0]: (r[5], r[6]) for r in recency_flags(calls).collect()}
+    assert len(got) > 200                       # all but the last day's open calls are final
+    for cid, flags in got.items():
+        assert flags == batch[cid], cid
+    assert DETAIL_SCHEMA is not None
