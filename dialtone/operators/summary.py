@@ -102,23 +102,44 @@ def build_summary(detail: DataFrame, method: str = "max", form: str = "fused",
 def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
                    rec_src: DataFrame) -> DataFrame:
     label_t = T.StructType([T.StructField("calls_vdn_label", T.StringType())])
+    # The repeat flags (one row per distinct (call, phone, start)) enter the
+    # same aggregate through a UNION instead of a join after it: the summary
+    # is then shuffled once, by call id, and no join re-partitions its output.
+    rec = recency_flags(rec_src, skew_safe=skew_safe)
+    rec_rows = rec.select(
+        key, F.struct(F.col("calls_phone_number").alias("p"), F.col("calls_start_date").alias("s"),
+                      F.col("repeated_phone_24H").alias("rep"),
+                      F.col("cause_recall_phone_24H").alias("cause")).alias("_rv"),
+        F.lit(False).alias("_det"))
+    used = [key, *BASE_COLUMNS, "calls_vdn_label", *DOC_COLS, "customer_phone",
+            "billing_account_id", "module_name", "step_name", "step_result"]
+    det_rows = detail.select(*used, F.lit(True).alias("_det"))
+    rows_ = det_rows.unionByName(rec_rows, allowMissingColumns=True)
+    d = F.col("_det")
+
+    def on_detail(c: Column) -> Column:
+        return F.when(d, c)
+
     if method == "max":
         base_aggs = [F.max(c).alias(c) for c in BASE_COLUMNS]
     else:
-        base_aggs = [_best_struct(BASE_COLUMNS + ["customer_phone", "billing_account_id"],
-                                  PHONE_SCORE_COLS, SENTINEL).alias("_best")]
+        base_aggs = [F.max(on_detail(F.struct(
+            completeness_score(PHONE_SCORE_COLS, SENTINEL).alias("_score"),
+            *[F.col(c) for c in BASE_COLUMNS + ["customer_phone", "billing_account_id"]])))
+            .alias("_best")]
     docs_known = all_known(DOC_COLS)
-    agg = detail.groupBy(key).agg(
+    agg = rows_.groupBy(key).agg(
         *base_aggs,
-        F.collect_set(F.struct("calls_vdn_label")).alias("_labels"),
-        F.array_sort(F.collect_set(F.when(docs_known, F.struct(*DOC_COLS)))).alias("_docs"),
-        F.collect_set(F.when(F.col("customer_phone") != F.lit(SENTINEL),
+        F.collect_set(on_detail(F.struct("calls_vdn_label"))).alias("_labels"),
+        F.array_sort(F.collect_set(F.when(d & docs_known, F.struct(*DOC_COLS)))).alias("_docs"),
+        F.collect_set(F.when(d & (F.col("customer_phone") != F.lit(SENTINEL)),
                              F.col("customer_phone"))).alias("_phones"),
-        F.array_sort(F.collect_set(F.when(is_known("billing_account_id"),
+        F.array_sort(F.collect_set(F.when(d & is_known("billing_account_id"),
                                           F.col("billing_account_id")))).alias("_bills"),
-        F.max(flag(feat.mass_outage_pred())).alias("masiva_lg"),
-        F.max(flag(feat.info_by_phone_pred(refined=True))).alias("info_by_phone_lg"),
-        F.max(flag(feat.info_by_dni_pred())).alias("info_by_dni_lg"),
+        F.max(on_detail(flag(feat.mass_outage_pred()))).alias("masiva_lg"),
+        F.max(on_detail(flag(feat.info_by_phone_pred(refined=True)))).alias("info_by_phone_lg"),
+        F.max(on_detail(flag(feat.info_by_dni_pred()))).alias("info_by_dni_lg"),
+        F.collect_set("_rv").alias("_recs"),
     )
     if method == "best_row":
         agg = agg.select("*", *[F.col("_best")[c].alias(c) for c in BASE_COLUMNS]).drop("_best")
@@ -140,17 +161,19 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
         keyed(F.col("masiva_lg")).alias("masiva_lg"),
         keyed(F.col("info_by_phone_lg")).alias("info_by_phone_lg"),
         keyed(F.col("info_by_dni_lg")).alias("info_by_dni_lg"),
+        keyed(F.col("_recs")).alias("_recs"),
     )
-    # Restore the source's fan-out: one row per distinct label, per known phone.
+    # Restore the source's fan-out: one row per distinct label, per known
+    # phone and per (phone, start) variant of the call in the repeat flags.
     shaped = shaped.withColumn("_label", F.explode_outer("_labels"))
     shaped = shaped.withColumn("customer_phone", F.explode_outer("_phones"))
-    shaped = shaped.withColumn(
-        "vdn_aggregation",
-        F.when(F.col("_label").isNotNull(), label_class(F.col("_label")["calls_vdn_label"])))
-    rec = recency_flags(rec_src, skew_safe=skew_safe).select(
-        F.col(key).alias("_r_id"), "repeated_phone_24H",
-        F.col("cause_recall_phone_24H").alias("cause_recall_24H"))
-    out = shaped.join(rec, shaped[key] == rec["_r_id"], "left")
+    shaped = shaped.withColumn("_rec", F.explode_outer("_recs"))
+    out = shaped.select(
+        "*",
+        F.when(F.col("_label").isNotNull(), label_class(F.col("_label")["calls_vdn_label"]))
+         .alias("vdn_aggregation"),
+        F.col("_rec")["rep"].alias("repeated_phone_24H"),
+        F.col("_rec")["cause"].alias("cause_recall_24H"))
     return _select_summary(out.withColumnRenamed(key, "ivr_id").select(
         "*", *_out_base()))
 
