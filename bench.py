@@ -42,10 +42,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(
-        f"local[{cpus}]", shuffle_partitions=8 * cpus, app_name="dialtone-bench",
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
-               "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+             "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # stage/task times for tools/stage_times.py (a scratch folder, never the UI)
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=8 * cpus,
+                          app_name="dialtone-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     # Warm the JVM (class loading, code generation caches) on a small query.
     ALL_QUERIES["date_id"](spark, sf_dir).write.format("noop").mode("overwrite").save()
