@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import all_known, classify_label as label_class, flag, is_known
 from ..sources.ivr_schema import (
-    LABEL_DEFAULT, LABEL_RULES, MODULE_MASS_OUTAGE, SENTINEL, STEP_INFO_BY_DNI,
+    OUT, LABEL_DEFAULT, LABEL_RULES, MODULE_MASS_OUTAGE, SENTINEL, STEP_INFO_BY_DNI,
     STEP_INFO_BY_PHONE, STEP_OK,
 )
 
@@ -27,7 +27,7 @@ KEY = "calls_ivr_id"
 # --- F1 --------------------------------------------------------------------------
 def classify_label(df: DataFrame, key: str = KEY, label: str = "calls_vdn_label",
                    rules=LABEL_RULES, default: str = LABEL_DEFAULT,
-                   out: str = "vdn_aggregation") -> DataFrame:
+                   out: str = OUT["label_class"]) -> DataFrame:
     """Distinct (call, label) with the label class."""
     return df.select(key, label, label_class(label, rules, default).alias(out)).distinct()
 
@@ -40,8 +40,8 @@ def _sorted_set(cols: Sequence[str]) -> Column:
 
 def collect_structs(df: DataFrame, key: str = KEY,
                     cols: Sequence[str] = ("document_type", "document_identification"),
-                    sentinel: str = SENTINEL, count_name: str = "docs_per_call",
-                    out: str = "documents_of_call") -> DataFrame:
+                    sentinel: str = SENTINEL, count_name: str = OUT["docs_per_call"],
+                    out: str = OUT["documents_of_call"]) -> DataFrame:
     """per key, the array of distinct known tuples in rank order, and its size."""
     g = df.filter(all_known(cols, sentinel)).groupBy(key).agg(_sorted_set(cols).alias(out))
     return g.select(key, F.size(out).cast("bigint").alias(count_name), out)
@@ -49,8 +49,8 @@ def collect_structs(df: DataFrame, key: str = KEY,
 
 def collect_parallel(df: DataFrame, key: str = KEY,
                      cols: Sequence[str] = ("document_type", "document_identification"),
-                     names: Sequence[str] = ("documents_types", "document_identifications"),
-                     sentinel: str = SENTINEL, count_name: str = "docs_per_call") -> DataFrame:
+                     names: Sequence[str] = (OUT["document_types"], OUT["document_ids"]),
+                     sentinel: str = SENTINEL, count_name: str = OUT["docs_per_call"]) -> DataFrame:
     """per key, one array per column, aligned by the same rank."""
     g = collect_structs(df, key, cols, sentinel, count_name, out="_tuples")
     return g.select(key, count_name,
@@ -59,8 +59,8 @@ def collect_parallel(df: DataFrame, key: str = KEY,
 
 def collect_values(df: DataFrame, key: str = KEY, col: str = "billing_account_id",
                    sentinel: str = SENTINEL, min_count: int = 1,
-                   count_name: str = "bills_per_call",
-                   out: str = "bills_per_register") -> DataFrame:
+                   count_name: str = OUT["bills_per_call"],
+                   out: str = OUT["bills_per_register"]) -> DataFrame:
     """per key, the sorted array of distinct known values; keys with at
     least ``min_count`` values."""
     g = (df.filter(is_known(col, sentinel)).groupBy(key)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import all_known, is_known
-from ..sources.ivr_schema import SENTINEL
+from ..sources.ivr_schema import OUT, SENTINEL
 from .sequence import rank_within
 
 KEY = "calls_ivr_id"
@@ -22,23 +22,23 @@ DOC_COLS = ("document_type", "document_identification")
 
 def key_cardinality(df: DataFrame, key: str = KEY) -> DataFrame:
     """Non-NULL key count vs distinct key count (one row)."""
-    return df.agg(F.count(key).alias("total_registros"),
-                  F.count_distinct(key).alias("total_registros_unicos"))
+    return df.agg(F.count(key).alias(OUT["rows"]),
+                  F.count_distinct(key).alias(OUT["distinct_rows"]))
 
 
 def value_combinations(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
                        sentinel: str = SENTINEL) -> DataFrame:
     """Each known (key, values) combination with its repeat count."""
     return (df.filter(all_known(cols, sentinel)).groupBy(key, *cols)
-              .agg(F.count(F.lit(1)).alias("number_repeticiones")))
+              .agg(F.count(F.lit(1)).alias(OUT["repeats"])))
 
 
 def combination_coverage(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
                          sentinel: str = SENTINEL) -> DataFrame:
     """Distinct keys vs number of combinations (one row)."""
     combos = value_combinations(df, key, cols, sentinel)
-    return combos.agg(F.count_distinct(key).alias("num_unique_calls"),
-                      F.count(F.lit(1)).alias("total_combinations"))
+    return combos.agg(F.count_distinct(key).alias(OUT["distinct_keys"]),
+                      F.count(F.lit(1)).alias(OUT["combinations"]))
 
 
 def values_per_key_histogram(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
@@ -50,13 +50,14 @@ def values_per_key_histogram(df: DataFrame, key: str = KEY, cols: Sequence[str]
     """
     joined = F.concat(*sum([[F.col(c), F.lit(sep)] for c in cols], [])[:-1])
     per_key = (df.filter(all_known(cols, sentinel)).groupBy(key)
-                 .agg(F.count_distinct(joined).alias("num_docs")))
-    return per_key.groupBy("num_docs").agg(F.count("num_docs").alias("number_calls"))
+                 .agg(F.count_distinct(joined).alias(OUT["values_per_key"])))
+    n = OUT["values_per_key"]
+    return per_key.groupBy(n).agg(F.count(n).alias(OUT["keys_per_count"]))
 
 
 def ranked_values(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
                   sentinel: str = SENTINEL, min_count: int = 2,
-                  count_name: str = "docs_per_call", skew_safe: bool = True) -> DataFrame:
+                  count_name: str = OUT["docs_per_call"], skew_safe: bool = True) -> DataFrame:
     """P5: distinct known values per key with their rank in the key and the
     key's value count; keys with at least ``min_count`` values.
 
@@ -79,7 +80,7 @@ def ranked_values(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
 
 def distinct_per_group(df: DataFrame, key: str = KEY, col: str = "customer_phone",
                        sentinel: str = SENTINEL,
-                       count_name: str = "phones_per_register") -> DataFrame:
+                       count_name: str = OUT["phones_per_register"]) -> DataFrame:
     """Distinct count of ``col`` per (key, col) -- 1 by construction; kept as
     the per-(call, phone) rows the summary joins on."""
     return (df.filter(F.col(col) != F.lit(sentinel)).groupBy(key, col)
@@ -87,7 +88,7 @@ def distinct_per_group(df: DataFrame, key: str = KEY, col: str = "customer_phone
 
 
 def multi_valued_keys(df: DataFrame, key: str = KEY, col: str = "billing_account_id",
-                      sentinel: str = SENTINEL, count_name: str = "bills_per_register",
+                      sentinel: str = SENTINEL, count_name: str = OUT["bills_per_register"],
                       min_count: int = 2) -> DataFrame:
     """Keys with at least ``min_count`` distinct known values (HAVING)."""
     return (df.filter(is_known(col, sentinel)).groupBy(key)

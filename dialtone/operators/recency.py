@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import flag, whole_hours_between
+from ..sources.ivr_schema import OUT
 
 KEY, ENTITY, TS = "calls_ivr_id", "calls_phone_number", "calls_start_date"
 
@@ -38,8 +39,8 @@ def _flags(prev: Column, nxt: Column, ts: str, hours: int,
 
 def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str = TS,
                   hours: int = 24, skew_safe: bool = True, bucket: str = "day",
-                  rep_name: str = "repeated_phone_24H",
-                  cause_name: str = "cause_recall_phone_24H") -> DataFrame:
+                  rep_name: str = OUT["repeated"],
+                  cause_name: str = OUT["recall"]) -> DataFrame:
     """Columns: key, entity, ts, previous_call, next_call, <rep_name>, <cause_name>."""
     base = df.select(key, entity, ts).distinct()
     if not skew_safe:

@@ -49,6 +49,30 @@ BASE_COLUMNS = [
     "calls_steps_module", "calls_module_aggregation",
 ]
 
+# --- fixed values: output column names of the profile and feature queries ---------
+OUT = {
+    "rows": "total_registros",
+    "distinct_rows": "total_registros_unicos",
+    "repeats": "number_repeticiones",
+    "distinct_keys": "num_unique_calls",
+    "combinations": "total_combinations",
+    "values_per_key": "num_docs",
+    "keys_per_count": "number_calls",
+    "docs_per_call": "docs_per_call",
+    "documents_of_call": "documents_of_call",
+    "document_types": "documents_types",
+    "document_ids": "document_identifications",
+    "phones_per_register": "phones_per_register",
+    "bills_per_call": "bills_per_call",
+    "bills_per_register": "bills_per_register",
+    "label_class": "vdn_aggregation",
+    "mass_outage": "masiva_lg",
+    "info_by_phone": "info_by_phone_lg",
+    "info_by_dni": "info_by_dni_lg",
+    "repeated": "repeated_phone_24H",
+    "recall": "cause_recall_phone_24H",
+}
+
 # --- fixed values: step and module names used by the flags -------------------------
 MODULE_MASS_OUTAGE = "AVERIA_MASIVA"
 STEP_INFO_BY_PHONE = "CUSTOMERINFOBYPHONE.TX"
