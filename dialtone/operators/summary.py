@@ -2,11 +2,12 @@
 
 The source builds the summary by reading the detail nine times and joining
 eight grouped results on the call id. ``build_summary(..., form="fused")``
-computes every call-keyed feature in ONE ``groupBy(call id)`` aggregate
-(partial aggregation map-side, one shuffle), restores the source's row fan-out
-with ``explode_outer`` (one row per label and per phone of a call), and joins
-the repeat flags, the only feature keyed by phone, once. ``form="joins"`` is
-the literal eight-join plan, kept as a cross-check.
+computes every feature in ONE ``groupBy(call id)`` aggregate (partial
+aggregation map-side, one shuffle): the repeat flags, computed per phone, enter
+it as extra rows through a UNION rather than a join. ``explode_outer`` then
+restores the source's row fan-out (one row per label, per known phone and per
+(phone, start) variant of a call). ``form="joins"`` is the literal eight-join
+plan, kept as a cross-check.
 
 Semantics kept from the source:
 * a call with k labels and p known phones yields k * max(p, 1) rows (times the
@@ -30,6 +31,7 @@ from .recency import recency_flags
 KEY = "calls_ivr_id"
 PHONE_SCORE_COLS = ("calls_phone_number", "customer_phone", "billing_account_id")
 DOC_COLS = ("document_type", "document_identification")
+BEST_PAYLOAD = BASE_COLUMNS + ["customer_phone", "billing_account_id"]
 
 
 # --- S1 / S2 -----------------------------------------------------------------------
@@ -46,22 +48,24 @@ def completeness_score(cols=PHONE_SCORE_COLS, sentinel: str = SENTINEL) -> Colum
     return score
 
 
-def _best_struct(payload, score_cols, sentinel) -> Column:
-    # max over a struct compares field by field: highest score first, then the
-    # payload columns, each descending with NULLs last -- a full, deterministic
-    # tie-break. Being an aggregate, it combines map-side: a hot call is cheap.
-    return F.max(F.struct(completeness_score(score_cols, sentinel).alias("_score"),
-                          *[F.col(c) for c in payload]))
+def _scored_row(payload, score_cols, sentinel) -> Column:
+    # max over this struct compares field by field: highest score first, then
+    # the payload columns, each descending with NULLs last -- a full,
+    # deterministic tie-break. Being an aggregate, it combines map-side: a hot
+    # call costs one row per map task.
+    return F.struct(completeness_score(score_cols, sentinel).alias("_score"),
+                    *[F.col(c) for c in payload])
 
 
-def best_row(df: DataFrame, key: str = KEY, cols=BASE_COLUMNS + ["customer_phone", "billing_account_id"],
+def best_row(df: DataFrame, key: str = KEY, cols=None,
              score_cols=PHONE_SCORE_COLS, sentinel: str = SENTINEL) -> DataFrame:
     """Per call, the row with the highest completeness score.
 
     Ties (frequent) are broken by the listed columns, each descending with NULLs
     last, so the result is deterministic.
     """
-    g = df.groupBy(key).agg(_best_struct(cols, score_cols, sentinel).alias("_best"))
+    cols = list(cols or BEST_PAYLOAD)
+    g = df.groupBy(key).agg(F.max(_scored_row(cols, score_cols, sentinel)).alias("_best"))
     return g.select(key, *[F.col("_best")[c].alias(c) for c in cols])
 
 
@@ -123,10 +127,8 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
     if method == "max":
         base_aggs = [F.max(c).alias(c) for c in BASE_COLUMNS]
     else:
-        base_aggs = [F.max(on_detail(F.struct(
-            completeness_score(PHONE_SCORE_COLS, SENTINEL).alias("_score"),
-            *[F.col(c) for c in BASE_COLUMNS + ["customer_phone", "billing_account_id"]])))
-            .alias("_best")]
+        base_aggs = [F.max(on_detail(_scored_row(BEST_PAYLOAD, PHONE_SCORE_COLS, SENTINEL)))
+                     .alias("_best")]
     docs_known = all_known(DOC_COLS)
     agg = rows_.groupBy(key).agg(
         *base_aggs,
