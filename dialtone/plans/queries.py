@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import date_id
-from ..operators import cleaning, features as feat, profile, summary
+from ..operators import cleaning, features as feat, profile, summary, validate
 from ..operators.detail import build_detail, prefixed_calls
 from ..operators.recency import recency_flags
-from ..sources.bindings import ivr_tables
+from ..sources.bindings import ivr_tables, modules_from_lineitem
+from ..sources.model import TPCH_MODEL
+from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,9 +169,11 @@ def _q_summary(method, form, skew_safe=True):
     def q(spark, d):
         calls, modules, steps = ivr_tables(spark, d)
         det = build_detail(calls, modules, steps)
+        # The fused form reads the repeat-flag inputs straight from the calls;
+        # the eight-join form stays literal and reads them from the detail.
+        rec_calls = prefixed_calls(calls) if form == "fused" else None
         return arrays_as_text(summary.build_summary(det, method=method, form=form,
-                                                    skew_safe=skew_safe,
-                                                    calls=prefixed_calls(calls) if form == "fused" else None))
+                                                    skew_safe=skew_safe, calls=rec_calls))
     return q
 
 
@@ -234,10 +238,6 @@ ALL_QUERIES: dict[str, Query] = {**IVR_QUERIES}
 
 
 # --- table model and validation (V1-V8) over the driver's tables --------------------
-from ..operators import validate  # noqa: E402
-from ..sources.bindings import modules_from_lineitem  # noqa: E402
-from ..sources.model import TPCH_MODEL  # noqa: E402
-from ..sources.tables import read_table  # noqa: E402
 
 NOT_NULL_DETAIL_COLS = ["calls_vdn_label", "module_sequece", "step_sequence", "document_type",
                         "customer_phone", "step_description_error"]
