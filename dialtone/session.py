@@ -77,3 +77,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized for a large input (e.g. 100 TB on 1000 executors).
+
+    * shuffle partitions: about one per ``target_partition_mb`` of the largest
+      shuffle (the detail's joins move roughly the input once), at least two
+      waves of the cluster's cores, capped so map-status tracking on the
+      driver stays bounded; AQE then coalesces small partitions and splits
+      skewed ones at run time;
+    * file splits of the same size, so a scan task's batch fits in memory;
+    * AQE advisory size equal to the target, so coalescing aims for it.
+    """
+    target = target_partition_mb * 1024 * 1024
+    parts = max(2 * total_cores, min(max_partitions, -(-input_bytes // target)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+    }

@@ -54,3 +54,13 @@ def test_clean_int_column_and_sql_function_agree(spark):
     got = df.select(clean_int("x").alias("a"), F.call_function(name, F.col("x")).alias("b")).collect()
     assert [(r.a, r.b) for r in got] == [(-99999, -99999), (5, 5), (-1, -1), (0, 0)]
     assert spark.sql(f"SELECT {name}(NULL), {name}(7)").first() == (-99999, 7)
+
+
+def test_scale_conf_bounds():
+    from dialtone.session import scale_conf
+    big = scale_conf(100 * 10 ** 12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    small = scale_conf(10 ** 6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    mid = scale_conf(512 * 1024 * 1024 * 100, 8)
+    assert mid["spark.sql.shuffle.partitions"] == "200"
