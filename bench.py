@@ -26,7 +26,8 @@ HEADLINE = [
     "summary_max_joins",          # the eight-join plan
     "summary_best_row",           # method 2, fused
     "summary_best_row_joins",     # method 2, eight joins
-    "recency_flags",              # repeat flags, bucketed (skew-safe)
+    "recency_flags",              # repeat flags, dense positions (skew-safe, default)
+    "recency_flags_buckets",      # repeat flags, per-(phone, day) windows
     "recency_flags_window",       # repeat flags, one window per phone
     "ranked_values",              # rank in call, range-partitioned
     "ranked_values_window",       # rank in call, window

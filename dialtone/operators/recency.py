@@ -5,17 +5,22 @@ Rows are ordered by (start, call id): the call id breaks ties between equal
 start times so the result is deterministic. NULL phones and the 'UNKNOWN'
 phone are windows like any other, as in the source.
 
-Two physical forms give the same rows:
+Three physical forms give the same rows:
 
 * ``skew_safe=False``: one window per phone. A phone holding a third of all
   calls (the 'UNKNOWN' or NULL phone in practice) becomes one task.
-* ``skew_safe=True`` (default): the window runs per (phone, time bucket). Only
-  the first/last row of a bucket needs a neighbour from another bucket; that
-  neighbour is the max/min start of the nearest non-empty bucket, read from a
-  small per-(phone, bucket) table windowed by phone (one row per bucket, so a
-  hot phone costs one row per bucket there). Partition and join keys are
-  non-NULL surrogates of (phone, bucket), so the join reuses the window's
-  partitioning and only the small table is shuffled for it.
+* ``skew_safe=True, bucket="position"`` (default): every distinct row gets a
+  dense position in (phone, start, call id) order from a range-partitioned
+  sort, whose sampled bounds split any hot phone; previous / next are
+  equi-joins on position -/+ 1 (unique keys, so no join key can be hot) kept
+  when the neighbour has the same phone. Exact for any phone or time
+  distribution, including a burst of equal start times.
+* ``skew_safe=True, bucket="day"`` (or "hour", ...): the window runs per
+  (phone, time bucket). Only the first/last row of a bucket needs a neighbour
+  from another bucket: the max/min start of the nearest non-empty bucket, read
+  from a per-(phone, bucket) table windowed by phone (one row per bucket).
+  Fewer shuffles than positions, but a phone whose calls crowd into one bucket
+  stays in one task.
 """
 
 from __future__ import annotations
@@ -38,7 +43,7 @@ def _flags(prev: Column, nxt: Column, ts: str, hours: int,
 
 
 def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str = TS,
-                  hours: int = 24, skew_safe: bool = True, bucket: str = "day",
+                  hours: int = 24, skew_safe: bool = True, bucket: str = "position",
                   rep_name: str = OUT["repeated"],
                   cause_name: str = OUT["recall"]) -> DataFrame:
     """Columns: key, entity, ts, previous_call, next_call, <rep_name>, <cause_name>."""
@@ -48,6 +53,8 @@ def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str =
         out = base.select(key, entity, ts,
                           F.lag(ts).over(w).alias("previous_call"),
                           F.lead(ts).over(w).alias("next_call"))
+    elif bucket == "position":
+        out = _positional_neighbours(base, key, entity, ts)
     else:
         out = _bucketed_neighbours(base, key, entity, ts, bucket)
     return out.select(key, entity, ts, "previous_call", "next_call",
@@ -85,3 +92,26 @@ def _bucketed_neighbours(base: DataFrame, key: str, entity: str, ts: str,
         key, entity, ts,
         F.when(F.col("_first"), F.col("_prev_b")).otherwise(F.col("_prev_in")).alias("previous_call"),
         F.when(F.col("_last"), F.col("_next_b")).otherwise(F.col("_next_in")).alias("next_call"))
+
+
+def _positional_neighbours(base: DataFrame, key: str, entity: str, ts: str) -> DataFrame:
+    """Neighbours through dense positions: rows are numbered in (phone, start,
+    call id) order by a range-partitioned sort (``sequence.global_position``),
+    and the previous / next row is an equi-join on position - 1 / + 1, kept
+    when it belongs to the same phone. Positions are unique, so no key of
+    either join can be hot, whatever the phone or time distribution."""
+    from .sequence import global_position
+    r = base.select(key, entity, ts, F.col(entity).isNull().alias("_en"),
+                    F.coalesce(F.col(entity).cast("string"), F.lit("")).alias("_ev"))
+    g = global_position(r, ["_en", "_ev", ts, key])
+    side = g.select("_g", "_en", "_ev", ts)
+    prev = side.select((F.col("_g") + 1).alias("_g"), F.col("_en").alias("_pen"),
+                       F.col("_ev").alias("_pev"), F.col(ts).alias("_pts"))
+    nxt = side.select((F.col("_g") - 1).alias("_g"), F.col("_en").alias("_nen"),
+                      F.col("_ev").alias("_nev"), F.col(ts).alias("_nts"))
+    j = g.join(prev, "_g", "left").join(nxt, "_g", "left")
+    same_prev = (F.col("_pen") == F.col("_en")) & (F.col("_pev") == F.col("_ev"))
+    same_next = (F.col("_nen") == F.col("_en")) & (F.col("_nev") == F.col("_ev"))
+    return j.select(key, entity, ts,
+                    F.when(same_prev, F.col("_pts")).alias("previous_call"),
+                    F.when(same_next, F.col("_nts")).alias("next_call"))

@@ -153,6 +153,10 @@ def _q_recency_flags(spark, d):
     return recency_flags(detail(spark, d))
 
 
+def _q_recency_flags_buckets(spark, d):
+    return recency_flags(detail(spark, d), bucket="day")
+
+
 def _q_recency_flags_window(spark, d):
     return recency_flags(detail(spark, d), skew_safe=False)
 
@@ -222,6 +226,7 @@ IVR_QUERIES: dict[str, Query] = {
     "collect_values": _q_collect_values,
     "collect_values_multi": _q_collect_values_multi,
     "recency_flags": _q_recency_flags,
+    "recency_flags_buckets": _q_recency_flags_buckets,
     "recency_flags_window": _q_recency_flags_window,
     "base_by_max": _q_base_by_max,
     "best_row": _q_best_row,

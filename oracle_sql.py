@@ -268,6 +268,7 @@ FROM docs_per_call_counts GROUP BY 1""",
   array_to_string(list(billing_account_id ORDER BY rn), ',') AS bills_per_register
   FROM bill_ranks WHERE bills_per_call > 1 GROUP BY 1, 2""", BILLS_RANKED),
     "recency_flags": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
+    "recency_flags_buckets": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
     "recency_flags_window": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
     "base_by_max": ivr("SELECT calls_ivr_id, " + ", ".join(f"MAX({c}) AS {c}" for c in BASE_COLS)
                        + " FROM det GROUP BY calls_ivr_id"),

@@ -37,18 +37,29 @@ def test_boundaries(spark):
     data = [(1.0, "a", t), (2.0, "a", t + timedelta(hours=24)),               # exactly 24h: no
             (3.0, "b", t), (4.0, "b", t + timedelta(hours=23, minutes=59, seconds=59))]  # 23:59:59: yes
     df = spark.createDataFrame(data, SCHEMA)
-    for skew_safe in (False, True):
-        got = {r[0]: (r[5], r[6]) for r in recency_flags(df, skew_safe=skew_safe).collect()}
+    for skew_safe, bucket in ((False, "day"), (True, "day"), (True, "position")):
+        got = {r[0]: (r[5], r[6]) for r in recency_flags(df, skew_safe=skew_safe, bucket=bucket).collect()}
         assert got == {1.0: (0, 0), 2.0: (0, 0), 3.0: (0, 1), 4.0: (1, 0)}
 
 
-def test_ties_broken_by_call_id(spark):
+@pytest.mark.parametrize("bucket", ["day", "position"])
+def test_ties_broken_by_call_id(spark, bucket):
     t = datetime(2024, 1, 1, 8, 0, 0)
     data = [(9.0, "a", t), (2.0, "a", t), (5.0, "a", t + timedelta(hours=1))]
-    got = {r[0]: (r[3], r[4]) for r in recency_flags(spark.createDataFrame(data, SCHEMA)).collect()}
+    got = {r[0]: (r[3], r[4])
+           for r in recency_flags(spark.createDataFrame(data, SCHEMA), bucket=bucket).collect()}
     assert got[2.0] == (None, t) and got[9.0] == (t, t + timedelta(hours=1))
 
 
+def test_burst_on_one_phone(spark):
+    """A third of all rows on one phone at one instant: positions still split."""
+    t = datetime(2024, 1, 1, 8, 0, 0)
+    data = [(float(i), "HOT" if i % 3 == 0 else f"p{i % 7}",
+             t if i % 3 == 0 else t + timedelta(minutes=i)) for i in range(900)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(recency_flags(df, bucket="position")) == rows(recency_flags(df, skew_safe=False))
+
+
 def _random_calls(seed, n=600):
     rnd = random.Random(seed)
     base = datetime(2024, 1, 1)
@@ -65,7 +76,7 @@ def _random_calls(seed, n=600):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("bucket", ["hour", "day"])
+@pytest.mark.parametrize("bucket", ["hour", "day", "position"])
 def test_skew_safe_equals_window_and_brute_force(spark, seed, bucket):
     data = _random_calls(seed)
     df = spark.createDataFrame(data, SCHEMA)
