@@ -36,3 +36,18 @@ def test_no_query_uses_python_or_cross_products(spark):
         plan = _plan(q(spark, SF))
         assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def _final(df):
+    df.collect()
+    return _plan(df).split("\n+- == Initial Plan ==")[0]
+
+
+def test_numbering_reads_one_range_exchange(spark):
+    """Distributed numbering is consistent only if every branch reads the same
+    range exchange: exactly one is planned, the others are reuses of it."""
+    for name in ("recency_flags", "ranked_values", "assign_key"):
+        final = _final(ALL_QUERIES[name](spark, SF))
+        rng = [line for line in final.split("\n") if "rangepartitioning" in line]
+        assert sum("ReusedExchange" not in line for line in rng) == 1, name
+        assert sum("ReusedExchange" in line for line in rng) >= 1, name
