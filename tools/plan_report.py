@@ -20,12 +20,19 @@ from dialtone.session import build_session  # noqa: E402
 
 
 def shape(plan: str) -> dict:
-    ex = re.findall(r"(?<!Reused)Exchange (\w+)", plan)
+    ex = []
+    for line in plan.split("\n"):
+        if "ReusedExchange" in line:
+            continue
+        m = re.search(r"\bExchange (\w+)", line)
+        if m:
+            ex.append(m.group(1))
     return {
         "hash": ex.count("hashpartitioning"),
         "range": ex.count("rangepartitioning"),
         "single": ex.count("SinglePartition"),
-        "bcast": plan.count("BroadcastExchange"),
+        "bcast": sum(1 for ln in plan.split("\n")
+                     if "BroadcastExchange" in ln and "ReusedExchange" not in ln),
         "reused": plan.count("ReusedExchange"),
         "smj": plan.count("SortMergeJoin"),
         "bhj": plan.count("BroadcastHashJoin"),
