@@ -33,9 +33,12 @@ def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                fmt: str = "parquet") -> str:
     """Replace the table at ``path`` with ``df``.
 
-    Overwrite with dynamic partition overwrite off: the whole table is
-    replaced, as ``CREATE OR REPLACE TABLE`` does. The job's output commit is
-    atomic per task, so a retried task never leaves partial files behind.
+    The whole table is replaced, as ``CREATE OR REPLACE TABLE`` does. Task
+    output is committed per task, so a lost executor's retried tasks never
+    leave partial files; the job as a whole is not atomic, though: the old
+    files are removed when the write starts, so a failed job is re-run, which
+    is safe because every job here is a pure function of its inputs.
+    ``df`` must not read from ``path`` itself.
     """
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
