@@ -3,6 +3,9 @@ documents, phones or accounts each call carries.
 
 All are aggregates (partial aggregation before the shuffle). Exact distinct
 counts use Spark's two-phase distinct expansion, never one task per key.
+
+``ordered=True`` adds the source's final ORDER BY (ascending, NULLs first), a
+range-partitioned global sort; results are unordered otherwise.
 """
 
 from __future__ import annotations
@@ -57,7 +60,8 @@ def values_per_key_histogram(df: DataFrame, key: str = KEY, cols: Sequence[str]
 
 def ranked_values(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
                   sentinel: str = SENTINEL, min_count: int = 2,
-                  count_name: str = OUT["docs_per_call"], skew_safe: bool = True) -> DataFrame:
+                  count_name: str = OUT["docs_per_call"], skew_safe: bool = True,
+                  ordered: bool = False) -> DataFrame:
     """P5: distinct known values per key with their rank in the key and the
     key's value count; keys with at least ``min_count`` values.
 
@@ -75,22 +79,26 @@ def ranked_values(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
             F.count(F.lit(1)).over(Window.partitionBy(key)).alias(count_name))
     ranked = ranked.select(key, *cols, F.col("rn").cast("int").alias("rn"),
                            F.col(count_name).cast("bigint").alias(count_name))
-    return ranked.filter(F.col(count_name) >= min_count)
+    out = ranked.filter(F.col(count_name) >= min_count)
+    return out.orderBy(key, "rn") if ordered else out
 
 
 def distinct_per_group(df: DataFrame, key: str = KEY, col: str = "customer_phone",
                        sentinel: str = SENTINEL,
-                       count_name: str = OUT["phones_per_register"]) -> DataFrame:
+                       count_name: str = OUT["phones_per_register"],
+                       ordered: bool = False) -> DataFrame:
     """Distinct count of ``col`` per (key, col) -- 1 by construction; kept as
     the per-(call, phone) rows the summary joins on."""
-    return (df.filter(F.col(col) != F.lit(sentinel)).groupBy(key, col)
-              .agg(F.count_distinct(col).alias(count_name)))
+    out = (df.filter(F.col(col) != F.lit(sentinel)).groupBy(key, col)
+             .agg(F.count_distinct(col).alias(count_name)))
+    return out.orderBy(key) if ordered else out
 
 
 def multi_valued_keys(df: DataFrame, key: str = KEY, col: str = "billing_account_id",
                       sentinel: str = SENTINEL, count_name: str = OUT["bills_per_register"],
-                      min_count: int = 2) -> DataFrame:
+                      min_count: int = 2, ordered: bool = False) -> DataFrame:
     """Keys with at least ``min_count`` distinct known values (HAVING)."""
-    return (df.filter(is_known(col, sentinel)).groupBy(key)
-              .agg(F.count_distinct(col).alias(count_name))
-              .filter(F.col(count_name) >= min_count))
+    out = (df.filter(is_known(col, sentinel)).groupBy(key)
+             .agg(F.count_distinct(col).alias(count_name))
+             .filter(F.col(count_name) >= min_count))
+    return out.orderBy(key) if ordered else out

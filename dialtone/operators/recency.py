@@ -45,8 +45,12 @@ def _flags(prev: Column, nxt: Column, ts: str, hours: int,
 def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str = TS,
                   hours: int = 24, skew_safe: bool = True, bucket: str = "position",
                   rep_name: str = OUT["repeated"],
-                  cause_name: str = OUT["recall"]) -> DataFrame:
-    """Columns: key, entity, ts, previous_call, next_call, <rep_name>, <cause_name>."""
+                  cause_name: str = OUT["recall"], ordered: bool = False) -> DataFrame:
+    """Columns: key, entity, ts, previous_call, next_call, <rep_name>, <cause_name>.
+
+    ``ordered=True`` adds the source's final ORDER BY (call id, phone) as a
+    range-partitioned global sort.
+    """
     base = df.select(key, entity, ts).distinct()
     if not skew_safe:
         w = Window.partitionBy(entity).orderBy(F.col(ts).asc_nulls_first(), F.col(key).asc_nulls_first())
@@ -57,9 +61,10 @@ def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str =
         out = _positional_neighbours(base, key, entity, ts)
     else:
         out = _bucketed_neighbours(base, key, entity, ts, bucket)
-    return out.select(key, entity, ts, "previous_call", "next_call",
-                      *_flags(F.col("previous_call"), F.col("next_call"), ts, hours,
-                              rep_name, cause_name))
+    out = out.select(key, entity, ts, "previous_call", "next_call",
+                     *_flags(F.col("previous_call"), F.col("next_call"), ts, hours,
+                             rep_name, cause_name))
+    return out.orderBy(key, entity) if ordered else out
 
 
 def _bucketed_neighbours(base: DataFrame, key: str, entity: str, ts: str,

@@ -87,3 +87,11 @@ def test_phone_groups(spark):
     per = rows(profile.distinct_per_group(det))
     assert (4.0, "700", 1) in per and (4.0, "701", 1) in per
     assert {r[0]: r[1] for r in profile.multi_valued_keys(det, col="customer_phone").collect()} == {4.0: 2}
+
+
+def test_ordered_reports(spark):
+    det = _detail(spark)
+    got = [(r.calls_ivr_id, r.rn) for r in profile.ranked_values(det, ordered=True).collect()]
+    assert got == sorted(got)
+    keys = [r.calls_ivr_id for r in profile.distinct_per_group(det, ordered=True).collect()]
+    assert keys == sorted(keys)
