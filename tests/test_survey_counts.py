@@ -44,3 +44,18 @@ def test_validation_counts(spark):
     assert q(spark, "check_foreign_key").count() == 257
     assert q(spark, "check_foreign_key_lineitem").count() == 0
     assert q(spark, "check_domain").count() == 4031
+
+
+def test_invariant_histogram_sums(spark):
+    """The histogram sums to the identified calls, and n * calls sums to the
+    combinations (no '-' collisions in the driver's document values)."""
+    hist = [tuple(r) for r in q(spark, "values_per_key_histogram").collect()]
+    cov = q(spark, "combination_coverage").first()
+    assert sum(c for _, c in hist) == cov.num_unique_calls
+    assert sum(n * c for n, c in hist) == cov.total_combinations
+
+
+def test_invariant_one_phone_per_group(spark):
+    """I4: the distinct count per (call, phone) is always 1."""
+    vals = {r[0] for r in q(spark, "distinct_per_group").select("phones_per_register").distinct().collect()}
+    assert vals == {1}
