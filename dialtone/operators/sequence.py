@@ -16,9 +16,11 @@ smallest g and the key's row count come from one ``groupBy(k)`` aggregate
 (combined map-side) joined back with an inner join, which adaptive execution
 may split on both sides when a key is hot.
 
-The three branches read one range exchange (Spark reuses it), and per-partition
-counts do not depend on the order of tied rows, so the numbering is consistent
-even when sort keys tie.
+All branches read one range exchange (Spark reuses it). Its partition count is
+explicit, so adaptive execution neither coalesces nor splits it and every
+branch sees the same partition ids; the remaining columns join the sort key,
+so the order inside a partition is total and column pruning cannot fork the
+exchange.
 """
 
 from __future__ import annotations
@@ -58,14 +60,20 @@ def global_position(df: DataFrame, order: Sequence[str], name: str = "_g") -> Da
     """
     rest = [f for f in df.schema.fields if f.name not in set(order)]
     sort = [F.col(c).asc_nulls_first() for c in order]
+    spark = df.sparkSession
+    # An explicit partition count: adaptive execution never coalesces or splits
+    # such a repartition, so every consumer of the (reused) exchange sees the
+    # same partitions and the same partition ids.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if all(_orderable(f.dataType) for f in rest) and _reuse_enabled(df):
-        s = df.orderBy(*sort, *[F.col(f.name).asc_nulls_first() for f in rest])
+        full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
+        s = df.repartitionByRange(n, *full).sortWithinPartitions(*full)
     else:
         # Unorderable columns or no exchange reuse: materialise the sorted rows
         # once in the shared checkpoint folder so all branches see one order.
         from ..session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        s = df.orderBy(*sort).checkpoint(eager=True)
+        checkpoint_dir(spark)
+        s = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     s = (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
           .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))

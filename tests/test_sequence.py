@@ -43,3 +43,17 @@ def test_assign_key_with_map_column_uses_checkpoint(spark):
                                "id long, name string, m map<string,int>")
     got = sorted((r.name, r.id) for r in assign_key(df, "id", ["name"], start=10).collect())
     assert got == [("a", 11), ("b", 12)]
+
+
+def test_assign_key_with_existing_keys_from_a_shuffle(spark):
+    """Existing keys come out of an aggregate (a shuffle read in the same final
+    stage as the numbered rows): new keys must still be unique, dense and in
+    order, whatever adaptive coalescing does to the other shuffle."""
+    base = spark.range(0, 20000).select((F.col("id") % 7919).alias("k"), (F.col("id") * 31 % 10007).alias("v"))
+    agg = base.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    df = agg.select(F.when(F.col("k") % 2 == 0, F.col("k")).alias("id"), "v", "k")
+    out = assign_key(df, "id", ["v", "k"]).collect()
+    new = sorted((r.v, r.k, r.id) for r in out if r.k % 2 == 1)
+    start = 7918  # max existing even key
+    assert [x[2] for x in new] == list(range(start + 1, start + 1 + len(new)))
+    assert max(r.id for r in out if r.k % 2 == 0) < min(x[2] for x in new)
