@@ -19,6 +19,19 @@ from ..operators.validate import assign_key, read_model, validate_model
 from ..sources.model import SCHOOL_MODEL, TableSpec
 
 
+def create_tables(spark: SparkSession, base_path: str,
+                  model: Sequence[TableSpec] = SCHOOL_MODEL, fmt: str = "parquet") -> list[str]:
+    """CREATE TABLE for every table of the model: an empty table with the
+    declared schema at ``{base_path}/{name}.{fmt}`` (existing tables are kept,
+    like CREATE TABLE IF NOT EXISTS; nothing else is enforced on write)."""
+    paths = []
+    for spec in model:
+        path = f"{base_path}/{spec.name}.{fmt}"
+        spark.createDataFrame([], spec.schema).write.mode("ignore").format(fmt).save(path)
+        paths.append(path)
+    return paths
+
+
 def load_model(spark: SparkSession, base_path: str, model: Sequence[TableSpec] = SCHOOL_MODEL,
                fmt: str = "parquet", assign_keys: bool = False) -> dict[str, DataFrame]:
     tables = read_model(spark, base_path, model, fmt)

@@ -38,3 +38,13 @@ def test_model_check_with_key_assignment(spark, tmp_path):
     assert rep[("modules", "primary_key", "module_id")] == 0
     # administratives has a duplicated id (not NULL): still reported
     assert rep[("administratives", "primary_key", "administrative_id")] == 1
+
+
+def test_create_tables_then_check_is_clean(spark, tmp_path):
+    base = str(tmp_path)
+    paths = model_check.create_tables(spark, base, SCHOOL_MODEL)
+    assert len(paths) == 9
+    back = spark.read.parquet(paths[-1])
+    assert back.count() == 0 and [f.name for f in back.schema.fields][0] == "mark_id"
+    rep = model_check.check_model(spark, base, SCHOOL_MODEL).collect()
+    assert rep and all(r.violations == 0 for r in rep)
