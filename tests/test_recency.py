@@ -11,7 +11,7 @@ SCHEMA = "calls_ivr_id double, calls_phone_number string, calls_start_date times
 
 
 def brute(data, hours=24):
-    """Reference semantics by hand: distinct rows, per phone ordered by
+    """Expected semantics by hand: distinct rows, per phone ordered by
     (start NULLS FIRST, id), previous/next start, flags on whole hours."""
     distinct = sorted(set(data), key=lambda r: (r[1] is None, r[1] or "",
                                                  r[2] is not None, r[2] or datetime.min, r[0]))
