@@ -57,3 +57,23 @@ def test_assign_key_with_existing_keys_from_a_shuffle(spark):
     start = 7918  # max existing even key
     assert [x[2] for x in new] == list(range(start + 1, start + 1 + len(new)))
     assert max(r.id for r in out if r.k % 2 == 0) < min(x[2] for x in new)
+
+
+def test_rank_within_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    keys = st.sampled_from(["a", "b", "hot", None])
+    rows_st = st.lists(st.tuples(keys, st.integers(-5, 50)), min_size=1, max_size=120, unique=True)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows_st)
+    def check(data):
+        df = spark.createDataFrame(data, "k string, v int")
+        ours = rank_within(df, "k", ["v"], count_name="n")
+        w = Window.partitionBy("k").orderBy("v")
+        ref = df.select("*", F.row_number().over(w).alias("rn"),
+                        F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"))
+        assert rows(ours.select("k", "v", "rn", "n")) == rows(ref.select("k", "v", "rn", "n"))
+
+    check()

@@ -64,3 +64,18 @@ def test_stream_repeat_flags_equal_batch(spark, tmp_path):
     for cid, flags in got.items():
         assert flags == batch[cid], cid
     assert DETAIL_SCHEMA is not None
+
+
+def test_start_call_flags_writes_parquet(spark, tmp_path):
+    from dialtone.streaming import start_call_flags
+    det = build_detail(*ivr_frames(spark)).filter(F.col("calls_start_date").isNotNull())
+    src = os.path.join(str(tmp_path), "detail")
+    det.filter("calls_start_date < '2024-01-02'").write.parquet(src)
+    det.filter("calls_start_date >= '2024-01-03'").write.mode("append").parquet(src)
+    out = os.path.join(str(tmp_path), "flags")
+    q = start_call_flags(spark, src, out, os.path.join(str(tmp_path), "ck"), delay="1 hour")
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() > 0
+    assert set(got.columns) == {"calls_ivr_id", "calls_start_date", "masiva_lg",
+                                "info_by_phone_lg", "info_by_dni_lg"}
