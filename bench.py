@@ -49,7 +49,7 @@ def main() -> None:
         # stage/task times for tools/stage_times.py (a scratch folder, never the UI)
         extra.update({"spark.eventLog.enabled": "true",
                       "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=8 * cpus,
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           app_name="dialtone-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     # Warm the JVM (class loading, code generation caches) on a small query.
