@@ -54,12 +54,16 @@ def _updater(hours: int):
             ids, us = list(ids or []), list(us or [])
         else:
             ids, us, last_us = [], [], None
+        wm_us = state.getCurrentWatermarkMs() * 1000
         for pdf in batches:
-            ids.extend(pdf[KEY].astype("float64").tolist())
-            us.extend((pdf[TS].astype("datetime64[us]").astype("int64")).tolist())
+            t_new = pdf[TS].astype("datetime64[us]").astype("int64").to_numpy()
+            # rows older than the watermark are late: their neighbours may
+            # already be emitted, so they are dropped (as Spark drops them)
+            keep = t_new >= wm_us
+            ids.extend(pdf[KEY].astype("float64").to_numpy()[keep].tolist())
+            us.extend(t_new[keep].tolist())
         # distinct (call, start), ordered by (start, call id)
         pending = sorted(set(zip(us, ids)))
-        wm_us = state.getCurrentWatermarkMs() * 1000
         out_ids, out_us, rep, cau = [], [], [], []
         i = 0
         while i < len(pending):
