@@ -87,8 +87,9 @@ def distinct_per_group(df: DataFrame, key: str = KEY, col: str = "customer_phone
                        sentinel: str = SENTINEL,
                        count_name: str = OUT["phones_per_register"],
                        ordered: bool = False) -> DataFrame:
-    """Distinct count of ``col`` per (key, col) -- 1 by construction; kept as
-    the per-(call, phone) rows the summary joins on."""
+    """Distinct count of ``col`` per (key, col) -- 1 by construction. Its
+    rows are the per-(call, phone) rows the eight-join summary joins on (the
+    fused summary collects the same phones in its aggregate)."""
     out = (df.filter(F.col(col) != F.lit(sentinel)).groupBy(key, col)
              .agg(F.count_distinct(col).alias(count_name)))
     return out.orderBy(key) if ordered else out
