@@ -9,12 +9,12 @@ Three physical forms give the same rows:
 
 * ``skew_safe=False``: one window per phone. A phone holding a third of all
   calls (the 'UNKNOWN' or NULL phone in practice) becomes one task.
-* ``skew_safe=True, bucket="position"`` (default): every distinct row gets a
-  dense position in (phone, start, call id) order from a range-partitioned
-  sort, whose sampled bounds split any hot phone; previous / next are
-  equi-joins on position -/+ 1 (unique keys, so no join key can be hot) kept
-  when the neighbour has the same phone. Exact for any phone or time
-  distribution, including a burst of equal start times.
+* ``skew_safe=True, bucket="position"`` (default): rows are range-partitioned
+  and sorted in (phone, start, call id) order, whose sampled bounds split any
+  hot phone; ``lag``/``lead`` run per range partition, and the first / last
+  row of a partition takes its neighbour from a one-row-per-partition table
+  (bounded, broadcast). A neighbour counts when it has the same phone. Exact
+  for any phone or time distribution, including a burst of equal start times.
 * ``skew_safe=True, bucket="day"`` (or "hour", ...): the window runs per
   (phone, time bucket). Only the first/last row of a bucket needs a neighbour
   from another bucket: the max/min start of the nearest non-empty bucket, read
@@ -100,23 +100,37 @@ def _bucketed_neighbours(base: DataFrame, key: str, entity: str, ts: str,
 
 
 def _positional_neighbours(base: DataFrame, key: str, entity: str, ts: str) -> DataFrame:
-    """Neighbours through dense positions: rows are numbered in (phone, start,
-    call id) order by a range-partitioned sort (``sequence.global_position``),
-    and the previous / next row is an equi-join on position - 1 / + 1, kept
-    when it belongs to the same phone. Positions are unique, so no key of
-    either join can be hot, whatever the phone or time distribution."""
-    from .sequence import global_position
+    """Neighbours in (phone, start, call id) order without a window per phone.
+
+    Rows are range-partitioned and sorted on that order
+    (``sequence.sorted_partitions``); the sampled bounds split any hot phone
+    over many partitions. ``lag``/``lead`` then run per range partition (each
+    one a bounded, balanced slice). Only a partition's first and last rows
+    need a neighbour from elsewhere: the last row of the previous non-empty
+    partition and the first row of the next one, read from a table with one
+    row per partition (bounded by the partition count, so it is broadcast).
+    A neighbour counts only when it belongs to the same phone.
+    """
+    from .sequence import sorted_partitions
     r = base.select(key, entity, ts, F.col(entity).isNull().alias("_en"),
                     F.coalesce(F.col(entity).cast("string"), F.lit("")).alias("_ev"))
-    g = global_position(r, ["_en", "_ev", ts, key])
-    side = g.select("_g", "_en", "_ev", ts)
-    prev = side.select((F.col("_g") + 1).alias("_g"), F.col("_en").alias("_pen"),
-                       F.col("_ev").alias("_pev"), F.col(ts).alias("_pts"))
-    nxt = side.select((F.col("_g") - 1).alias("_g"), F.col("_en").alias("_nen"),
-                      F.col("_ev").alias("_nev"), F.col(ts).alias("_nts"))
-    j = g.join(prev, "_g", "left").join(nxt, "_g", "left")
-    same_prev = (F.col("_pen") == F.col("_en")) & (F.col("_pev") == F.col("_ev"))
-    same_next = (F.col("_nen") == F.col("_en")) & (F.col("_nev") == F.col("_ev"))
+    s = sorted_partitions(r, ["_en", "_ev", ts, key])
+    row = F.struct("_en", "_ev", F.col(ts).alias("t"))
+    w = Window.partitionBy("_pid").orderBy("_pos")
+    inside = s.select(key, entity, ts, "_en", "_ev", "_pid",
+                      F.lag(row).over(w).alias("_p"), F.lead(row).over(w).alias("_n"))
+    ends = s.groupBy("_pid").agg(F.min_by(row, "_pos").alias("_first"),
+                                 F.max_by(row, "_pos").alias("_last"))
+    by_pid = Window.orderBy("_pid")
+    edges = ends.select("_pid", F.lag("_last").over(by_pid).alias("_pl"),
+                        F.lead("_first").over(by_pid).alias("_nf"))
+    j = inside.join(F.broadcast(edges), "_pid")
+    prev = F.coalesce(F.col("_p"), F.col("_pl"))
+    nxt = F.coalesce(F.col("_n"), F.col("_nf"))
+
+    def same_phone(c):
+        return (c["_en"] == F.col("_en")) & (c["_ev"] == F.col("_ev"))
+
     return j.select(key, entity, ts,
-                    F.when(same_prev, F.col("_pts")).alias("previous_call"),
-                    F.when(same_next, F.col("_nts")).alias("next_call"))
+                    F.when(same_phone(prev), prev["t"]).alias("previous_call"),
+                    F.when(same_phone(nxt), nxt["t"]).alias("next_call"))

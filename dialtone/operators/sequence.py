@@ -48,22 +48,21 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def global_position(df: DataFrame, order: Sequence[str], name: str = "_g") -> DataFrame:
-    """Add a dense 0-based position in ``order`` (column names, ascending,
-    NULLs first).
+def sorted_partitions(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order`` (names, ascending, NULLs
+    first), with ``_pid`` (partition index, in order) and ``_pos`` (0-based
+    position inside the partition).
 
     The remaining columns are appended to the sort key. That breaks ties
-    deterministically and, more importantly, makes every branch below read
-    the same columns from the range exchange: otherwise column pruning gives
-    the per-partition count branch a narrower exchange that Spark does not
-    reuse, and a second exchange would sample its own range bounds.
+    deterministically and makes every consumer read the same columns from the
+    range exchange, so column pruning cannot fork it and Spark reuses one
+    exchange (a second one would sample its own bounds). The partition count is
+    explicit, so adaptive execution neither coalesces nor splits the exchange:
+    every consumer sees the same ``_pid`` for the same rows.
     """
     rest = [f for f in df.schema.fields if f.name not in set(order)]
     sort = [F.col(c).asc_nulls_first() for c in order]
     spark = df.sparkSession
-    # An explicit partition count: adaptive execution never coalesces or splits
-    # such a repartition, so every consumer of the (reused) exchange sees the
-    # same partitions and the same partition ids.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if all(_orderable(f.dataType) for f in rest) and _reuse_enabled(df):
         full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
@@ -75,15 +74,22 @@ def global_position(df: DataFrame, order: Sequence[str], name: str = "_g") -> Da
         checkpoint_dir(spark)
         s = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)
     s = s.withColumn("_mid", F.monotonically_increasing_id())
-    s = (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
-          .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
+    return (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
+             .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
+             .drop("_mid"))
+
+
+def global_position(df: DataFrame, order: Sequence[str], name: str = "_g") -> DataFrame:
+    """Add a dense 0-based position in ``order`` (column names, ascending,
+    NULLs first)."""
+    s = sorted_partitions(df, order)
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per shuffle partition: a bounded table, so a single-partition
     # window and a broadcast are safe here.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = s.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, F.col("_off") + F.col("_pos")).drop("_mid", "_pid", "_pos", "_off")
+    return out.withColumn(name, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off")
 
 
 def rank_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
