@@ -11,10 +11,9 @@ bounds split a hot key across many partitions. Then
    broadcast;
 3. dense global position g = rows in earlier partitions + position.
 
-For numbering within a key, rank = g - (smallest g of the key) + 1, where the
-smallest g and the key's row count come from one ``groupBy(k)`` aggregate
-(combined map-side) joined back with an inner join, which adaptive execution
-may split on both sides when a key is hot.
+For numbering within a key (``rank_within``), rank and count are taken per
+(range partition, key) and corrected for the few keys that continue across a
+partition edge from a table of at most two rows per partition.
 
 All branches read one range exchange (Spark reuses it). Its partition count is
 explicit, so adaptive execution neither coalesces nor splits it and every
@@ -97,21 +96,49 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
     """``row_number()`` over (partition by keys order by order), plus optionally
     the key's row count, without putting a hot key into one task.
 
-    NULL keys form one group, as in a window's PARTITION BY.
+    Rows are range-partitioned on (keys, order), so a hot key spans several
+    balanced partitions. Rank and count are first taken per (range partition,
+    key). Only a partition's first and last key can continue in another
+    partition; their per-partition counts form a table of at most two rows per
+    partition (bounded, broadcast) that gives each such (partition, key) the
+    rows of its key in earlier partitions and the key's total. NULL keys form
+    one group, as in a window's PARTITION BY.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = global_position(df, keys + list(order))
-    per_key = g.groupBy(*keys).agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    per_key = per_key.select(*[F.col(k).alias("_k_" + k) for k in keys], "_first", "_cnt")
-    cond = None
+    s = sorted_partitions(df, keys + list(order))
+    w = Window.partitionBy("_pid", *keys).orderBy("_pos")
+    local = s.select("*", F.row_number().over(w).alias("_lrn"),
+                     F.count(F.lit(1)).over(Window.partitionBy("_pid", *keys)).alias("_lcnt"))
+    kstruct = F.struct(*[F.col(k) for k in keys])
+    ends = s.groupBy("_pid").agg(F.min_by(kstruct, "_pos").alias("_fk"),
+                                 F.max_by(kstruct, "_pos").alias("_lk"))
+
+    def same_key(c):
+        cond = None
+        for k in keys:
+            e = F.col(k).eqNullSafe(F.col(c)[k])
+            cond = e if cond is None else cond & e
+        return cond
+
+    # (partition, key) rows for keys at a partition edge: at most two per partition.
+    edge = (local.filter(F.col("_lrn") == 1).join(F.broadcast(ends), "_pid")
+                 .filter(same_key("_fk") | same_key("_lk"))
+                 .select("_pid", *keys, F.col("_lcnt").alias("_c")))
+    by_key = Window.partitionBy(*keys).orderBy("_pid")
+    edge = edge.select(
+        F.col("_pid").alias("_epid"), *[F.col(k).alias("_e_" + k) for k in keys],
+        F.coalesce(F.sum("_c").over(by_key.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_before"),
+        F.sum("_c").over(Window.partitionBy(*keys)).alias("_total"))
+    cond = F.col("_pid") == F.col("_epid")
     for k in keys:
-        c = g[k].eqNullSafe(per_key["_k_" + k])
-        cond = c if cond is None else cond & c
-    j = g.join(per_key, cond, "inner")
-    out = j.withColumn(rank_name, F.col("_g") - F.col("_first") + 1)
+        cond = cond & F.col(k).eqNullSafe(F.col("_e_" + k))
+    j = local.join(F.broadcast(edge), cond, "left")
+    out = j.withColumn(rank_name, F.col("_lrn") + F.coalesce(F.col("_before"), F.lit(0)))
     if count_name:
-        out = out.withColumnRenamed("_cnt", count_name)
-    return out.drop("_g", "_first", "_cnt", *["_k_" + k for k in keys])
+        out = out.withColumn(count_name, F.coalesce(F.col("_total"), F.col("_lcnt")))
+    return out.drop("_pid", "_pos", "_lrn", "_lcnt", "_epid", "_before", "_total",
+                    *["_e_" + k for k in keys])
 
 
 def row_sequence(df: DataFrame, order: Sequence[str], name: str = "seq",
