@@ -65,7 +65,7 @@ def main(argv):
           "`recency_flags_buckets` against `recency_flags_window` (one window per phone);")
     print("- `ranked_values` (range-sorted numbering, hot keys split) against "
           "`ranked_values_window`;")
-    print("- `bcast` is only ever the per-partition offset table, bounded by the partition "
+    print("- `bcast` is only ever a per-partition table (offsets, partition edges), bounded by the partition "
           "count; `python` is 0 everywhere.\n")
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
