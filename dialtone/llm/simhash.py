@@ -44,7 +44,7 @@ class SimHash:
     shingle: int = 3
     distance: int = 3
     blocks: int = 5
-    hot: int = 4096
+    hot: int = 32_768
 
 
 def fingerprint(raw: bytes | None, shingle: int) -> int:
