@@ -47,7 +47,7 @@ class Mixing:
     block: int = 128
     shard: int = 4096
     buckets: int = 256
-    chunk: int = 65_536
+    chunk: int = 16_384
 
 
 def shuffled(x: Column, n: Column, key: Column) -> Column:
@@ -135,7 +135,9 @@ def plan(docs: DataFrame, keys: list[str], text: str = "text", source: str = "so
         "sid", "n_slots", "n_blocks", F.coalesce(F.sum("n_slots").over(in_order), F.lit(0).cast("long")).alias("grid"))
     total = goals.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
     chunks = owned.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / params.chunk))).alias("chunk"))
-    chunks = chunks.repartition("sid", "chunk")
+    # a number of partitions of our own: the rows are few before they are exploded, and the
+    # adaptive planner would put them in one
+    chunks = chunks.repartition(min(10_000, 1 + total // params.chunk), "sid", "chunk")
     low = F.col("chunk") * params.chunk
     slots = chunks.select("sid", "n_blocks", "grid", F.explode(
         F.sequence(low, F.least(low + params.chunk, F.col("n_slots")) - 1)).alias("i"))
@@ -148,9 +150,10 @@ def plan(docs: DataFrame, keys: list[str], text: str = "text", source: str = "so
 
 def taken(mix: Mix) -> DataFrame:
     """The documents of a mix with the words that it takes of each, repeats counted."""
-    uses = mix.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
+    # both grow with the input, whatever the planner makes of exploded ranges: no broadcast
+    uses = mix.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses")).hint("merge")
     words = (mix.pieces.join(uses, ["sid", "block"])
-             .groupBy("sid", "start").agg(F.sum(F.col("n_words") * F.col("uses")).alias("taken")))
+             .groupBy("sid", "start").agg(F.sum(F.col("n_words") * F.col("uses")).alias("taken")).hint("merge"))
     some = mix.documents.where("size > 0").join(words, ["sid", "start"], "left")
     none = mix.documents.where("size = 0").withColumn("taken", F.lit(None).cast("long"))
     return some.unionByName(none).withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
@@ -159,8 +162,8 @@ def taken(mix: Mix) -> DataFrame:
 def mixed_texts(docs: DataFrame, mix: Mix, key: str, text: str = "text") -> DataFrame:
     """The mix itself: per slot, in slot order, the words of its block, one row per document
     (shard, slot, part, ``key``, text). ``key`` must tell the documents apart."""
-    named = mix.documents.select("sid", "start", key)
-    used = (mix.slots.join(mix.pieces, ["sid", "block"]).join(named, ["sid", "start"])
+    named = mix.documents.where("size > 0").select("sid", "start", key)   # an empty text shares its start with the next
+    used = (mix.slots.hint("merge").join(mix.pieces, ["sid", "block"]).join(named.hint("merge"), ["sid", "start"])
             .select("shard", "slot", F.col("start").alias("part"), key, "first", "n_words"))
     words = docs.select(key, F.regexp_extract_all(F.col(text), F.lit(WORD), 0).alias("_words"))
     cut = F.array_join(F.slice("_words", (F.col("first") + 1).cast("int"), F.col("n_words").cast("int")), " ")
