@@ -21,16 +21,10 @@ from dialtone.session import build_session  # noqa: E402
 
 HEADLINE = [
     "ivr_detail",                 # three-level flatten, skew-safe joins
-    "ivr_detail_plain_joins",     # same, plain left joins
     "summary_max",                # flagship: fused summary, skew-safe repeat flags
-    "summary_max_joins",          # the eight-join plan
     "summary_best_row",           # method 2, fused
-    "summary_best_row_joins",     # method 2, eight joins
     "recency_flags",              # repeat flags, dense positions (skew-safe, default)
-    "recency_flags_buckets",      # repeat flags, per-(phone, day) windows
-    "recency_flags_window",       # repeat flags, one window per phone
     "ranked_values",              # rank in call, range-partitioned
-    "ranked_values_window",       # rank in call, window
     "call_flags",
     "values_per_key_histogram",
     "collect_parallel",

@@ -7,7 +7,6 @@ functions  column expressions (date ids, label classes, cleaners) and SQL functi
 operators  DataFrame operators: detail, profile, features, recency, summary,
            cleaning, validation, skew-safe sequencing
 plans      end-to-end jobs that build and replace tables
-streaming  incremental (Structured Streaming) form of the per-call flags
 """
 
 __all__ = ["session"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import date_id
 from ..sources.ivr_schema import CALL_COLUMNS, CALL_ID, DETAIL_COLUMNS, MODULE_SEQ
-from .joins import left_join
+from .joins import left_join, left_join_parts, with_nulls
 
 
 def prefixed_calls(calls: DataFrame, key: str = CALL_ID, prefix: str = "calls_") -> DataFrame:
@@ -39,11 +39,17 @@ def build_detail(calls: DataFrame, modules: DataFrame, steps: DataFrame,
                          for x in modules.columns])
     s = steps.select(*[F.col(x).alias("_s_" + x) if x in (key, seq) else F.col(x)
                        for x in steps.columns])
-    cm = left_join(c, m, [f"calls_{key}"], [f"_m_{key}"], skew_safe=skew_safe)
     # The module's own id equals the call id whenever a module matched and is
     # NULL otherwise, so joining steps on the call id is the same join.
-    cms = left_join(cm, s, [f"calls_{key}", f"_m_{seq}"], [f"_s_{key}", f"_s_{seq}"],
-                    skew_safe=skew_safe)
+    on_steps = ([f"calls_{key}", f"_m_{seq}"], [f"_s_{key}", f"_s_{seq}"])
+    if skew_safe:
+        # calls without a module skip the second join
+        cm, alone = left_join_parts(c, m, [f"calls_{key}"], [f"_m_{key}"])
+        cms = left_join(cm, s, *on_steps).unionByName(
+            with_nulls(alone, [*m.schema.fields, *s.schema.fields]))
+    else:
+        cm = left_join(c, m, [f"calls_{key}"], [f"_m_{key}"], skew_safe=False)
+        cms = left_join(cm, s, *on_steps, skew_safe=False)
     out = cms.withColumnRenamed(f"_m_{seq}", seq)
     return out.select(*DETAIL_COLUMNS)
 

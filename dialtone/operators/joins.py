@@ -25,20 +25,17 @@ def _cond(left: DataFrame, right: DataFrame, lk: Sequence[str], rk: Sequence[str
     return cond
 
 
-def left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-              right_keys: Sequence[str], skew_safe: bool = True) -> DataFrame:
-    """LEFT OUTER JOIN on ``left_keys == right_keys``; output = left cols + right cols.
+def left_join_parts(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                    right_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The skew-safe left join as (matched rows, left rows without a match).
 
-    Column names of the two sides must not collide.
+    A caller that joins the result again on columns of ``right`` needs to pass on
+    the matched rows only: the others have NULL there and can match nothing.
     """
     out_cols = left.columns + right.columns
-    if not skew_safe:
-        return left.join(right, _cond(left, right, left_keys, right_keys), "left").select(*out_cols)
-
-    # Rows with a NULL key can never match: they pass straight through. The
-    # rest carries the same explicit NOT NULL filter in the inner and the anti
-    # branch, so both plan the same left subtree and Spark reuses its exchange
-    # (otherwise the inner join's inferred filters make the two differ).
+    # Rows with a NULL key can never match. The rest carries the same explicit
+    # NOT NULL filter in the inner and the anti branch, so both plan the same
+    # left subtree and Spark reuses its exchange.
     known = F.lit(True)
     for k in left_keys:
         known = known & F.col(k).isNotNull()
@@ -46,7 +43,23 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     matched = left_nn.join(right, _cond(left_nn, right, left_keys, right_keys), "inner").select(*out_cols)
     keys = right.select(*right_keys).distinct()
     unmatched = left_nn.join(keys, _cond(left_nn, keys, left_keys, right_keys), "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    no_key = left.filter(~known)
-    return (matched.unionByName(unmatched.select(*left.columns, *nulls))
-                   .unionByName(no_key.select(*left.columns, *nulls)))
+    return matched, unmatched.select(*left.columns).unionByName(left.filter(~known))
+
+
+def with_nulls(rows: DataFrame, fields) -> DataFrame:
+    """``rows`` with a NULL column per field."""
+    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def left_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+              right_keys: Sequence[str], skew_safe: bool = True) -> DataFrame:
+    """LEFT OUTER JOIN on ``left_keys == right_keys``; output = left cols + right cols.
+
+    Column names of the two sides must not collide.
+    """
+    out_cols = left.columns + right.columns
+    if not skew_safe:
+        return left.join(right, _cond(left, right, left_keys, right_keys), "left").select(*out_cols)
+
+    matched, unmatched = left_join_parts(left, right, left_keys, right_keys)
+    return matched.unionByName(with_nulls(unmatched, right.schema.fields))

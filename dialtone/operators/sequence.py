@@ -63,15 +63,17 @@ def sorted_partitions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     sort = [F.col(c).asc_nulls_first() for c in order]
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if all(_orderable(f.dataType) for f in rest) and _reuse_enabled(df):
-        full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
-        s = df.repartitionByRange(n, *full).sortWithinPartitions(*full)
-    else:
-        # Unorderable columns or no exchange reuse: materialise the sorted rows
-        # once in the shared checkpoint folder so all branches see one order.
-        from ..session import checkpoint_dir
-        checkpoint_dir(spark)
-        s = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).checkpoint(eager=True)
+    unorderable = [f.name for f in rest if not _orderable(f.dataType)]
+    if unorderable or not _reuse_enabled(df):
+        raise ValueError(
+            "a distributed numbering needs orderable columns and spark.sql.exchange.reuse=true"
+            + (f"; drop or convert {', '.join(unorderable)}" if unorderable else ""))
+    # range bounds hold the order columns and a hash, not whole rows; inside a
+    # partition the remaining columns make the order total
+    tie = F.xxhash64(*[F.col(f.name) for f in rest]) if rest else F.lit(0)
+    full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
+    s = (df.withColumn("_tie", tie).repartitionByRange(n, *sort, F.col("_tie"))
+           .sortWithinPartitions(*sort, "_tie", *full[len(sort):]).drop("_tie"))
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     return (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
              .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))

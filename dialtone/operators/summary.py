@@ -114,12 +114,14 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
         key, F.struct(F.col("calls_phone_number").alias("p"), F.col("calls_start_date").alias("s"),
                       F.col("repeated_phone_24H").alias("rep"),
                       F.col("cause_recall_phone_24H").alias("cause")).alias("_rv"),
-        F.lit(False).alias("_det"))
+        F.lit(False).alias("_det")).filter(F.col(key).isNotNull())
     used = [key, *BASE_COLUMNS, "calls_vdn_label", *DOC_COLS, "customer_phone",
             "billing_account_id", "module_name", "step_name", "step_result"]
     det_rows = detail.select(*used, F.lit(True).alias("_det"))
     rows_ = det_rows.unionByName(rec_rows, allowMissingColumns=True)
-    d = F.col("_det")
+    # NULL ids never join in the source: their features are NULL, so their rows
+    # enter the group's MAX only and no array is collected from them.
+    d = F.col("_det") & F.col(key).isNotNull()
 
     def on_detail(c: Column) -> Column:
         return F.when(d, c)
@@ -127,7 +129,7 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
     if method == "max":
         base_aggs = [F.max(c).alias(c) for c in BASE_COLUMNS]
     else:
-        base_aggs = [F.max(on_detail(_scored_row(BEST_PAYLOAD, PHONE_SCORE_COLS, SENTINEL)))
+        base_aggs = [F.max(F.when(F.col("_det"), _scored_row(BEST_PAYLOAD, PHONE_SCORE_COLS, SENTINEL)))
                      .alias("_best")]
     docs_known = all_known(DOC_COLS)
     agg = rows_.groupBy(key).agg(

@@ -85,7 +85,7 @@ def run(spark: SparkSession, calls_path: str, modules_path: str, steps_path: str
 
 
 def main(argv=None) -> None:
-    from ..session import build_session
+    from ..session import build_session, scale_session
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--calls", required=True)
     p.add_argument("--modules", required=True)
@@ -94,6 +94,7 @@ def main(argv=None) -> None:
     p.add_argument("--format", default="parquet")
     a = p.parse_args(argv)
     spark = build_session()
+    scale_session(spark, [a.calls, a.modules, a.steps])
     for name, path in run(spark, a.calls, a.modules, a.steps, a.out, a.format).items():
         print(name, path)
 

@@ -55,7 +55,7 @@ def check_model(spark: SparkSession, base_path: str, model: Sequence[TableSpec]
 
 
 def main(argv=None) -> None:
-    from ..session import build_session
+    from ..session import build_session, scale_session
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--base", required=True)
     p.add_argument("--out")
@@ -63,8 +63,10 @@ def main(argv=None) -> None:
     p.add_argument("--assign-keys", action="store_true")
     a = p.parse_args(argv)
     spark = build_session()
+    scale_session(spark, [a.base])
     rep = check_model(spark, a.base, fmt=a.format, assign_keys=a.assign_keys, out_path=a.out)
-    rep.filter("violations > 0").show(200, truncate=False)
+    for row in rep.filter("violations > 0").toLocalIterator():  # a row per rule
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -53,12 +53,14 @@ def detail(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFram
     return build_detail(calls, modules, steps, skew_safe=skew_safe)
 
 
-def _q_detail(spark, d):
-    return detail(spark, d)
+def call_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail's call columns. The left joins keep every call and copy its columns,
+    so what reads only these and ignores repeats needs no join."""
+    return prefixed_calls(ivr_tables(spark, sf_dir)[0])
 
 
-def _q_detail_plain(spark, d):
-    return detail(spark, d, skew_safe=False)
+def _q_detail(spark, d):
+    return detail(spark, d)
 
 
 def _q_date_id(spark, d):
@@ -68,7 +70,7 @@ def _q_date_id(spark, d):
 
 
 def _q_classify_label(spark, d):
-    return feat.classify_label(detail(spark, d))
+    return feat.classify_label(call_rows(spark, d))
 
 
 def _q_flag_module(spark, d):
@@ -116,8 +118,9 @@ def _q_ranked_values(spark, d):
     return profile.ranked_values(detail(spark, d))
 
 
-def _q_ranked_values_window(spark, d):
-    return profile.ranked_values(detail(spark, d), skew_safe=False)
+def _q_ranked_accounts(spark, d):
+    return profile.ranked_values(detail(spark, d), cols=["billing_account_id"], min_count=1,
+                                 count_name="bills_per_call")
 
 
 def _q_distinct_per_group(spark, d):
@@ -150,34 +153,22 @@ def _q_collect_values_multi(spark, d):
 
 
 def _q_recency_flags(spark, d):
-    return recency_flags(detail(spark, d))
-
-
-def _q_recency_flags_buckets(spark, d):
-    return recency_flags(detail(spark, d), bucket="day")
-
-
-def _q_recency_flags_window(spark, d):
-    return recency_flags(detail(spark, d), skew_safe=False)
+    return recency_flags(call_rows(spark, d))
 
 
 def _q_base_by_max(spark, d):
-    return summary.base_by_max(detail(spark, d))
+    return summary.base_by_max(call_rows(spark, d))
 
 
 def _q_best_row(spark, d):
     return summary.best_row(detail(spark, d))
 
 
-def _q_summary(method, form, skew_safe=True):
+def _q_summary(method):
     def q(spark, d):
         calls, modules, steps = ivr_tables(spark, d)
-        det = build_detail(calls, modules, steps)
-        # The fused form reads the repeat-flag inputs straight from the calls;
-        # the eight-join form stays literal and reads them from the detail.
-        rec_calls = prefixed_calls(calls) if form == "fused" else None
-        return arrays_as_text(summary.build_summary(det, method=method, form=form,
-                                                    skew_safe=skew_safe, calls=rec_calls))
+        return arrays_as_text(summary.build_summary(build_detail(calls, modules, steps), method=method,
+                                                    calls=prefixed_calls(calls)))
     return q
 
 
@@ -204,7 +195,6 @@ def _q_drop_unknown(spark, d):
 
 IVR_QUERIES: dict[str, Query] = {
     "ivr_detail": _q_detail,
-    "ivr_detail_plain_joins": _q_detail_plain,
     "date_id": _q_date_id,
     "classify_label": _q_classify_label,
     "flag_module": _q_flag_module,
@@ -217,7 +207,7 @@ IVR_QUERIES: dict[str, Query] = {
     "combination_coverage": _q_combination_coverage,
     "values_per_key_histogram": _q_values_per_key_histogram,
     "ranked_values": _q_ranked_values,
-    "ranked_values_window": _q_ranked_values_window,
+    "ranked_accounts": _q_ranked_accounts,
     "distinct_per_group": _q_distinct_per_group,
     "multi_valued_keys": _q_multi_valued_keys,
     "multi_valued_phones": _q_multi_valued_phones,
@@ -226,14 +216,10 @@ IVR_QUERIES: dict[str, Query] = {
     "collect_values": _q_collect_values,
     "collect_values_multi": _q_collect_values_multi,
     "recency_flags": _q_recency_flags,
-    "recency_flags_buckets": _q_recency_flags_buckets,
-    "recency_flags_window": _q_recency_flags_window,
     "base_by_max": _q_base_by_max,
     "best_row": _q_best_row,
-    "summary_max": _q_summary("max", "fused"),
-    "summary_max_joins": _q_summary("max", "joins"),
-    "summary_best_row": _q_summary("best_row", "fused"),
-    "summary_best_row_joins": _q_summary("best_row", "joins"),
+    "summary_max": _q_summary("max"),
+    "summary_best_row": _q_summary("best_row"),
     "clean_int": _q_clean_int,
     "clean_int_sql": _q_clean_int_sql,
     "drop_unknown": _q_drop_unknown,
@@ -262,6 +248,11 @@ def _q_check_primary_key(spark, d):
     return validate.check_unique(read_table(spark, d, "orders"), ["o_orderkey"], allow_null=False)
 
 
+def _q_check_primary_key_detail(spark, d):
+    # the call id is no key of the detail; calls without a step have no step key at all
+    return validate.check_unique(detail(spark, d), ["step_sequence"], allow_null=False)
+
+
 def _q_check_foreign_key(spark, d):
     # orders whose key has no line item (the reverse of the declared direction)
     return validate.check_foreign_key(read_table(spark, d, "orders"), ["o_orderkey"],
@@ -288,6 +279,15 @@ def _q_assign_key(spark, d):
                                ["ivr_id", "module_sequece", "module_name", "module_result"])
 
 
+def _q_assign_key_continued(spark, d):
+    """Half of the modules have a key already; the others go on above its maximum."""
+    mods = modules_from_lineitem(read_table(spark, d, "lineitem"))
+    keyed = mods.withColumn("module_id", F.when(
+        F.col("module_sequece") % 2 == 0, (F.col("ivr_id") * 10 + F.col("module_sequece")).cast("bigint")))
+    return validate.assign_key(keyed, "module_id",
+                               ["ivr_id", "module_sequece", "module_name", "module_result"])
+
+
 def _q_validate_model(spark, d):
     tables = {t.name: read_table(spark, d, t.name) for t in TPCH_MODEL}
     for spec in TPCH_MODEL:
@@ -300,11 +300,13 @@ MODEL_QUERIES: dict[str, Query] = {
     "check_not_null": _q_check_not_null,
     "check_unique": _q_check_unique,
     "check_primary_key": _q_check_primary_key,
+    "check_primary_key_detail": _q_check_primary_key_detail,
     "check_foreign_key": _q_check_foreign_key,
     "check_foreign_key_lineitem": _q_check_foreign_key_lineitem,
     "check_domain": _q_check_domain,
     "check_length": _q_check_length,
     "assign_key": _q_assign_key,
+    "assign_key_continued": _q_assign_key_continued,
     "validate_model": _q_validate_model,
 }
 

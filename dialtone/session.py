@@ -7,9 +7,6 @@ local bench need.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on for exact, reproducible results.
@@ -46,56 +43,43 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Set the runtime settings the operators rely on (idempotent)."""
+    """Set the runtime settings the operators rely on (idempotent); raises where a
+    session holds another value, since dates and plans would differ silently."""
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings on a managed cluster
-            pass
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+        if spark.conf.get(k) != v:
+            raise RuntimeError(f"{k} must be {v}, not {spark.conf.get(k)}")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only locally.
-
-    On a cluster the folder must come from ``spark.checkpoint.dir`` (a shared
-    file system); a machine-local folder would not survive executor loss.
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not is_local(spark):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; a shared checkpoint folder is "
-                "required on a cluster")
-        configured = tempfile.mkdtemp(prefix="dialtone-ckpt-",
-                                      dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
-
-
-def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
     """Settings sized for a large input (e.g. 100 TB on 1000 executors).
 
     * shuffle partitions: about one per ``target_partition_mb`` of the largest
       shuffle (the detail's joins move roughly the input once), at least two
-      waves of the cluster's cores, capped so map-status tracking on the
-      driver stays bounded; AQE then coalesces small partitions and splits
-      skewed ones at run time;
+      waves of the cluster's cores; AQE then coalesces small partitions and
+      splits skewed ones at run time;
     * file splits of the same size, so a scan task's batch fits in memory;
     * AQE advisory size equal to the target, so coalescing aims for it.
     """
     target = target_partition_mb * 1024 * 1024
-    parts = max(2 * total_cores, min(max_partitions, -(-input_bytes // target)))
+    parts = max(2 * total_cores, -(-input_bytes // target))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
     }
+
+
+def scale_session(spark: SparkSession, paths: list[str]) -> None:
+    """Apply ``scale_conf`` for the files under ``paths`` (any Hadoop file system)."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    size = 0
+    for p in map(path_of, paths):
+        fs = p.getFileSystem(hadoop)
+        if fs.exists(p):
+            size += fs.getContentSummary(p).getLength()
+    for k, v in scale_conf(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(k, v)

@@ -54,6 +54,18 @@ def calls_from_events(events: DataFrame) -> DataFrame:
     ).select(*CALL_COLUMNS)
 
 
+def modules_from_orders(orders: DataFrame) -> DataFrame:
+    """A header module (sequence 0) per customer with orders; it has no steps, and calls
+    beyond the customers' keys keep having no module at all."""
+    return orders.select("o_custkey").distinct().select(
+        F.col("o_custkey").cast("double").alias("ivr_id"),
+        F.lit(0).cast("int").alias("module_sequece"),
+        F.lit("HEADER").alias("module_name"),
+        F.lit(0).cast("bigint").alias("module_duration"),
+        F.lit("OK").alias("module_result"),
+    ).select(*MODULE_COLUMNS)
+
+
 def modules_from_lineitem(lineitem: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
     return li.select(
@@ -67,7 +79,7 @@ def modules_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def steps_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    li = lineitem.filter(F.col("l_linestatus") == "F")
+    li = lineitem
     name = F.lit("X")
     for flag, step in reversed(list(STEP_NAME_OF_RETURN_FLAG.items())):
         name = F.when(F.col("l_returnflag") == flag, step).otherwise(name)
@@ -91,5 +103,7 @@ def ivr_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     """(calls, modules, steps) derived from the driver tables in ``sf_dir``."""
     events = read_table(spark, sf_dir, "events")
     lineitem = read_table(spark, sf_dir, "lineitem")
-    return (calls_from_events(events), modules_from_lineitem(lineitem),
-            steps_from_lineitem(lineitem))
+    modules = modules_from_lineitem(lineitem)
+    headers = modules_from_orders(read_table(spark, sf_dir, "orders"))
+    headers = headers.select(*[F.col(f.name).cast(f.dataType) for f in modules.schema.fields])
+    return calls_from_events(events), modules.unionByName(headers), steps_from_lineitem(lineitem)

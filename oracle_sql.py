@@ -32,7 +32,8 @@ MODS = """mods AS (
          CASE WHEN l_returnflag = 'R' THEN 'AVERIA_MASIVA' ELSE 'OTHER' END AS module_name,
          CAST(l_linenumber * 30 AS BIGINT) AS module_duration,
          CASE WHEN l_returnflag = 'N' THEN 'OK' ELSE 'KO' END AS module_result
-  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem) x)"""
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem) x
+  UNION ALL SELECT DISTINCT CAST(o_custkey AS DOUBLE), 0, 'HEADER', 0, 'OK' FROM orders)"""
 
 STEPS = """steps AS (
   SELECT CAST(l_orderkey AS DOUBLE) AS ivr_id, l_linenumber AS module_sequece,
@@ -45,7 +46,7 @@ STEPS = """steps AS (
          CASE WHEN l_partkey % 3 = 0 THEN 'UNKNOWN' ELSE CAST(l_partkey AS VARCHAR) END AS document_identification,
          CASE WHEN l_suppkey % 10 <> 0 THEN 'UNKNOWN' ELSE CAST(l_suppkey AS VARCHAR) END AS customer_phone,
          CASE WHEN l_partkey % 4 <> 0 THEN 'UNKNOWN' ELSE CAST(l_partkey AS VARCHAR) END AS billing_account_id
-  FROM lineitem WHERE l_linestatus = 'F')"""
+  FROM lineitem)"""
 
 DET = """det AS (
   SELECT calls.ivr_id AS calls_ivr_id,
@@ -86,203 +87,125 @@ def ivr(sql: str, extra_ctes: str = "") -> str:
     return head + "\n" + sql
 
 
-# --- fixed expressions shared by several oracles ------------------------------------
-LABEL_CASE = """CASE
-    WHEN UPPER(calls_vdn_label) LIKE 'ATC%' THEN 'FRONT'
-    WHEN UPPER(calls_vdn_label) LIKE 'TECH%' THEN 'TECH'
-    WHEN UPPER(calls_vdn_label) = 'ABSORPTION' THEN 'ABSORPTION'
-    ELSE 'RESTO' END"""
-DOCS_KNOWN = "document_type != 'UNKNOWN' AND document_identification != 'UNKNOWN'"
-MASIVA = "MAX(CASE WHEN module_name = 'AVERIA_MASIVA' THEN 1 ELSE 0 END)"
-INFO_PHONE = ("MAX(CASE WHEN step_name = 'CUSTOMERINFOBYPHONE.TX' AND step_result = 'OK' "
-              "THEN 1 ELSE 0 END)")
-INFO_PHONE_REFINED = ("MAX(CASE WHEN step_name = 'CUSTOMERINFOBYPHONE.TX' AND step_result = 'OK' "
-                      "AND customer_phone != 'UNKNOWN' THEN 1 ELSE 0 END)")
-INFO_DNI = ("MAX(CASE WHEN step_name = 'CUSTOMERINFOBYDNI.TX' AND step_result = 'OK' "
-            "THEN 1 ELSE 0 END)")
+# --- features of a call ---------------------------------------------------------------
+# One grouped table holds all of a call's features; sorted distinct lists come straight
+# from the aggregate, so ranks are list positions and counts are list lengths.
 BASE_COLS = ["calls_phone_number", "calls_ivr_result", "calls_start_date", "calls_end_date",
              "calls_total_duration", "calls_customer_segment", "calls_ivr_language",
              "calls_steps_module", "calls_module_aggregation"]
 BEST_PAYLOAD = BASE_COLS + ["customer_phone", "billing_account_id"]
-SCORE = ("(CASE WHEN calls_phone_number IS NOT NULL AND calls_phone_number != 'UNKNOWN' THEN 1 ELSE 0 END"
-         " + CASE WHEN customer_phone IS NOT NULL AND customer_phone != 'UNKNOWN' THEN 1 ELSE 0 END"
-         " + CASE WHEN billing_account_id IS NOT NULL AND billing_account_id != 'UNKNOWN' THEN 1 ELSE 0 END)")
-BEST_ORDER = SCORE + " DESC, " + ", ".join(f"{c} DESC NULLS LAST" for c in BEST_PAYLOAD)
-
-DOCS_RANKED = f"""doc_ranks AS (
-  SELECT calls_ivr_id, document_type, document_identification,
-         CAST(ROW_NUMBER() OVER (PARTITION BY calls_ivr_id
-                                 ORDER BY document_type, document_identification) AS INTEGER) AS rn,
-         COUNT(*) OVER (PARTITION BY calls_ivr_id) AS docs_per_call
-  FROM det WHERE {DOCS_KNOWN}
-  GROUP BY 1, 2, 3)"""
-BILLS_RANKED = """bill_ranks AS (
-  SELECT calls_ivr_id, billing_account_id,
-         ROW_NUMBER() OVER (PARTITION BY calls_ivr_id ORDER BY billing_account_id) AS rn,
-         COUNT(*) OVER (PARTITION BY calls_ivr_id) AS bills_per_call
-  FROM det WHERE billing_account_id != 'UNKNOWN'
-  GROUP BY 1, 2)"""
-PHONE_DATES = """phone_neighbours AS (
-  SELECT calls_ivr_id, calls_phone_number, calls_start_date,
-         LAG(calls_start_date) OVER (PARTITION BY calls_phone_number
-             ORDER BY calls_start_date ASC NULLS FIRST, calls_ivr_id ASC NULLS FIRST) AS previous_call,
-         LEAD(calls_start_date) OVER (PARTITION BY calls_phone_number
-             ORDER BY calls_start_date ASC NULLS FIRST, calls_ivr_id ASC NULLS FIRST) AS next_call
-  FROM det
-  GROUP BY 1, 2, 3),
-neighbour_flags AS (
-  SELECT *,
-         CASE WHEN previous_call IS NOT NULL
-               AND date_sub('hour', previous_call, calls_start_date) < 24 THEN 1 ELSE 0 END AS repeated_phone_24H,
-         CASE WHEN next_call IS NOT NULL
-               AND date_sub('hour', calls_start_date, next_call) < 24 THEN 1 ELSE 0 END AS cause_recall_phone_24H
-  FROM phone_neighbours)"""
-
-FEATURE_CTES = ",\n".join([
-    f"""label_class_rows AS (SELECT DISTINCT calls_ivr_id, calls_vdn_label, {LABEL_CASE} AS vdn_aggregation FROM det)""",
-    DOCS_RANKED,
-    """doc_lists AS (
-  SELECT calls_ivr_id, docs_per_call,
-         list(document_type ORDER BY rn) AS documents_types,
-         list(document_identification ORDER BY rn) AS document_identifications
-  FROM doc_ranks GROUP BY 1, 2)""",
-    """call_phone_rows AS (
-  SELECT calls_ivr_id, customer_phone, COUNT(DISTINCT customer_phone) AS phones_per_register
-  FROM det WHERE customer_phone != 'UNKNOWN' GROUP BY 1, 2)""",
-    BILLS_RANKED,
-    """bill_lists AS (
-  SELECT calls_ivr_id, bills_per_call, list(billing_account_id ORDER BY rn) AS bills_per_register
-  FROM bill_ranks GROUP BY 1, 2)""",
-    f"outage_flag AS (SELECT calls_ivr_id, {MASIVA} AS masiva_lg FROM det GROUP BY 1)",
-    f"phone_id_flag AS (SELECT calls_ivr_id, {INFO_PHONE_REFINED} AS info_by_phone_lg FROM det GROUP BY 1)",
-    f"dni_id_flag AS (SELECT calls_ivr_id, {INFO_DNI} AS info_by_dni_lg FROM det GROUP BY 1)",
-    PHONE_DATES,
-])
-
-FEATURE_SELECT = """label_class_rows.vdn_aggregation AS vdn_aggregation,
-  array_to_string(doc_lists.documents_types, ',') AS document_type,
-  array_to_string(doc_lists.document_identifications, ',') AS document_identification,
-  call_phone_rows.customer_phone AS customer_phone,
-  array_to_string(bill_lists.bills_per_register, ',') AS billing_account_id,
-  outage_flag.masiva_lg AS masiva_lg,
-  phone_id_flag.info_by_phone_lg AS info_by_phone_lg,
-  dni_id_flag.info_by_dni_lg AS info_by_dni_lg,
-  neighbour_flags.repeated_phone_24H AS repeated_phone_24H,
-  neighbour_flags.cause_recall_phone_24H AS cause_recall_24H"""
-
-
-def _feature_joins(base: str, key: str) -> str:
-    return "\n".join(
-        f"LEFT JOIN {t} ON {base}.{key} = {t}.calls_ivr_id"
-        for t in ("label_class_rows", "doc_lists", "call_phone_rows", "bill_lists", "outage_flag",
-                  "phone_id_flag", "dni_id_flag", "neighbour_flags"))
-
-
-SUMMARY_MAX = ivr(f"""
-SELECT b.calls_ivr_id AS ivr_id,
-  b.calls_phone_number AS phone_number, b.calls_ivr_result AS ivr_result,
-  {FEATURE_SELECT},
-  b.calls_start_date AS start_date, b.calls_end_date AS end_date,
-  b.calls_total_duration AS total_duration, b.calls_customer_segment AS customer_segment,
-  b.calls_ivr_language AS ivr_language, b.calls_steps_module AS steps_module,
-  b.calls_module_aggregation AS module_aggregation
-FROM max_base b
-{_feature_joins('b', 'calls_ivr_id')}""",
-    "max_base AS (SELECT calls_ivr_id, "
-    + ", ".join(f"MAX({c}) AS {c}" for c in BASE_COLS)
-    + " FROM det GROUP BY calls_ivr_id),\n" + FEATURE_CTES)
-
-SUMMARY_BEST_ROW = ivr(f"""
-SELECT scored_rows.calls_ivr_id AS ivr_id,
-  scored_rows.calls_phone_number AS phone_number, scored_rows.calls_ivr_result AS ivr_result,
-  {FEATURE_SELECT},
-  scored_rows.calls_start_date AS start_date, scored_rows.calls_end_date AS end_date,
-  scored_rows.calls_total_duration AS total_duration,
-  scored_rows.calls_customer_segment AS customer_segment,
-  scored_rows.calls_ivr_language AS ivr_language, scored_rows.calls_steps_module AS steps_module,
-  scored_rows.calls_module_aggregation AS module_aggregation
-FROM scored_rows
-{_feature_joins('scored_rows', 'calls_ivr_id')}
-WHERE scored_rows.rn = 1""",
-    "scored_rows AS (SELECT calls_ivr_id, " + ", ".join(BEST_PAYLOAD)
-    + f", ROW_NUMBER() OVER (PARTITION BY calls_ivr_id ORDER BY {BEST_ORDER}) AS rn FROM det),\n"
-    + FEATURE_CTES)
-
-CLEAN_INT = ivr("""SELECT calls_ivr_id,
-  COALESCE(CAST(module_sequece AS BIGINT), -99999) AS module_sequece,
-  COALESCE(CAST(step_sequence AS BIGINT), -99999) AS step_sequence,
-  COALESCE(CAST(calls_steps_module AS BIGINT), -99999) AS calls_steps_module
-FROM det""")
+
+FACTS = """facts AS (
+  SELECT calls_ivr_id,
+    list_sort(list(DISTINCT {'t': document_type, 'n': document_identification})
+      FILTER (document_type <> 'UNKNOWN' AND document_identification <> 'UNKNOWN')) AS docs,
+    list_sort(list(DISTINCT billing_account_id) FILTER (billing_account_id <> 'UNKNOWN')) AS bills,
+    list_sort(list(DISTINCT customer_phone) FILTER (customer_phone <> 'UNKNOWN')) AS phones,
+    coalesce(bool_or(module_name = 'AVERIA_MASIVA'), false)::INT AS outage,
+    coalesce(bool_or(step_name = 'CUSTOMERINFOBYPHONE.TX' AND step_result = 'OK'), false)::INT AS by_phone,
+    coalesce(bool_or(step_name = 'CUSTOMERINFOBYPHONE.TX' AND step_result = 'OK'
+      AND customer_phone <> 'UNKNOWN'), false)::INT AS by_known_phone,
+    coalesce(bool_or(step_name = 'CUSTOMERINFOBYDNI.TX' AND step_result = 'OK'), false)::INT AS by_dni
+  FROM det GROUP BY calls_ivr_id)"""
+
+# label classes as a table of patterns; what none matches is 'RESTO'
+LABELS = """label_patterns(pattern, class) AS (
+  VALUES ('^ATC', 'FRONT'), ('^TECH', 'TECH'), ('^ABSORPTION$', 'ABSORPTION')),
+labelled AS (
+  SELECT c.ivr_id AS calls_ivr_id, c.vdn_label AS calls_vdn_label, coalesce(p.class, 'RESTO') AS vdn_aggregation
+  FROM (SELECT DISTINCT ivr_id, vdn_label FROM calls) c
+  LEFT JOIN label_patterns p ON regexp_matches(upper(c.vdn_label), p.pattern))"""
+
+# the calls of a phone in time order as one list: neighbours are the next places
+TIMELINES = """timelines AS (
+  SELECT phone_number, list_sort(list(DISTINCT {'began': start_date, 'id': ivr_id}), 'ASC', 'NULLS FIRST') AS line
+  FROM calls GROUP BY phone_number),
+neighbours AS (
+  SELECT phone_number, line[i].id AS id, line[i].began AS began,
+         CASE WHEN i > 1 THEN line[i - 1].began END AS previous_call,
+         CASE WHEN i < len(line) THEN line[i + 1].began END AS next_call
+  FROM (SELECT phone_number, line, unnest(range(1, len(line) + 1)) AS i FROM timelines)),
+repeats AS (
+  SELECT id AS calls_ivr_id, phone_number AS calls_phone_number, began AS calls_start_date, previous_call, next_call,
+         coalesce(began - previous_call < INTERVAL 24 HOUR, false)::INT AS "repeated_phone_24H",
+         coalesce(next_call - began < INTERVAL 24 HOUR, false)::INT AS "cause_recall_phone_24H"
+  FROM neighbours)"""
+
+MAX_BASE = ("base AS (SELECT ivr_id AS calls_ivr_id, "
+            + ", ".join(f"max({c[6:]}) AS {c}" for c in BASE_COLS) + " FROM calls GROUP BY ivr_id)")
+KNOWN = " + ".join(f"coalesce({c} <> 'UNKNOWN', false)::INT"
+                   for c in ("calls_phone_number", "customer_phone", "billing_account_id"))
+FIRST = ", ".join([f"{KNOWN} DESC", *(f"{c} DESC NULLS LAST" for c in BEST_PAYLOAD)])
+BEST_BASE = ("base AS (SELECT calls_ivr_id, "
+             + ", ".join(f"picked.{c} AS {c}" for c in BEST_PAYLOAD)
+             + " FROM (SELECT calls_ivr_id, first({"
+             + ", ".join(f"'{c}': {c}" for c in BEST_PAYLOAD)
+             + f"}} ORDER BY {FIRST}) AS picked FROM det GROUP BY calls_ivr_id))")
+
+
+def summary(base: str) -> str:
+    """A row per label class, known phone and repeat variant of a call."""
+    own = ", ".join(f"b.{c} AS {c[6:]}" for c in BASE_COLS)
+    return ivr(f"""
+SELECT b.calls_ivr_id AS ivr_id, {own}, l.vdn_aggregation,
+  array_to_string(list_transform(f.docs, lambda x: x.t), ',') AS document_type,
+  array_to_string(list_transform(f.docs, lambda x: x.n), ',') AS document_identification,
+  unnest(coalesce(f.phones, [NULL])) AS customer_phone, array_to_string(f.bills, ',') AS billing_account_id,
+  f.outage AS masiva_lg, f.by_known_phone AS info_by_phone_lg, f.by_dni AS info_by_dni_lg,
+  r."repeated_phone_24H", r."cause_recall_phone_24H" AS "cause_recall_24H"
+FROM base b LEFT JOIN facts f USING (calls_ivr_id) LEFT JOIN labelled l USING (calls_ivr_id)
+LEFT JOIN repeats r USING (calls_ivr_id)""", ",\n".join([base, FACTS, LABELS, TIMELINES]))
+
+
+def per_call(columns: str, where: str = "true") -> str:
+    return ivr(f"SELECT calls_ivr_id, {columns} FROM facts WHERE {where}", FACTS)
+
+
+CLEAN_INT = ivr("SELECT calls_ivr_id, " + ", ".join(
+    f"coalesce({c}, -99999)::BIGINT AS {c}" for c in ("module_sequece", "step_sequence", "calls_steps_module")) + " FROM det")
+PLACES = "SELECT *, unnest(range(1, len(docs) + 1)) AS place FROM facts WHERE len(docs) > 1"
 
 IVR_ORACLES = {
     "ivr_detail": ivr("SELECT * FROM det"),
-    "ivr_detail_plain_joins": ivr("SELECT * FROM det"),
     "date_id": ivr("""SELECT ivr_id, strftime(start_date, '%Y%m%d') AS start_date_id,
                              strftime(end_date, '%Y%m%d') AS end_date_id FROM calls"""),
-    "classify_label": ivr(f"SELECT DISTINCT calls_ivr_id, calls_vdn_label, {LABEL_CASE} AS vdn_aggregation FROM det"),
-    "flag_module": ivr(f"SELECT calls_ivr_id, {MASIVA} AS masiva_lg FROM det GROUP BY 1"),
-    "flag_step": ivr(f"SELECT calls_ivr_id, {INFO_PHONE} AS info_by_phone_lg FROM det GROUP BY 1"),
-    "flag_step_sum": ivr("""SELECT calls_ivr_id, CASE WHEN SUM(dni_hit) >= 1 THEN 1 ELSE 0 END AS info_by_dni_lg
-FROM dni_rows GROUP BY calls_ivr_id""",
-        """dni_rows AS (SELECT calls_ivr_id,
-  CASE WHEN step_name = 'CUSTOMERINFOBYDNI.TX' AND step_result = 'OK' THEN 1 ELSE 0 END AS dni_hit
-  FROM det)"""),
-    "flag_step_refined": ivr(f"SELECT calls_ivr_id, {INFO_PHONE_REFINED} AS info_by_phone_lg FROM det GROUP BY 1"),
-    "call_flags": ivr(f"""SELECT calls_ivr_id, {MASIVA} AS masiva_lg, {INFO_PHONE_REFINED} AS info_by_phone_lg,
-  {INFO_DNI} AS info_by_dni_lg FROM det GROUP BY 1"""),
-    "key_cardinality": ivr("""SELECT COUNT(calls_ivr_id) AS total_registros,
-  COUNT(DISTINCT calls_ivr_id) AS total_registros_unicos FROM det"""),
-    "value_combinations": ivr(f"""SELECT calls_ivr_id, document_type, document_identification,
-  COUNT(*) AS number_repeticiones FROM det WHERE {DOCS_KNOWN} GROUP BY 1, 2, 3"""),
-    "combination_coverage": ivr("""SELECT COUNT(DISTINCT calls_ivr_id) AS num_unique_calls,
-  COUNT(*) AS total_combinations FROM doc_combos""",
-        f"""doc_combos AS (SELECT calls_ivr_id, document_type, document_identification,
-  COUNT(*) AS number_repeticiones FROM det WHERE {DOCS_KNOWN} GROUP BY 1, 2, 3)"""),
-    "values_per_key_histogram": ivr("""SELECT num_docs, COUNT(num_docs) AS number_calls
-FROM docs_per_call_counts GROUP BY 1""",
-        f"""docs_per_call_counts AS (SELECT calls_ivr_id,
-  COUNT(DISTINCT CONCAT(document_type, '-', document_identification)) AS num_docs
-  FROM det WHERE {DOCS_KNOWN} GROUP BY calls_ivr_id)"""),
-    "ranked_values": ivr("SELECT * FROM doc_ranks WHERE docs_per_call > 1", DOCS_RANKED),
-    "ranked_values_window": ivr("SELECT * FROM doc_ranks WHERE docs_per_call > 1", DOCS_RANKED),
-    "distinct_per_group": ivr("""SELECT calls_ivr_id, customer_phone,
-  COUNT(DISTINCT customer_phone) AS phones_per_register
-  FROM det WHERE customer_phone != 'UNKNOWN' GROUP BY 1, 2"""),
-    "multi_valued_keys": ivr("""SELECT calls_ivr_id, COUNT(DISTINCT billing_account_id) AS bills_per_register
-  FROM det WHERE billing_account_id != 'UNKNOWN' GROUP BY 1
-  HAVING COUNT(DISTINCT billing_account_id) > 1"""),
-    "multi_valued_phones": ivr("""SELECT calls_ivr_id, COUNT(DISTINCT customer_phone) AS phones_per_register
-  FROM det WHERE customer_phone != 'UNKNOWN' GROUP BY 1
-  HAVING COUNT(DISTINCT customer_phone) > 1"""),
-    "collect_structs": ivr("""SELECT calls_ivr_id, docs_per_call,
-  array_to_string(list(document_type || ':' || document_identification ORDER BY rn), ',') AS documents_of_call
-  FROM doc_ranks GROUP BY 1, 2""", DOCS_RANKED),
-    "collect_parallel": ivr("""SELECT calls_ivr_id, docs_per_call,
-  array_to_string(list(document_type ORDER BY rn), ',') AS documents_types,
-  array_to_string(list(document_identification ORDER BY rn), ',') AS document_identifications
-  FROM doc_ranks GROUP BY 1, 2""", DOCS_RANKED),
-    "collect_values": ivr("""SELECT calls_ivr_id, bills_per_call,
-  array_to_string(list(billing_account_id ORDER BY rn), ',') AS bills_per_register
-  FROM bill_ranks GROUP BY 1, 2""", BILLS_RANKED),
-    "collect_values_multi": ivr("""SELECT calls_ivr_id, bills_per_call,
-  array_to_string(list(billing_account_id ORDER BY rn), ',') AS bills_per_register
-  FROM bill_ranks WHERE bills_per_call > 1 GROUP BY 1, 2""", BILLS_RANKED),
-    "recency_flags": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
-    "recency_flags_buckets": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
-    "recency_flags_window": ivr("SELECT * FROM neighbour_flags", PHONE_DATES),
-    "base_by_max": ivr("SELECT calls_ivr_id, " + ", ".join(f"MAX({c}) AS {c}" for c in BASE_COLS)
-                       + " FROM det GROUP BY calls_ivr_id"),
-    "best_row": ivr("SELECT calls_ivr_id, " + ", ".join(BEST_PAYLOAD) + " FROM ranked WHERE rn = 1",
-                    "ranked AS (SELECT calls_ivr_id, " + ", ".join(BEST_PAYLOAD)
-                    + f", ROW_NUMBER() OVER (PARTITION BY calls_ivr_id ORDER BY {BEST_ORDER}) AS rn FROM det)"),
-    "summary_max": SUMMARY_MAX,
-    "summary_max_joins": SUMMARY_MAX,
-    "summary_best_row": SUMMARY_BEST_ROW,
-    "summary_best_row_joins": SUMMARY_BEST_ROW,
+    "classify_label": ivr("SELECT * FROM labelled", LABELS),
+    "flag_module": per_call("outage AS masiva_lg"),
+    "flag_step": per_call("by_phone AS info_by_phone_lg"),
+    "flag_step_sum": per_call("by_dni AS info_by_dni_lg"),
+    "flag_step_refined": per_call("by_known_phone AS info_by_phone_lg"),
+    "call_flags": per_call("outage AS masiva_lg, by_known_phone AS info_by_phone_lg, by_dni AS info_by_dni_lg"),
+    "key_cardinality": ivr("""SELECT sum(n)::BIGINT AS total_registros, count(*) AS total_registros_unicos
+FROM (SELECT calls_ivr_id, count(*) AS n FROM det WHERE calls_ivr_id IS NOT NULL GROUP BY 1)"""),
+    "value_combinations": ivr("""SELECT calls_ivr_id, document_type, document_identification, count(*) AS number_repeticiones
+FROM det WHERE 'UNKNOWN' NOT IN (document_type, document_identification) GROUP BY ALL"""),
+    "combination_coverage": ivr("""SELECT count(*) AS num_unique_calls, sum(len(docs))::BIGINT AS total_combinations
+FROM facts WHERE len(docs) > 0""", FACTS),
+    "values_per_key_histogram": ivr("""SELECT n AS num_docs, count(*) AS number_calls
+FROM (SELECT len(list_distinct(list_transform(docs, lambda x: x.t || '-' || x.n))) AS n FROM facts WHERE len(docs) > 0) GROUP BY n""", FACTS),
+    "ranked_values": ivr(f"""SELECT calls_ivr_id, docs[place].t AS document_type, docs[place].n AS document_identification,
+  place::INT AS rn, len(docs) AS docs_per_call FROM ({PLACES})""", FACTS),
+    "ranked_accounts": ivr("""SELECT calls_ivr_id, bills[place] AS billing_account_id, place::INT AS rn, len(bills) AS bills_per_call
+FROM (SELECT *, unnest(range(1, len(bills) + 1)) AS place FROM facts)""", FACTS),
+    "distinct_per_group": per_call("unnest(phones) AS customer_phone, 1::BIGINT AS phones_per_register"),
+    "multi_valued_keys": per_call("len(bills) AS bills_per_register", "len(bills) > 1"),
+    "multi_valued_phones": per_call("len(phones) AS phones_per_register", "len(phones) > 1"),
+    "collect_structs": per_call("""len(docs) AS docs_per_call,
+  array_to_string(list_transform(docs, lambda x: x.t || ':' || x.n), ',') AS documents_of_call""", "len(docs) > 0"),
+    "collect_parallel": per_call("""len(docs) AS docs_per_call,
+  array_to_string(list_transform(docs, lambda x: x.t), ',') AS documents_types,
+  array_to_string(list_transform(docs, lambda x: x.n), ',') AS document_identifications""", "len(docs) > 0"),
+    "collect_values": per_call("len(bills) AS bills_per_call, array_to_string(bills, ',') AS bills_per_register", "len(bills) > 0"),
+    "collect_values_multi": per_call("len(bills) AS bills_per_call, array_to_string(bills, ',') AS bills_per_register", "len(bills) > 1"),
+    "recency_flags": ivr("SELECT * FROM repeats", TIMELINES),
+    "base_by_max": ivr("SELECT * FROM base", MAX_BASE),
+    "best_row": ivr("SELECT * FROM base", BEST_BASE),
+    "summary_max": summary(MAX_BASE),
+    "summary_best_row": summary(BEST_BASE),
     "clean_int": CLEAN_INT,
     "clean_int_sql": CLEAN_INT,
-    "drop_unknown": ivr("""SELECT * FROM det WHERE document_type != 'UNKNOWN'
-  AND document_identification != 'UNKNOWN' AND customer_phone != 'UNKNOWN'"""),
+    "drop_unknown": ivr("""SELECT * FROM det
+WHERE 'UNKNOWN' NOT IN (document_type, document_identification, customer_phone)"""),
 }
 
 ALL_ORACLES: dict[str, str] = {**IVR_ORACLES}
@@ -352,6 +275,8 @@ WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "check_primary_key": """SELECT o_orderkey, COUNT(*) AS n FROM orders GROUP BY 1
 HAVING o_orderkey IS NULL OR COUNT(*) > 1""",
+    "check_primary_key_detail": ivr("""SELECT step_sequence, count(*) AS n FROM det GROUP BY 1
+HAVING step_sequence IS NULL OR count(*) > 1"""),
     "check_foreign_key": """SELECT * FROM orders o WHERE o.o_orderkey IS NOT NULL
 AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
     "check_foreign_key_lineitem": """SELECT * FROM lineitem l WHERE l.l_orderkey IS NOT NULL
@@ -363,7 +288,12 @@ AND lower(event_type) NOT IN ('click', 'view', 'purchase')""",
         f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violations FROM det"
         for c, n in LENGTH_LIMITS_DETAIL.items())),
     "assign_key": ivr("""SELECT *, ROW_NUMBER() OVER (ORDER BY ivr_id, module_sequece, module_name,
-  module_result) AS module_id FROM mods"""),
+  module_result) AS module_id FROM mods WHERE module_name <> 'HEADER'"""),
+    "assign_key_continued": ivr("""SELECT * EXCLUDE (above, new) REPLACE (coalesce(module_id, above + new) AS module_id) FROM (
+  SELECT *, max(module_id) OVER () AS above, row_number() OVER (PARTITION BY module_id IS NULL
+    ORDER BY ivr_id, module_sequece, module_name, module_result) AS new
+  FROM (SELECT *, CASE WHEN module_sequece % 2 = 0 THEN (ivr_id * 10 + module_sequece)::BIGINT END AS module_id
+        FROM mods WHERE module_name <> 'HEADER'))"""),
     "validate_model": _model_sql(_tpch_model()),
 }
 

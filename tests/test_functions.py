@@ -59,7 +59,7 @@ def test_clean_int_column_and_sql_function_agree(spark):
 def test_scale_conf_bounds():
     from dialtone.session import scale_conf
     big = scale_conf(100 * 10 ** 12, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "372530"
     small = scale_conf(10 ** 6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     mid = scale_conf(512 * 1024 * 1024 * 100, 8)

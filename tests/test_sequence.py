@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from pyspark.sql import Window
@@ -38,11 +39,10 @@ def test_assign_key_keeps_existing_and_goes_above_max(spark):
     assert empty_start.first().id == 1
 
 
-def test_assign_key_with_map_column_uses_checkpoint(spark):
-    df = spark.createDataFrame([(None, "b", {"x": 1}), (None, "a", {"y": 2})],
-                               "id long, name string, m map<string,int>")
-    got = sorted((r.name, r.id) for r in assign_key(df, "id", ["name"], start=10).collect())
-    assert got == [("a", 11), ("b", 12)]
+def test_assign_key_names_an_unorderable_column(spark):
+    df = spark.sql("SELECT 1 AS a, map('x', 1) AS m, CAST(NULL AS BIGINT) AS id")
+    with pytest.raises(ValueError, match="m"):
+        assign_key(df, "id", ["a"])
 
 
 def test_assign_key_with_existing_keys_from_a_shuffle(spark):

@@ -1,5 +1,5 @@
-"""Counts at sf0.01 that were probed independently when the blueprint was
-written (SURVEY §7.3); a regression check of bindings and semantics."""
+"""Counts at sf0.01, taken in DuckDB from the bindings of FIXTURES.md with every line item
+as a step and a header module per customer; a regression check of bindings and semantics."""
 import os
 
 import pytest
@@ -16,26 +16,25 @@ def q(spark, name):
 
 def test_detail_shape(spark):
     det = q(spark, "ivr_detail")
-    assert det.count() == 41313
+    assert det.count() == 55118
     assert det.select("calls_ivr_id").distinct().count() == 10000
-    assert det.filter("module_sequece IS NOT NULL").count() == 41146
-    assert det.filter("step_sequence IS NOT NULL").count() == 26746
+    assert det.filter("module_sequece IS NOT NULL").count() == 54990
+    assert det.filter("step_sequence IS NOT NULL").count() == 53490
 
 
 def test_profile_counts(spark):
-    assert sorted(tuple(r) for r in q(spark, "values_per_key_histogram").collect()) == [
-        (1, 3688), (2, 1606), (3, 488), (4, 93), (5, 22), (6, 2)]
-    assert q(spark, "ranked_values").select("calls_ivr_id").distinct().count() == 2211
-    assert q(spark, "combination_coverage").first().num_unique_calls == 5899
-    assert q(spark, "multi_valued_keys").count() == 895
+    assert sorted(tuple(r) for r in q(spark, "values_per_key_histogram").collect()) == [(1, 3035), (2, 2688), (3, 1560), (4, 697), (5, 225), (6, 83), (7, 11), (8, 3)]
+    assert q(spark, "ranked_values").select("calls_ivr_id").distinct().count() == 5267
+    assert q(spark, "combination_coverage").first().num_unique_calls == 8302
+    assert q(spark, "multi_valued_keys").count() == 2642
 
 
 def test_feature_counts(spark):
     labels = dict(tuple(r) for r in q(spark, "classify_label").groupBy("vdn_aggregation").count().collect())
     assert labels == {"FRONT": 2006, "TECH": 2014, "ABSORPTION": 1982, "RESTO": 3998}
     assert q(spark, "flag_module").filter("masiva_lg = 1").count() == 7382
-    assert q(spark, "flag_step").filter("info_by_phone_lg = 1").count() == 2549
-    assert q(spark, "flag_step_refined").filter("info_by_phone_lg = 1").count() == 283
+    assert q(spark, "flag_step").filter("info_by_phone_lg = 1").count() == 4447
+    assert q(spark, "flag_step_refined").filter("info_by_phone_lg = 1").count() == 563
     rec = q(spark, "recency_flags").groupBy("repeated_phone_24H", "cause_recall_phone_24H").count()
     assert sorted(tuple(r) for r in rec.collect()) == [(0, 0, 155), (0, 1, 1010), (1, 0, 1010), (1, 1, 7825)]
 
