@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on for exact, reproducible results.
-REQUIRED_CONF = {
-    # Timestamps in the driver's parquet are timestamp_ntz; pin the zone so
-    # date ids and hour differences never depend on the host.
-    "spark.sql.session.timeZone": "UTC",
+# Results depend on these: timestamps in the driver's parquet are timestamp_ntz; pin the
+# zone so date ids and hour differences never depend on the host.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+# Only plans depend on these; a session that pins another value keeps it.
+PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -31,7 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for k, v in REQUIRED_CONF.items():
+    for k, v in (REQUIRED_CONF | PLAN_CONF).items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -43,11 +43,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Set the runtime settings the operators rely on (idempotent); raises where a
-    session holds another value, since dates and plans would differ silently."""
-    for k, v in REQUIRED_CONF.items():
+    """Set the runtime settings the operators rely on (idempotent); raises where a session
+    keeps another value of one that results depend on."""
+    for k, v in (REQUIRED_CONF | PLAN_CONF).items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k) != v:
             raise RuntimeError(f"{k} must be {v}, not {spark.conf.get(k)}")
 
