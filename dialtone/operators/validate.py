@@ -11,14 +11,15 @@ Violations count the rows a constraint-enforcing database would have rejected:
 
 Row-level rules of a table (NOT NULL, CHECK, VARCHAR) are evaluated in ONE
 aggregate over one scan. Key rules are ``groupBy(key).count()`` (combined
-map-side, so a hot key costs one row per task). Foreign keys are left anti
-joins against the parent's distinct keys; adaptive execution broadcasts the
-parent only when its measured size is small and can split a hot child key.
+map-side, so a hot key costs one row per task). Foreign keys compare distinct
+keys with distinct keys. The whole-model report reads every table once and
+has one aggregate for all keys of all rules.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,10 @@ def _any_null(cols: Sequence[str]) -> Column:
     return cond
 
 
+def _all(conditions: Iterable[Column]) -> Column:
+    return reduce(Column.__and__, conditions)
+
+
 # --- predicates ----------------------------------------------------------------------
 def domain_violation(col: str, allowed: Sequence[str]) -> Column:
     """True when the value is set and its lower case is not allowed."""
@@ -90,25 +95,19 @@ def check_unique(df: DataFrame, cols: Sequence[str], allow_null: bool = True) ->
     return groups.filter(_any_null(cols) | (F.col("n") > 1))
 
 
-def key_violations(cols: Sequence[str], primary: bool) -> Column:
-    """Aggregate expression over ``check_unique``-style groups: rejected rows."""
-    dup = F.when(~_any_null(cols) & (F.col("n") > 1), F.col("n") - 1).otherwise(0)
-    if primary:
-        dup = dup + F.when(_any_null(cols), F.col("n")).otherwise(0)
-    return F.coalesce(F.sum(dup), F.lit(0)).cast("bigint")
-
-
 # --- V5: foreign keys -----------------------------------------------------------------
 def check_foreign_key(child: DataFrame, fk: Sequence[str], parent: DataFrame,
                       pk: Sequence[str]) -> DataFrame:
-    """V5: child rows whose (non-NULL) key has no parent row."""
+    """V5: child rows whose (non-NULL) key has no parent row.
+
+    The orphan keys are found among the child's distinct keys (combined map-side);
+    only rows that hold one are joined back, so a hot key is one row in the anti join.
+    """
     fk, pk = list(fk), list(pk)
-    keys = parent.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(pk)]).distinct()
-    cond = None
-    for i, c in enumerate(fk):
-        e = child[c] == keys[f"_pk{i}"]
-        cond = e if cond is None else cond & e
-    return child.filter(~_any_null(fk)).join(keys, cond, "left_anti")
+    known = parent.select(*[F.col(p).alias(f"_pk{i}") for i, p in enumerate(pk)]).distinct()
+    used = child.filter(~_any_null(fk)).select(*[F.col(c).alias(f"_fk{i}") for i, c in enumerate(fk)]).distinct()
+    orphans = used.join(known, _all(used[f"_fk{i}"] == known[f"_pk{i}"] for i in range(len(fk))), "left_anti")
+    return child.join(orphans, _all(child[c] == orphans[f"_fk{i}"] for i, c in enumerate(fk)), "left_semi")
 
 
 # --- V2: surrogate keys ---------------------------------------------------------------
@@ -135,63 +134,77 @@ def assign_key(df: DataFrame, key: str, order_by: Sequence[str], start: int | No
 
 
 # --- V8: whole-model report -----------------------------------------------------------
-def _row_rules(name: str, df: DataFrame, spec: TableSpec) -> DataFrame | None:
-    rules: list[tuple[str, str, Column]] = []
-    nn = list(dict.fromkeys(list(spec.not_null)))
-    for c in nn:
-        rules.append(("not_null", c, F.col(c).isNull()))
-    for d in spec.domains:
-        rules.append(("check", d.column, domain_violation(d.column, d.allowed)))
-    for c, n in spec.max_lengths.items():
-        rules.append(("max_length", f"{c}({n})", length_violation(c, n)))
-    if not rules:
-        return None
-    aggs = [F.count_if(p).alias(f"r{i}") for i, (_, _, p) in enumerate(rules)]
-    counts = df.agg(*aggs)
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(c).alias("columns"),
-                 F.col(f"r{i}").cast("bigint").alias("violations"))
-        for i, (r, c, _) in enumerate(rules)])).alias("x"))
-    return stacked.select(F.lit(name).alias("table_name"), "x.rule", "x.columns", "x.violations")
-
-
-def _key_rule(name: str, df: DataFrame, cols: Sequence[str], primary: bool) -> DataFrame:
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(key_violations(cols, primary).alias("violations")).select(
-        F.lit(name).alias("table_name"), F.lit("primary_key" if primary else "unique").alias("rule"),
-        F.lit(",".join(cols)).alias("columns"), "violations")
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_ENTRY = "array<struct<rule:int,kind:string,key:array<string>,n:bigint,parents:bigint>>"
+
+
+def _entry(rule: int, kind: str, cols: Sequence[str], when: Column | None = None, parent: bool = False) -> Column:
+    """What one row says to one rule; NULL where it says nothing."""
+    e = F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"),
+                 F.array(*[F.col(c).cast("string") for c in cols]).cast("array<string>").alias("key"),
+                 F.lit(0 if parent else 1).cast("bigint").alias("n"),
+                 F.lit(1 if parent else 0).cast("bigint").alias("parents"))
+    return e if when is None else F.when(when, e)
 
 
-def _fk_rule(name: str, df: DataFrame, fk: ForeignKey, parent: DataFrame) -> DataFrame:
-    orphans = check_foreign_key(df.select(*fk.columns), fk.columns, parent, fk.parent_columns)
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-        F.lit(name).alias("table_name"), F.lit("foreign_key").alias("rule"),
-        F.lit(f"{','.join(fk.columns)}->{fk.parent}({','.join(fk.parent_columns)})").alias("columns"),
-        "violations")
+def _check_key_types(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> None:
+    """Keys are compared as text: both sides need one type (or both an integer type)."""
+    for c, p in zip(fk.columns, fk.parent_columns, strict=True):
+        a, b = child.schema[c].dataType, parent.schema[p].dataType
+        if a != b and not (isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL)):
+            raise ValueError(f"{c} ({a.simpleString()}) and {fk.parent}.{p} ({b.simpleString()}) differ in type")
 
 
 def validate_model(tables: Mapping[str, DataFrame], model: Sequence[TableSpec]) -> DataFrame:
     """V8: one row per rule of the model with its violation count.
 
-    All tables are read before any rule runs, so foreign-key cycles (students
-    <-> enrolments, teachers <-> modules) need no load order.
+    Every table is read once. A row tells each key rule its key (a parent tells the rules
+    that refer to it) and each row rule that it breaks its violation. One aggregate by
+    (rule, key), combined map-side, counts holders and parents of every key of every
+    rule; a second one adds up each rule. There is no join, so neither a hot key nor a
+    foreign-key cycle (students <-> enrolments, teachers <-> modules) needs care.
     """
-    parts: list[DataFrame] = []
+    names: list[tuple[str, str, str]] = []
+    said: dict[str, list[Column]] = {}
+
+    def rule(table: str, kind: str, columns: str) -> int:
+        names.append((table, kind, columns))
+        return len(names) - 1
+
     for spec in model:
-        df = tables[spec.name]
+        df, entries = tables[spec.name], said.setdefault(spec.name, [])
         if spec.primary_key:
-            parts.append(_key_rule(spec.name, df, spec.primary_key, primary=True))
-        for u in spec.unique:
-            parts.append(_key_rule(spec.name, df, u, primary=False))
+            cols = spec.primary_key
+            entries.append(_entry(rule(spec.name, "primary_key", ",".join(cols)), "key", cols))
+        for cols in spec.unique:
+            entries.append(_entry(rule(spec.name, "unique", ",".join(cols)), "key", cols, ~_any_null(cols)))
         for fk in spec.foreign_keys:
-            parts.append(_fk_rule(spec.name, df, fk, tables[fk.parent]))
-        rows = _row_rules(spec.name, df, spec)
-        if rows is not None:
-            parts.append(rows)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            _check_key_types(df, tables[fk.parent], fk)
+            i = rule(spec.name, "foreign_key", f"{','.join(fk.columns)}->{fk.parent}({','.join(fk.parent_columns)})")
+            entries.append(_entry(i, "reference", fk.columns, ~_any_null(fk.columns)))
+            said.setdefault(fk.parent, []).append(
+                _entry(i, "reference", fk.parent_columns, ~_any_null(fk.parent_columns), parent=True))
+        for c in dict.fromkeys(spec.not_null):
+            entries.append(_entry(rule(spec.name, "not_null", c), "row", (), F.col(c).isNull()))
+        for d in spec.domains:
+            entries.append(_entry(rule(spec.name, "check", d.column), "row", (), domain_violation(d.column, d.allowed)))
+        for c, n in spec.max_lengths.items():
+            entries.append(_entry(rule(spec.name, "max_length", f"{c}({n})"), "row", (), length_violation(c, n)))
+
+    told = [tables[t].select(F.explode(F.filter(F.array(*entries).cast(_ENTRY), lambda e: e.isNotNull())).alias("e"))
+            for t, entries in said.items() if entries]
+    keys = (reduce(DataFrame.unionByName, told).select("e.*").groupBy("rule", "kind", "key")
+            .agg(F.sum("n").alias("n"), F.sum("parents").alias("parents")))
+    broken = (F.when(F.col("kind") == "row", F.col("n"))
+              .when(F.col("kind") == "reference", F.when(F.col("parents") == 0, F.col("n")).otherwise(0))
+              .when(F.exists("key", lambda part: part.isNull()), F.col("n"))
+              .otherwise(F.col("n") - 1))
+    spark = tables[model[0].name].sparkSession
+    every = spark.range(len(names)).select(F.col("id").cast("int").alias("rule"), F.lit(0).cast("bigint").alias("violations"))
+    counts = (keys.select("rule", broken.cast("bigint").alias("violations")).unionByName(every)
+              .groupBy("rule").agg(F.sum("violations").alias("violations")))
+    label = [F.array(*map(F.lit, column))[F.col("rule")] for column in zip(*names, strict=True)]
+    return counts.select(label[0].alias("table_name"), label[1].alias("rule"), label[2].alias("columns"), "violations")
 
 
 def read_model(spark: SparkSession, base_path: str, model: Sequence[TableSpec],

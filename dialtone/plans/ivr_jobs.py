@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,20 +34,42 @@ def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                fmt: str = "parquet") -> str:
     """Replace the table at ``path`` with ``df``.
 
-    The whole table is replaced, as ``CREATE OR REPLACE TABLE`` does. Task
-    output is committed per task, so a lost executor's retried tasks never
-    leave partial files; the job as a whole is not atomic, though: the old
-    files are removed when the write starts, so a failed job is re-run, which
-    is safe because every job here is a pure function of its inputs.
-    ``df`` must not read from ``path`` itself.
+    The new table is written whole into a folder beside ``path``; only then does it take
+    the old one's place, by two renames. A write that fails leaves the old table as it
+    was, and ``df`` may read from ``path`` itself. (On a store whose renames copy, the
+    switch takes as long as the copy; a table format with snapshots suits it better.)
+
+    With ``partition_by`` rows are rebalanced on those columns first: adaptive execution
+    puts a small day into one task and splits a large one by its measured size, so a day
+    has as many files as its size asks for, not one per task of the join before it.
     """
-    w = df.write.mode("overwrite").format(fmt)
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(f"{beside}.new")
+    _switch(spark, path, f"{beside}.new", f"{beside}.old")
     return path
 
 
+def _switch(spark: SparkSession, path: str, new: str, old: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; the table there goes when all is done."""
+    at, fresh, gone = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(at)
+    if had and not fs.rename(at, gone):
+        raise OSError(f"cannot move {path} aside; the new table is in {new}")
+    if not fs.rename(fresh, at):
+        if had:
+            fs.rename(gone, at)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(gone, True)
+
+
 def detail_job(spark: SparkSession, calls: DataFrame, modules: DataFrame, steps: DataFrame,
                out_path: str, skew_safe: bool = True) -> DataFrame:
     """Build and replace the detail table; return it read back from files."""

@@ -236,6 +236,12 @@ LENGTH_LIMITS_DETAIL = {"calls_phone_number": 2, "document_identification": 3,
                         "billing_account_id": 4, "step_name": 20}
 
 
+def _q_typed_load(spark, d):
+    """A table read with its declared schema instead of the files' own."""
+    declared = [spec for spec in TPCH_MODEL if spec.schema is not None]
+    return validate.read_model(spark, d, declared)["orders"]
+
+
 def _q_check_not_null(spark, d):
     return validate.check_not_null(detail(spark, d), NOT_NULL_DETAIL_COLS)
 
@@ -297,6 +303,7 @@ def _q_validate_model(spark, d):
 
 
 MODEL_QUERIES: dict[str, Query] = {
+    "typed_load": _q_typed_load,
     "check_not_null": _q_check_not_null,
     "check_unique": _q_check_unique,
     "check_primary_key": _q_check_primary_key,

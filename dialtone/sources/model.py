@@ -137,7 +137,12 @@ def _fk(cols, parent, pcols) -> ForeignKey:
     return ForeignKey(tuple(cols), parent, tuple(pcols))
 
 
-# Rules over the driver's tables (read with their own parquet schema).
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())])
+
+# Rules over the driver's tables (read with their own parquet schema where none is declared).
 TPCH_MODEL: list[TableSpec] = [
     TableSpec("region", primary_key=("r_regionkey",), not_null=("r_name",),
               max_lengths={"r_name": 25}),
@@ -154,7 +159,7 @@ TPCH_MODEL: list[TableSpec] = [
               max_lengths={"s_name": 25}),
     TableSpec("part", primary_key=("p_partkey",), not_null=("p_name",),
               max_lengths={"p_name": 55, "p_brand": 10, "p_type": 25}),
-    TableSpec("orders", primary_key=("o_orderkey",), not_null=("o_custkey", "o_orderdate"),
+    TableSpec("orders", schema=ORDERS_SCHEMA, primary_key=("o_orderkey",), not_null=("o_custkey", "o_orderdate"),
               foreign_keys=(_fk(["o_custkey"], "customer", ["c_custkey"]),),
               domains=(Domain("o_orderstatus", ("f", "o", "p")),),
               max_lengths={"o_orderpriority": 15}),

@@ -267,6 +267,8 @@ LENGTH_LIMITS_DETAIL = {"calls_phone_number": 2, "document_identification": 3,
                         "billing_account_id": 4, "step_name": 20}
 
 MODEL_ORACLES = {
+    "typed_load": """SELECT o_orderkey::BIGINT AS o_orderkey, o_custkey::BIGINT AS o_custkey, o_orderstatus,
+  o_totalprice::DOUBLE AS o_totalprice, o_orderdate::TIMESTAMP AS o_orderdate, o_orderpriority FROM orders""",
     "check_not_null": ivr("\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM det"
         for c in NOT_NULL_DETAIL_COLS)),

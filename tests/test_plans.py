@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from dialtone.operators.detail import build_detail
 from dialtone.operators.summary import build_summary
 from dialtone.plans import ivr_jobs, model_check
@@ -48,3 +50,25 @@ def test_create_tables_then_check_is_clean(spark, tmp_path):
     assert back.count() == 0 and [f.name for f in back.schema.fields][0] == "mark_id"
     rep = model_check.check_model(spark, base, SCHOOL_MODEL).collect()
     assert rep and all(r.violations == 0 for r in rep)
+
+
+def test_failed_write_keeps_the_old_table(spark, tmp_path):
+    path = os.path.join(str(tmp_path), "t")
+    ivr_jobs.save_table(spark.range(3), path)
+    broken = spark.range(5).selectExpr("if(id = 4, raise_error('no'), id) AS id").selectExpr("cast(id AS bigint) AS id")
+    with pytest.raises(Exception):
+        ivr_jobs.save_table(broken, path)
+    assert spark.read.parquet(path).count() == 3
+    ivr_jobs.save_table(spark.read.parquet(path).where("id > 0"), path)   # a table may be made from itself
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert not [f for f in os.listdir(str(tmp_path)) if f.endswith(".old")]
+
+
+def test_a_day_has_few_files(spark, tmp_path):
+    path = os.path.join(str(tmp_path), "t")
+    days = spark.range(0, 4000, 1, 8).selectExpr("id", "cast(id % 5 AS string) AS day")
+    ivr_jobs.save_table(days, path, ["day"])
+    assert spark.read.parquet(path).count() == 4000
+    for day in range(5):
+        files = [f for f in os.listdir(os.path.join(path, f"day={day}")) if f.endswith(".parquet")]
+        assert len(files) == 1

@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 from dialtone.operators import validate
-from dialtone.sources.model import SCHOOL_MODEL, SCHOOL_TABLES
+from dialtone.sources.model import SCHOOL_MODEL, SCHOOL_TABLES, ForeignKey, TableSpec
 
 
 def _school(spark):
@@ -93,3 +93,28 @@ def test_typed_read_keeps_decimals(spark, tmp_path):
     t["bootcamps"].write.parquet(f"{path}/bootcamps.parquet")
     back = validate.read_model(spark, path, [SCHOOL_TABLES["bootcamps"]])["bootcamps"]
     assert back.first().duration_hours == Decimal("400.2500")
+
+
+def test_report_reads_each_table_once_without_joins(spark, tmp_path):
+    for name, df in _school(spark).items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = validate.validate_model(validate.read_model(spark, str(tmp_path), SCHOOL_MODEL), SCHOOL_MODEL)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == len(SCHOOL_MODEL)
+    assert "Join" not in text
+
+
+def test_report_of_empty_tables_has_every_rule(spark):
+    empty = {t.name: spark.createDataFrame([], t.schema) for t in SCHOOL_MODEL}
+    report = validate.validate_model(empty, SCHOOL_MODEL).collect()
+    assert len(report) > 30 and not any(r.violations for r in report)
+
+
+def test_composite_and_mixed_width_keys(spark):
+    spec = TableSpec("child", primary_key=("a", "b"), unique=(("a",),), foreign_keys=(ForeignKey(("a", "b"), "parent", ("x", "y")),))
+    child = spark.createDataFrame([(1, "u"), (1, "u"), (1, None), (None, "v"), (2, "v"), (3, "w")], "a int, b string")
+    parent = spark.createDataFrame([(1, "u"), (3, None), (3, "x")], "x bigint, y string")
+    got = {r.rule: r.violations for r in validate.validate_model({"child": child, "parent": parent}, [spec]).collect()}
+    assert got == {"primary_key": 3, "unique": 2, "foreign_key": 2}
+    rows = validate.check_foreign_key(child, ["a", "b"], parent, ["x", "y"]).collect()
+    assert sorted((r.a, r.b) for r in rows) == [(2, "v"), (3, "w")]
