@@ -21,9 +21,11 @@ documents.
 4. The covered ranges go back to their documents, which are cut.
 
 Scale: one scan and one shuffle of the texts (both joins with the texts use the same
-exchange); what is shuffled beside are anchors, 32 bytes each. A group of more than
-``hot`` rows of one anchor hash is dealt out anew by hashes of the context half a step
-further to the left and to the right: every string reaches that far on one side.
+exchange); what is shuffled beside are anchors, 40 bytes each, which are found twice (to
+count their hashes, and to keep those that occur again). A group of more than ``hot``
+different contexts of one anchor hash is dealt out anew in ``slices``: a slice has the
+strings that reach nearly equally far to the left, so they share a longer part than the
+anchor; its hash is the slice's group, and of a context it gets the bytes it needs.
 
 Nulls and empty texts have no strings: nothing is removed. Repeated rows cover each
 other whole, if they have ``length`` bytes. Rows are told apart by 128-bit hashes of id
@@ -38,7 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +56,8 @@ class Repeats:
     length: int = 200
     anchor: int = 100
     chunk: int = 1 << 20        # bytes handled at once
-    hot: int = 50_000
+    hot: int = 2_000
+    slices: int = 4
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -286,7 +289,7 @@ def _anchor_rows(docs: DataFrame, params: Repeats) -> DataFrame:
 def _context_rows(texts: DataFrame, wanted: DataFrame, params: Repeats) -> DataFrame:
     """The contexts of ``wanted`` places with the group in which they are compared."""
     reach = params.length - params.anchor
-    half = reach // 2
+    edges = [reach * i // params.slices for i in range(params.slices + 1)]
     asked = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("at", "h", "alone", "hot")).alias("asked"))
     joined = texts.join(asked, _KEYS)
     names = ["g", *_KEYS, "at", "offset", "alone", "context"]
@@ -300,15 +303,13 @@ def _context_rows(texts: DataFrame, wanted: DataFrame, params: Repeats) -> DataF
                                            table["asked"], strict=True):
                 for x in asked_.as_py():
                     at = x["at"]
-                    context = raw[max(0, at - reach):at + params.length]
-                    offset = min(at, reach)
-                    groups = [x["h"]]
-                    if x["hot"]:   # every string reaches half a step to the left or to the right
-                        groups = [_digest(x["h"], side, part) for side, part in
-                                  (("l", raw[at - half:at + params.anchor] if at >= half else None),
-                                   ("r", raw[at:at + params.length - half] if at + params.length - half <= len(raw) else None))
-                                  if part is not None]
-                    for g in groups:
+                    pieces = [(x["h"], min(at, reach), raw[max(0, at - reach):at + params.length])]
+                    if x["hot"]:   # strings that begin near .. far bytes before the anchor share what is hashed
+                        pieces = [(_digest(x["h"], near, raw[at - near:at + params.length - far]), min(at, far),
+                                   raw[max(0, at - far):at + params.length - near])
+                                  for near, far in zip(edges, edges[1:], strict=False)
+                                  if at >= near and at + params.length - far <= len(raw)]
+                    for g, offset, context in pieces:
                         for column, v in zip(out, (g, k1, k2, at, offset, x["alone"], context), strict=True):
                             column.append(v)
                         held += len(context)
@@ -322,8 +323,8 @@ def _context_rows(texts: DataFrame, wanted: DataFrame, params: Repeats) -> DataF
     return joined.mapInArrow(run, "g long, _k1 long, _k2 long, at long, offset int, alone boolean, context binary")
 
 
-def _digest(h: int, side: str, part: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(part, digest_size=8, key=f"{h}{side}".encode()).digest(), "little", signed=True)
+def _digest(h: int, near: int, part: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(part, digest_size=8, key=f"{h} {near}".encode()).digest(), "little", signed=True)
 
 
 def _resolved(contexts: DataFrame, params: Repeats, rows: int = 4000) -> DataFrame:
@@ -349,18 +350,19 @@ def _resolved(contexts: DataFrame, params: Repeats, rows: int = 4000) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count = 0
+        count, enough = 0, rows
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 held.append(batch.slice(start, rows))
                 count += held[-1].num_rows
-                if count >= rows:
+                if count >= enough:
                     table = pa.Table.from_batches(held).combine_chunks()
                     g = np.array(table.column("g"))
                     cut = int(np.searchsorted(g, g[-1]))       # the last group may go on
                     if cut:
                         yield settle_groups(table.slice(0, cut))
-                        held, count = table.slice(cut).to_batches(), table.num_rows - cut
+                    held, count = table.slice(cut).to_batches(), table.num_rows - cut
+                    enough = max(rows, 2 * count)              # a long group is not searched at every step
         if count:
             yield settle_groups(pa.Table.from_batches(held).combine_chunks())
 
@@ -373,16 +375,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keys = [F.xxhash64(F.col(doc_id), F.col(text)).alias("_k1"), F.xxhash64(F.col(text), F.col(doc_id), F.lit(1)).alias("_k2")]
     texts = docs.select(*keys, F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     found = _anchor_rows(texts.select(*_KEYS, "text"), params)
-    same_hash, same_context = Window.partitionBy("h"), Window.partitionBy("h", "c")
-    counted = (found.withColumn("n_c", F.count(F.lit(1)).over(same_context))
-               .withColumn("no", F.row_number().over(same_context.orderBy(*_KEYS, "at")))
-               .withColumn("n_h", F.count(F.lit(1)).over(same_hash)))
-    places = settle(counted.where("n_h > 1"))
-    wanted = (places.where("n_h > n_c and no = 1")
-              .select(*_KEYS, "at", "h", (F.col("n_c") == 1).alias("alone"), (F.col("n_h") > params.hot).alias("hot")))
+    # counts are combined before they are shuffled, and joined back: a join's hot side is
+    # split at run time, a window's is not
+    common = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    places = settle(found.join(common.hint("merge"), "h"))
+    variants = places.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n_c"), F.min(F.struct(*_KEYS, "at")).alias("first"))
+    several = variants.groupBy("h").agg(F.count(F.lit(1)).alias("n_kinds")).where("n_kinds > 1")
+    wanted = (variants.join(several.hint("merge"), "h")
+              .select("first.*", "h", (F.col("n_c") == 1).alias("alone"), (F.col("n_kinds") > params.hot).alias("hot")))
     ranges = _resolved(_context_rows(texts, wanted, params), params)
     reach = params.length - params.anchor
-    whole = places.where("n_c > 1").select(
+    twice = variants.where("n_c > 1").select("h", "c")
+    whole = places.join(twice.hint("merge"), ["h", "c"]).select(
         *_KEYS, F.greatest(F.col("at") - reach, F.lit(0)).alias("a"), (F.col("at") + params.length).alias("b"))
     cuts = whole.unionByName(ranges).groupBy(*_KEYS).agg(F.collect_list(F.struct("a", "b")).alias("_cuts"))
     joined = texts.join(cuts, _KEYS, "left").select("doc_id", "text", "_cuts")
