@@ -57,14 +57,10 @@ def main(argv):
           "shuffle exchanges, `bcast` explicit broadcast exchanges (only bounded tables), "
           "`reused` exchanges shared between branches, `pushed` scans with pushed filters.\n")
     print("What to compare:\n")
-    print("- `summary_max` / `summary_best_row` (fused: one aggregate, no final join) against "
-          "the `_joins` forms (the source's eight joins over the detail);")
-    print("- `ivr_detail` (skew-safe joins: inner + anti on distinct keys, so hot call ids are "
-          "splittable) against `ivr_detail_plain_joins`;")
-    print("- `recency_flags` (positions: one range exchange, joins on unique positions) and "
-          "`recency_flags_buckets` against `recency_flags_window` (one window per phone);")
-    print("- `ranked_values` (range-sorted numbering, hot keys split) against "
-          "`ranked_values_window`;")
+    print("- `summary_max` / `summary_best_row`: one fused aggregate, no final join;")
+    print("- `ivr_detail`: skew-safe joins (inner + anti on distinct keys), so hot call ids can be split;")
+    print("- `classify_label`, `base_by_max`, `recency_flags`: call rows only, no join with modules or steps;")
+    print("- `validate_model`: one scan a table, no join;")
     print("- `bcast` is only ever a per-partition table (offsets, partition edges), bounded by the partition "
           "count; `python` is 0 everywhere.\n")
     print("| query | " + " | ".join(cols) + " |")
