@@ -14,7 +14,7 @@ page's own sectioning (article or main against nav, header, footer, aside, form
 like); each page is also relabelled in ``variants`` dresses that carry the same blocks
 under div and class names of common kinds, with sidebars, notices, comments and forms
 added, so that the field does not lean on one kind of markup. The driver holds the
-sample only.
+sample only, of pages under ``longest`` characters; every page of any length is read.
 
 Nulls: a null or empty page has no text; a page without article blocks gives an empty
 text. Repeated pages are read row by row. Clashing input columns give way to results.
@@ -54,6 +54,7 @@ _WORD = re.compile(r"[a-z]+")
 @dataclass(frozen=True)
 class Extraction:
     sample: int = 300
+    longest: int = 200_000
     variants: int = 3
     rounds: int = 150
     rate: float = 0.1
@@ -274,7 +275,7 @@ def fit(pages: DataFrame, page_id: str = "page_id", markup: str = "html", params
     """Train on a bounded sample of ``pages``, drawn by a hash of the id."""
     total = pages.count()
     drawn = hash_share(F.coalesce(F.col(page_id).cast("string"), F.lit("")), salt="pages")
-    sample = (pages.where(drawn < params.sample / max(1, total)).where(F.length(markup) < 200_000)
+    sample = (pages.where(drawn < params.sample / max(1, total)).where(F.length(markup) < params.longest)
               .select(F.col(page_id).cast("string").alias("id"), F.col(markup).alias("page")).collect())
     known = []
     for row in sorted(sample, key=lambda r: (r["id"] or "", r["page"])):
