@@ -111,19 +111,22 @@ def _positional_neighbours(base: DataFrame, key: str, entity: str, ts: str) -> D
     row per partition (bounded by the partition count, so it is broadcast).
     A neighbour counts only when it belongs to the same phone.
     """
-    from .sequence import sorted_partitions
+    from .sequence import partitions
     r = base.select(key, entity, ts, F.col(entity).isNull().alias("_en"),
                     F.coalesce(F.col(entity).cast("string"), F.lit("")).alias("_ev"))
-    s = sorted_partitions(r, ["_en", "_ev", ts, key])
+    loose, s = partitions(r, ["_en", "_ev", ts, key])
     row = F.struct("_en", "_ev", F.col(ts).alias("t"))
     w = Window.partitionBy("_pid").orderBy("_pos")
     inside = s.select(key, entity, ts, "_en", "_ev", "_pid",
                       F.lag(row).over(w).alias("_p"), F.lead(row).over(w).alias("_n"))
-    ends = s.groupBy("_pid").agg(F.min_by(row, "_pos").alias("_first"),
-                                 F.max_by(row, "_pos").alias("_last"))
+    # the smallest and largest row need no sort; all columns take part, so that both
+    # branches read the same exchange
+    whole = F.struct("_en", "_ev", F.col(ts).alias("t"), F.col(key).alias("k"), F.col(entity).alias("e"))
+    ends = loose.groupBy("_pid").agg(F.min(whole).alias("_first"), F.max(whole).alias("_last"))
+    cut = lambda c: F.struct(F.col(c)["_en"].alias("_en"), F.col(c)["_ev"].alias("_ev"), F.col(c)["t"].alias("t"))
     by_pid = Window.orderBy("_pid")
-    edges = ends.select("_pid", F.lag("_last").over(by_pid).alias("_pl"),
-                        F.lead("_first").over(by_pid).alias("_nf"))
+    edges = ends.select("_pid", F.lag(cut("_last")).over(by_pid).alias("_pl"),
+                        F.lead(cut("_first")).over(by_pid).alias("_nf"))
     j = inside.join(F.broadcast(edges), "_pid")
     prev = F.coalesce(F.col("_p"), F.col("_pl"))
     nxt = F.coalesce(F.col("_n"), F.col("_nf"))

@@ -48,7 +48,15 @@ def _orderable(dt: T.DataType) -> bool:
 
 
 def sorted_partitions(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows range-partitioned and sorted by ``order`` (names, ascending, NULLs
+    """The sorted frame of ``partitions``."""
+    return partitions(df, order)[1]
+
+
+def partitions(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(unsorted, sorted): the rows of one range exchange with ``_pid``, as they
+    come, for aggregates that need no order, and sorted, with ``_pos`` too.
+
+    Rows range-partitioned and sorted by ``order`` (names, ascending, NULLs
     first), with ``_pid`` (partition index, in order) and ``_pos`` (0-based
     position inside the partition).
 
@@ -72,10 +80,11 @@ def sorted_partitions(df: DataFrame, order: Sequence[str]) -> DataFrame:
     # partition the remaining columns make the order total
     tie = F.xxhash64(*[F.col(f.name) for f in rest]) if rest else F.lit(0)
     full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
-    s = (df.withColumn("_tie", tie).repartitionByRange(n, *sort, F.col("_tie"))
-           .sortWithinPartitions(*sort, "_tie", *full[len(sort):]).drop("_tie"))
+    dealt = df.withColumn("_tie", tie).repartitionByRange(n, *sort, F.col("_tie"))
+    s = dealt.sortWithinPartitions(*sort, "_tie", *full[len(sort):]).drop("_tie")
     s = s.withColumn("_mid", F.monotonically_increasing_id())
-    return (s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
+    return (dealt.withColumn("_pid", F.spark_partition_id().cast("long")),
+            s.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
              .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
              .drop("_mid"))
 
