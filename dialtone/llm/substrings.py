@@ -25,7 +25,10 @@ exchange); what is shuffled beside are anchors, 40 bytes each, which are found t
 count their hashes, and to keep those that occur again). A group of more than ``hot``
 different contexts of one anchor hash is dealt out anew in ``slices``: a slice has the
 strings that reach nearly equally far to the left, so they share a longer part than the
-anchor; its hash is the slice's group, and of a context it gets the bytes it needs.
+anchor; its hash is the slice's group, and of a context it gets the bytes it needs. No
+more than ``crowd`` contexts of one anchor hash are ever sorted in one task: beyond that
+their strings go singly, as 128-bit digests that Spark counts, combined before the
+shuffle, and joins back, which it can split at any size.
 
 Nulls and empty texts have no strings: nothing is removed. Repeated rows cover each
 other whole, if they have ``length`` bytes. Rows are told apart by 128-bit hashes of id
@@ -58,6 +61,7 @@ class Repeats:
     chunk: int = 1 << 20        # bytes handled at once
     hot: int = 2_000
     slices: int = 4
+    crowd: int = 50_000
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -324,7 +328,38 @@ def _context_rows(texts: DataFrame, wanted: DataFrame, params: Repeats) -> DataF
 
 
 def _digest(h: int, near: int, part: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(part, digest_size=8, key=f"{h} {near}".encode()).digest(), "little", signed=True)
+    return int.from_bytes(_named(h, near, part, 8), "little", signed=True)
+
+
+def _named(h: int, near: int, part: bytes, size: int) -> bytes:
+    return hashlib.blake2b(part, digest_size=size, key=f"{h} {near}".encode()).digest()
+
+
+def _counted(texts: DataFrame, wanted: DataFrame, params: Repeats) -> DataFrame:
+    """(key, from, to): the strings around the ``wanted`` places that occur twice at the same
+    distance from one anchor hash, each string a row, its digest the key."""
+    reach, length = params.length - params.anchor, params.length
+    asked = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("at", "h", "alone")).alias("asked"))
+    joined = texts.join(asked, _KEYS).select(*_KEYS, "text", "asked")
+    names = [*_KEYS, "a", "alone", "s"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k1, k2, raw, asked_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)),
+                                           batch.column(3), strict=True):
+                places = asked_.as_py()
+                for start in range(0, len(places), 256):
+                    rows = [(k1, k2, x["at"] - near, x["alone"], _named(x["h"], near, raw[x["at"] - near:x["at"] - near + length], 16))
+                            for x in places[start:start + 256]
+                            for near in range(max(0, x["at"] + length - len(raw)), min(reach, x["at"]) + 1)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    strings = joined.mapInArrow(run, "_k1 long, _k2 long, a long, alone boolean, s binary")
+    twice = strings.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s")
+    return strings.where("alone").join(twice.hint("merge"), "s").select(*_KEYS, "a", (F.col("a") + length).alias("b"))
 
 
 def _resolved(contexts: DataFrame, params: Repeats, rows: int = 4000) -> DataFrame:
@@ -381,9 +416,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     places = settle(found.join(common.hint("merge"), "h"))
     variants = places.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n_c"), F.min(F.struct(*_KEYS, "at")).alias("first"))
     several = variants.groupBy("h").agg(F.count(F.lit(1)).alias("n_kinds")).where("n_kinds > 1")
-    wanted = (variants.join(several.hint("merge"), "h")
-              .select("first.*", "h", (F.col("n_c") == 1).alias("alone"), (F.col("n_kinds") > params.hot).alias("hot")))
-    ranges = _resolved(_context_rows(texts, wanted, params), params)
+    wanted = settle(variants.join(several.hint("merge"), "h")
+                    .select("first.*", "h", (F.col("n_c") == 1).alias("alone"), "n_kinds"))
+    sorted_here = wanted.where(F.col("n_kinds") <= params.crowd).withColumn("hot", F.col("n_kinds") > params.hot)
+    ranges = _resolved(_context_rows(texts, sorted_here, params), params).unionByName(
+        _counted(texts, wanted.where(F.col("n_kinds") > params.crowd), params))
     reach = params.length - params.anchor
     twice = variants.where("n_c > 1").select("h", "c")
     whole = places.join(twice.hint("merge"), ["h", "c"]).select(

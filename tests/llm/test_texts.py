@@ -145,7 +145,8 @@ def brute_cut(texts, length):
     return out
 
 
-@pytest.mark.parametrize("params", [substrings.Repeats(20, 10), substrings.Repeats(20, 10, chunk=64, hot=2), substrings.Repeats(20, 12, hot=0)])
+@pytest.mark.parametrize("params", [substrings.Repeats(20, 10), substrings.Repeats(20, 10, chunk=64, hot=2), substrings.Repeats(20, 12, hot=0),
+                                    substrings.Repeats(20, 10, crowd=0), substrings.Repeats(20, 11, hot=2, crowd=5)])
 def test_repeats(spark, params):
     draw = random.Random(4)
     line = prose(draw, 6)
