@@ -1,10 +1,10 @@
 """Secret scan: candidate strings, then a random forest that removes false positives.
 
 Native: every step is a DataFrame expression. Candidates are runs of at least 16
-characters of ``[A-Za-z0-9+/_-]``. The text is split at them, so each candidate
-stands between its neighbouring text. The forest looks at the candidate's length,
-its character transitions, how far a dictionary covers it, the path and the
-neighbouring words. It is trained on labelled findings by Spark ML and then written
+characters of ``[A-Za-z0-9+/_-]``. The text is split at them; a candidate's context is
+the text right before and after it, other candidates included, as a long variable name
+is one itself. The forest looks at the candidate's length, its character transitions,
+how far a dictionary covers it, the path and the neighbouring words. It is trained on labelled findings by Spark ML and then written
 out as an expression over constant arrays of its nodes, evaluated inside the array of
 candidates: a scan is a single pass without a shuffle, and no row meets Python.
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import hash_share, settle
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
+SHORTEST = 16   # characters of a candidate, at least
 MASK = "[SECRET]"
 _CHANGES = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
 _KEYWORD = r"(?i)(token|secret|passw(or)?d|passwd|api.?key|access.?key|private.?key|credential|authorization|bearer)"
@@ -171,9 +172,20 @@ def scan(docs: DataFrame, model: Model, text: str = "text", path: str = "source"
     cut = docs.select(*kept, F.split(body, CANDIDATE, -1).alias("_parts"),
                       F.regexp_extract_all(body, F.lit(CANDIDATE), 0).alias("_found"), where.alias("_path"))
 
+    # texts and candidates in turn, cut to what a context can hold of them; so many candidates
+    # on a side fill a context whatever stands between them
+    def in_turn(side, most: int) -> Column:
+        return F.flatten(F.zip_with("_parts", "_found", lambda part, value: F.array(
+            side(part, F.lit(most)), side(F.coalesce(value, F.lit("")), F.lit(most)))))
+
+    cut = cut.select("*", in_turn(F.right, params.before).alias("_ends"), in_turn(F.left, params.after).alias("_starts"))
+    back, ahead = (2 * -(-most // SHORTEST) for most in (params.before, params.after))
+
     def seen(value: Column, i: Column) -> Column:
-        part = F.col("_parts")
-        around = features(value, F.right(part[i], F.lit(params.before)), F.left(part[i + 1], F.lit(params.after)),
+        first = F.greatest(2 * i + 1 - back, F.lit(1))
+        before = F.array_join(F.slice("_ends", first, 2 * i + 2 - first), "")
+        after = F.array_join(F.slice("_starts", 2 * i + 3, F.lit(ahead + 1)), "")
+        around = features(value, F.right(before, F.lit(params.before)), F.left(after, F.lit(params.after)),
                           F.col("_path"), model.vocabulary)
         return F.struct(value.alias("value"), F.array(*[c.cast("double") for c in around]).alias("x"))
 
@@ -208,12 +220,20 @@ _SECRET_PLACES = [("config/settings.py", "api_key = \""), ("deploy/prod.env", "S
                   ("src1", "TOKEN = \""), ("app/main.js", "password: '"), ("infra/values.yaml", "access_key: ")]
 _PLAIN_PLACES = [("package.lock", "integrity: "), ("CHANGES.md", "commit "), ("src2", "md5 "), ("src3", "checksum="),
                  ("tests/data.json", "uuid: \""), ("src4", "")]
+#: Ends of variable names that are candidates themselves.
+_SECRET_NAMES = [("deploy/prod.env", "_SECRET_ACCESS_KEY="), ("config/settings.py", "_DATABASE_API_TOKEN = \""),
+                 ("src0", "_client_secret_value: '"), ("infra/values.yaml", "_service_access_token: "),
+                 ("src1", "_ADMIN_PASSWORD_PROD=\""), ("app/main.js", "_private_key_passphrase = '")]
+_PLAIN_NAMES = [("package.lock", "_RELEASE_CHECKSUM_SHA256="), ("CHANGES.md", "_last_known_good_commit: "),
+                ("src2", "_expected_md5_digest = \""), ("src3", "_BUILD_REVISION_NUMBER="),
+                ("tests/data.json", "_request_correlation_uuid: \""), ("src4", "_artifact_content_digest = '")]
 
 
 def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """Labelled findings made from ``docs``: random keys of several forms set after words
-    that announce a secret (label 1); digests after harmless words, plain numbers,
-    placeholders, joined words of the text and its own long words (label 0)."""
+    that announce a secret, also at the end of long names (label 1); digests after harmless
+    words and names, the names themselves, plain numbers, placeholders, joined words of the
+    text and its own long words (label 0)."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     digest = F.sha2(key.cast("binary"), 512)
     base64 = F.regexp_replace(F.base64(F.unhex(digest)), "=+$", "")
@@ -221,15 +241,23 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     n = F.pmod(F.xxhash64(key), F.lit(6)).cast("int")
     tail = F.substring(digest, 1, 3)
 
-    def place(table: list[tuple[str, str]]) -> tuple[Column, Column]:
+    word = F.coalesce(F.get(words, F.lit(0)), F.lit(""))
+
+    def place(table: list[tuple[str, str]], joiner: str = " ") -> tuple[Column, Column]:
         at = lambda k: F.array(*[F.lit(row[k]) for row in table])[n]
-        return at(0), F.concat(F.coalesce(F.get(words, F.lit(0)), F.lit("")), F.lit(" "), at(1))
+        return at(0), F.concat(word, F.lit(joiner), at(1))
 
-    def row(value: Column, where: tuple[Column, Column], after: str, label: int) -> Column:
-        return F.struct(value.alias("value"), where[1].alias("before"), F.lit(after).alias("after"),
+    def row(value: Column, where: tuple[Column, Column], after: str | Column, label: int) -> Column:
+        return F.struct(value.alias("value"), where[1].alias("before"), (after if isinstance(after, Column) else F.lit(after)).alias("after"),
                         where[0].alias("path"), F.lit(label).alias("label"))
 
+    def name(where: tuple[Column, Column]) -> Column:
+        own = F.regexp_extract(where[1], CANDIDATE, 0)
+        rest = F.concat(F.substr(where[1], F.length(own) + 1), F.substring(digest, 1, 20))
+        return row(own, (where[0], F.lit("export ")), F.left(rest, F.lit(20)), 0)
+
     secret, plain = place(_SECRET_PLACES), place(_PLAIN_PLACES)
+    secret_name, plain_name = place(_SECRET_NAMES, ""), place(_PLAIN_NAMES, "")
     bare = (F.coalesce(F.col(path).cast("string"), F.lit("")), F.concat(F.array_join(words, " "), F.lit(" ")))
     made = [
         row(F.substring(digest, 1, 40), secret, "\" the", 1), row(F.substring(digest, 41, 32), secret, "\"", 1),
@@ -241,6 +269,9 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         row(F.concat(F.lit("your_api_key_"), tail), secret, "\"", 0), row(F.lit("xxxxxxxxxxxxxxxxxxxxxxxx"), secret, "\"", 0),
         row(F.array_join(F.slice(words, 1, 4), "_"), secret, "(", 0), row(F.array_join(F.slice(words, 3, 5), "-"), bare, " ", 0),
         row(F.array_join(F.slice(words, 2, 5), "/"), bare, " ", 0),
+        row(F.substring(digest, 21, 40), secret_name, "\" the", 1), row(F.substring(digest, 61, 32), secret_name, "", 1),
+        row(F.substring(base64, 9, 40), secret_name, "'", 1), name(secret_name), name(plain_name),
+        row(F.substring(digest, 41, 40), plain_name, "", 0), row(F.substring(digest, 11, 64), plain_name, "\"", 0),
     ]
     own = F.transform(F.filter(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CANDIDATE), 0),
                                lambda v: F.regexp_like(v, F.lit("^[A-Za-z]+$"))),

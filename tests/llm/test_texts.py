@@ -240,3 +240,15 @@ def test_secrets(spark):
     bare = secrets.fit(spark.createDataFrame([], "value string, before string, after string, path string, label int"), model.vocabulary)
     assert secrets.scan(docs, bare).where("doc_id = 102").first()["n_secrets"] == 1
     assert secrets.scan(docs.limit(0), model).count() == 0
+
+
+def test_secrets_after_long_names(spark):
+    """A name of 16 characters or more is a candidate itself and still announces its value."""
+    draw = random.Random(10)
+    key = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    forms = ["AWS_SECRET_ACCESS_KEY={}", 'DATABASE_API_TOKEN = "{}"', "billing_client_secret: '{}'", "LAST_RELEASE_CHECKSUM={}", 'expected_commit_revision = "{}"']
+    rows = [(i, f"{prose(draw, 30)} {forms[i % 5].format(key(i))} {prose(draw, 5)}", "src0") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    for i, text, _ in rows:
+        assert got[i]["redacted"] == (text.replace(key(i), "[SECRET]") if i % 5 < 3 else text)
