@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share
+from .common import hash_share, settle
 
 SLOTS = 3
 
@@ -57,12 +57,14 @@ class Search:
 
 
 def valid(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id, vector (doubles) and dim of the rows that take part."""
+    """id, vector (doubles) and dim of the rows that take part, each id and vector once:
+    neither a bucket's size nor a block's k best may count repeats. Written, as the index
+    reads it several times."""
     finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    return (rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull())
-            .where((F.size("vector") > 0) & F.forall("vector", finite) & F.exists("vector", lambda x: x != 0))
-            .withColumn("dim", F.size("vector")))
+    rows = (rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull())
+            .where((F.size("vector") > 0) & F.forall("vector", finite) & F.exists("vector", lambda x: x != 0)))
+    return settle(rows.dropDuplicates().withColumn("dim", F.size("vector")))
 
 
 @dataclass

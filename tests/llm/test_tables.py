@@ -71,6 +71,23 @@ def test_neighbours(spark, block_rows):
     assert ann.search(ann.build(vectors.limit(0), params), vectors.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i, draw.normal(size=8).tolist()) for i in range(200)]
+    rows[1] = (1, [x * 1.01 for x in rows[0][1]])      # near query 0, and there fifty times
+    params = ann.Search(k=5, hashes=3, success=0.999)
+
+    def found(table):
+        vectors = ann.valid(spark.createDataFrame(table, "vec_id long, embedding array<double>"))
+        got = ann.search(ann.build(vectors, params), vectors.where("id % 20 = 0"))
+        return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect())
+
+    once = found(rows)
+    assert Counter(q for q, *_ in once) == {q: 5 for q in range(0, 200, 20)}
+    assert found(rows + rows) == once
+    assert found(rows + rows[1:2] * 49) == once
+
+
 def test_permutation(spark):
     for n in (1, 2, 3, 7, 100, 1009):
         got = [r[0] for r in spark.range(n).select(mixing.shuffled(F.col("id"), F.lit(n).cast("long"), F.lit("k"))).collect()]
