@@ -6,12 +6,15 @@ an output shard, each naming a block:
 
 * targets: sources share the whole size by weight; a target stops at ``most`` times
   its source's size and the excess goes to the others by weight (water filling);
-* counts: a source owns ``round(target / block)`` numbers of a grid. A pseudorandom
-  permutation deals the grid to the slots, so each output shard gets a multinomial
-  draw of sources, conditioned on totals that meet the targets;
+* counts: a source owns as many numbers of a grid as slots give its target, rounded to
+  whole words and at least one word: all its blocks for each whole pass over the source,
+  then blocks for the rest, of which the last is cut. A pseudorandom permutation deals
+  the grid to the slots, so each output shard gets a multinomial draw of sources,
+  conditioned on totals that are the targets;
 * blocks: the source's i-th slot takes the block at place ``i`` of a pseudorandom
-  permutation of its blocks, a new one for each pass over them, so no block is
-  taken more often than its neighbours by more than one;
+  permutation of its blocks, a new one for each pass over them, so no word is taken
+  more often than another of its source by more than one. A source's last block may be
+  short; in the pass that is not whole it comes last, so the words taken are exact;
 * slots and blocks are joined by block number.
 
 Permutations are four-round Feistel networks on the number's row and column in a
@@ -98,8 +101,8 @@ def targets(sizes: DataFrame, params: Mixing) -> DataFrame:
 @dataclass(frozen=True)
 class Mix:
     documents: DataFrame   # sid, start, size, source_size, target and the row's own key columns
-    pieces: DataFrame      # sid, block, start (of the document), first, n_words
-    slots: DataFrame       # shard, slot, sid, block
+    pieces: DataFrame      # sid, block, start (of the document), first, n_words, at (in the block)
+    slots: DataFrame       # shard, slot, sid, block, words (the slot takes so many of the block, at most)
 
 
 def plan(docs: DataFrame, keys: list[str], text: str = "text", source: str = "source",
@@ -112,8 +115,13 @@ def plan(docs: DataFrame, keys: list[str], text: str = "text", source: str = "so
     buckets = rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("n"))
     sizes = buckets.groupBy(F.col("_source").alias("source")).agg(F.sum("n").alias("source_size"))
     goals = settle(targets(sizes, params))
-    goals = goals.withColumn("n_slots", F.floor(F.col("target") / params.block + 0.5).cast("long"))
     goals = goals.withColumn("n_blocks", F.ceil(F.col("source_size") / params.block).cast("long"))
+    goals = goals.withColumn("n_full", F.floor(F.col("source_size") / params.block).cast("long"))
+    words = F.when(F.col("target") > 0, F.greatest(F.floor(F.col("target") + 0.5).cast("long"), F.lit(1).cast("long")))
+    goals = goals.withColumn("passes", F.when(F.col("target") > 0, F.floor(words / F.col("source_size")).cast("long")))
+    goals = goals.withColumn("rest", words - F.col("passes") * F.col("source_size"))
+    goals = goals.withColumn("n_slots", F.coalesce(
+        F.col("passes") * F.col("n_blocks") + F.ceil(F.col("rest") / params.block).cast("long"), F.lit(0).cast("long")))
     ahead = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("_source", "_bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0).cast("long")).alias("_offset"))
     within = Window.partitionBy("_source", "_bucket").orderBy("_order", *keys, "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,32 +136,43 @@ def plan(docs: DataFrame, keys: list[str], text: str = "text", source: str = "so
     pieces = whole.select("*", F.explode(F.sequence(first, last)).alias("block"))
     begin = F.greatest(F.col("block") * params.block, "start")
     pieces = pieces.select("sid", "block", "start", (begin - F.col("start")).alias("first"),
-                           (F.least((F.col("block") + 1) * params.block, F.col("start") + F.col("size")) - begin).alias("n_words"))
+                           (F.least((F.col("block") + 1) * params.block, F.col("start") + F.col("size")) - begin).alias("n_words"),
+                           (begin - F.col("block") * params.block).alias("at"))
 
     in_order = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
     owned = goals.where("n_slots > 0").select(
-        "sid", "n_slots", "n_blocks", F.coalesce(F.sum("n_slots").over(in_order), F.lit(0).cast("long")).alias("grid"))
+        "sid", "n_slots", "n_blocks", "n_full", "passes", "rest", F.coalesce(F.sum("n_slots").over(in_order), F.lit(0).cast("long")).alias("grid"))
     total = goals.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
     chunks = owned.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / params.chunk))).alias("chunk"))
     # a number of partitions of our own: the rows are few before they are exploded, and the
     # adaptive planner would put them in one
     chunks = chunks.repartition(min(10_000, 1 + total // params.chunk), "sid", "chunk")
     low = F.col("chunk") * params.chunk
-    slots = chunks.select("sid", "n_blocks", "grid", F.explode(
+    slots = chunks.select("sid", "n_blocks", "n_full", "passes", "rest", "grid", F.explode(
         F.sequence(low, F.least(low + params.chunk, F.col("n_slots")) - 1)).alias("i"))
     slot = shuffled(F.col("grid") + F.col("i"), F.lit(total).cast("long"), F.lit("slots"))
     turn = F.floor(F.col("i") / F.col("n_blocks")).cast("long")
-    block = shuffled(F.pmod("i", F.col("n_blocks")), F.col("n_blocks"), F.concat_ws("/", F.col("sid"), turn))
-    slots = slots.select("sid", slot.alias("slot"), block.alias("block"))
-    return Mix(documents, pieces, slots.select(F.floor(F.col("slot") / params.shard).alias("shard"), "slot", "sid", "block"))
+    place = F.pmod("i", F.col("n_blocks"))
+    in_whole = turn < F.col("passes")
+    mixed = F.when(in_whole, F.col("n_blocks")).otherwise(F.col("n_full"))   # a short block keeps its place, the last
+    block = F.when(place < mixed, shuffled(place, mixed, F.concat_ws("/", F.col("sid"), turn))).otherwise(place)
+    whole_block = F.lit(params.block).cast("long")
+    words = F.when(in_whole, whole_block).otherwise(F.least(whole_block, F.col("rest") - place * params.block))
+    slots = slots.select("sid", slot.alias("slot"), block.alias("block"), words.alias("words"))
+    return Mix(documents, pieces, slots.select(F.floor(F.col("slot") / params.shard).alias("shard"), "slot", "sid", "block", "words"))
+
+
+def _in_slot() -> Column:
+    """Words of a piece that a slot takes."""
+    return F.greatest(F.least("n_words", F.col("words") - F.col("at")), F.lit(0).cast("long"))
 
 
 def taken(mix: Mix) -> DataFrame:
     """The documents of a mix with the words that it takes of each, repeats counted."""
     # both grow with the input, whatever the planner makes of exploded ranges: no broadcast
-    uses = mix.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses")).hint("merge")
+    uses = mix.slots.groupBy("sid", "block", "words").agg(F.count(F.lit(1)).alias("uses")).hint("merge")
     words = (mix.pieces.join(uses, ["sid", "block"])
-             .groupBy("sid", "start").agg(F.sum(F.col("n_words") * F.col("uses")).alias("taken")).hint("merge"))
+             .groupBy("sid", "start").agg(F.sum(_in_slot() * F.col("uses")).alias("taken")).hint("merge"))
     some = mix.documents.where("size > 0").join(words, ["sid", "start"], "left")
     none = mix.documents.where("size = 0").withColumn("taken", F.lit(None).cast("long"))
     return some.unionByName(none).withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
@@ -164,7 +183,7 @@ def mixed_texts(docs: DataFrame, mix: Mix, key: str, text: str = "text") -> Data
     (shard, slot, part, ``key``, text). ``key`` must tell the documents apart."""
     named = mix.documents.where("size > 0").select("sid", "start", key)   # an empty text shares its start with the next
     used = (mix.slots.hint("merge").join(mix.pieces, ["sid", "block"]).join(named.hint("merge"), ["sid", "start"])
-            .select("shard", "slot", F.col("start").alias("part"), key, "first", "n_words"))
+            .select("shard", "slot", F.col("start").alias("part"), key, "first", _in_slot().alias("n_words")).where("n_words > 0"))
     words = docs.select(key, F.regexp_extract_all(F.col(text), F.lit(WORD), 0).alias("_words"))
     cut = F.array_join(F.slice("_words", (F.col("first") + 1).cast("int"), F.col("n_words").cast("int")), " ")
     return used.join(words, key).select("shard", "slot", "part", key, cut.alias("text"))

@@ -137,6 +137,32 @@ def test_mixing(spark):
     assert mixing.taken(mixing.plan(docs.limit(0), ["doc_id"])).count() == 0
 
 
+def test_mixing_of_small_sources(spark):
+    """Sources of any size get their target, to the word, and none is left out."""
+    sizes = [1, 2, 21, 22, 63, 100, 128, 129, 150, 257, 300, 5, 1, 1000, 3, 7, 20_000, 40, 9000]
+    rows, doc = [], 0
+    for s, size in enumerate(sizes):
+        while size:
+            n = min(size, 37)
+            rows.append((doc, " ".join(f"w{doc}" for _ in range(n)), f"s{s:02d}"))
+            doc, size = doc + 1, size - n
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.plan(docs, ["doc_id"])
+    source_of, took, target = {i: s for i, _, s in rows}, Counter(), {}
+    for r in mixing.taken(mix).collect():
+        s = source_of[r["doc_id"]]
+        took[s] += r["taken"]
+        target[s] = r["target"]
+        assert r["taken"] <= 3 * r["size"]
+    assert len(target) == len(sizes)
+    for s, goal in target.items():
+        assert took[s] >= 1 and abs(took[s] - goal) < 1, (s, goal, took[s])
+    written = Counter()
+    for r in mixing.mixed_texts(docs, mix, "doc_id").collect():
+        written[source_of[r["doc_id"]]] += len(r["text"].split())
+    assert written == took
+
+
 def page(draw, i):
     paragraphs = [" ".join(draw.choice(["one", "two", "three", "four,", "five."]) for _ in range(draw.randint(3, 40))) for _ in range(draw.randint(1, 6))]
     body = "".join(f"<p>{entities.escape(p)} &amp;  co" for p in paragraphs)
