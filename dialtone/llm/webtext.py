@@ -9,9 +9,10 @@ What a page never shows (head, scripts, styles, comments and other markup) is no
 Character references are decoded, white space inside a block becomes one space, blocks
 are trimmed and joined by a blank line. Nothing else is dropped and nothing is capped.
 
-Training pages: a bounded sample of ``sample`` pages. Their blocks are labelled by the
-page's own sectioning (article or main against nav, header, footer, aside, form and the
-like); each page is also relabelled in ``variants`` dresses that carry the same blocks
+Training pages: a bounded sample of ``sample`` pages among those with an article or main
+element. Their blocks are labelled by the page's own sectioning (article or main against
+nav, header, footer, aside, form and the like); pages without it say nothing about labels
+and are read only. Under ``least`` pages, built-in ones fill up. Each page is also relabelled in ``variants`` dresses that carry the same blocks
 under div and class names of common kinds, with sidebars, notices, comments and forms
 added, so that the field does not lean on one kind of markup. The driver holds the
 sample only, of pages under ``longest`` characters; every page of any length is read.
@@ -54,6 +55,7 @@ _WORD = re.compile(r"[a-z]+")
 @dataclass(frozen=True)
 class Extraction:
     sample: int = 300
+    least: int = 20
     longest: int = 200_000
     variants: int = 3
     rounds: int = 150
@@ -224,6 +226,31 @@ def redressed(blocks: list[Block], labels: list[int], draw: random.Random) -> tu
     return out, marks
 
 
+#: Words of built-in pages (fixed values).
+_PROSE = """the a of and to in that it was for on with as at by from this which had were their after before while
+    council river market school report water people evening street winter village harvest railway garden letter
+    found carried opened closed reached measured wrote described crossed repaired long early local small open late""".split()
+_LINKS = ["Home", "About us", "Contact", "Log in", "Sign up", "Search", "Archive", "Topics", "Next page", "Help", "World", "Sport"]
+_NOTICES = ["© 2020 All rights reserved", "Terms of use | Privacy", "Follow us", "© Example Ltd.", "Imprint", "Powered by a template"]
+
+
+def built_in(draw: random.Random) -> tuple[list[Block], list[int]]:
+    """A made page: links, a headed article of paragraphs, list items and short lines, notices."""
+    def sentence() -> str:
+        words = [draw.choice(_PROSE) for _ in range(draw.randint(3, 22))]
+        return " ".join([words[0].capitalize(), *words[1:]]) + draw.choice("....?!")
+
+    menu = [Block(t, ("html", "body", "nav", "li"), (), len(t)) for t in draw.sample(_LINKS, draw.randint(1, 8))]
+    body = [Block(sentence()[:-1], ("html", "body", "article", draw.choice(("h1", "h2"))), (), 0)]
+    for _ in range(draw.randint(1, 12)):
+        text = " ".join(sentence() for _ in range(draw.choice((1, 1, 2, 4, 7))))
+        tag = draw.choice(("p", "p", "p", "p", "li", "h2"))
+        body.append(Block(text if tag == "p" else sentence().rstrip(".?!"), ("html", "body", "article", tag), (), 0))
+    foot = [Block(t, ("html", "body", "footer", "p"), (), draw.choice((0, len(t)))) for t in draw.sample(_NOTICES, draw.randint(1, 3))]
+    blocks = menu + body + foot
+    return blocks, [int("article" in b.tags) for b in blocks]
+
+
 def train(pages: list[tuple[list[Block], list[int]]], params: Extraction = Extraction()) -> Model:
     """Maximum likelihood (with decay) by Adam; forward and backward sums run over all
     pages at once, padded to the longest."""
@@ -272,18 +299,25 @@ def train(pages: list[tuple[list[Block], list[int]]], params: Extraction = Extra
 
 
 def fit(pages: DataFrame, page_id: str = "page_id", markup: str = "html", params: Extraction = Extraction()) -> Model:
-    """Train on a bounded sample of ``pages``, drawn by a hash of the id."""
-    total = pages.count()
+    """Train on a bounded sample of the sectioned pages among ``pages``, drawn by a hash of the id."""
+    sectioned = pages.where(F.regexp_like(markup, F.lit(r"(?i)<(article|main)[\s/>]")) & (F.length(markup) < params.longest))
+    total = sectioned.count()
     drawn = hash_share(F.coalesce(F.col(page_id).cast("string"), F.lit("")), salt="pages")
-    sample = (pages.where(drawn < params.sample / max(1, total)).where(F.length(markup) < params.longest)
+    sample = (sectioned.where(drawn < params.sample / max(1, total))
               .select(F.col(page_id).cast("string").alias("id"), F.col(markup).alias("page")).collect())
-    known = []
+    pages_known = []
     for row in sorted(sample, key=lambda r: (r["id"] or "", r["page"])):
         blocks = blocks_of(row["page"])
         labels = silver(blocks)
+        if any(labels):     # the tag may stand in a comment or script, or hold nothing
+            pages_known.append((row["id"], blocks, labels))
+    for i in range(params.least - len(pages_known)):
+        pages_known.append((f"built-in {i}", *built_in(random.Random(f"{params.seed} built-in {i}"))))
+    known = []
+    for name, blocks, labels in pages_known:
         known.append((blocks, labels))
         for v in range(params.variants):
-            known.append(redressed(blocks, labels, random.Random(f"{params.seed} {row['id']} {v}")))
+            known.append(redressed(blocks, labels, random.Random(f"{params.seed} {name} {v}")))
     return train(known, params)
 
 

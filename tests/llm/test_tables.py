@@ -184,6 +184,24 @@ def test_pages(spark):
     assert webtext.extract(pages, webtext.fit(pages.limit(0))).count() == len(rows)
 
 
+def undressed(draw, i):
+    """The page of ``page`` with neither article nor main nor nav."""
+    markup, text = page(draw, i)
+    markup = markup.replace("<nav>", '<div class="menu">').replace("</nav>", "</div>").replace("<footer>", '<div class="footer">')
+    return markup.replace("</footer>", "</div>").replace("<article>", '<div class="post-body">').replace("</article>", "</div>"), text
+
+
+@pytest.mark.parametrize("sectioned", [0, 3, 30])
+def test_pages_without_sectioning(spark, sectioned):
+    """They teach nothing, so mixed in or alone they have their text."""
+    draw = random.Random(6)
+    made = [page(draw, i) if i < sectioned else undressed(draw, i) for i in range(150)]
+    pages = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(made)], "page_id long, html string")
+    got = {r["page_id"]: r["main_text"] for r in webtext.extract(pages, webtext.fit(pages)).collect()}
+    right = sum(got[i] == t for i, (_, t) in enumerate(made))
+    assert right >= 0.95 * len(made), (right, [(got[i], t) for i, (_, t) in enumerate(made) if got[i] != t][:3])
+
+
 def test_page_blocks():
     found = webtext.blocks_of("<div>a<br>b<p>c <b>d</b>&nbsp;&lt;e<p>f<li>g</div><template><p>no</template>h<a href='>'>i</a>")
     assert [b.text for b in found] == ["a b", "c d <e", "f", "g", "hi"]
