@@ -1,7 +1,9 @@
 """Secret scan: candidate strings, then a random forest that removes false positives.
 
 Native: every step is a DataFrame expression. Candidates are runs of at least 16
-characters of ``[A-Za-z0-9+/_-]``. The text is split at them; a candidate's context is
+characters of ``[A-Za-z0-9+/_-]``, values right after an announcing word with ``=`` or
+``:`` (quoted or bare, 6 characters or more, of any kind but spaces) and passwords of
+4 characters or more between ``://user:`` and ``@``. The text is split at them; a candidate's context is
 the text right before and after it, other candidates included, as a long variable name
 is one itself. The forest looks at the candidate's length, its character transitions,
 how far a dictionary covers it, the path and the neighbouring words. It is trained on labelled findings by Spark ML and then written
@@ -29,8 +31,19 @@ from pyspark.sql import functions as F
 
 from .common import hash_share, settle
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
-SHORTEST = 16   # characters of a candidate, at least
+_ANNOUNCING = r"(?i:token|secret|passw(?:or)?d|pwd|passphrase|api.?key|access.?key|private.?key|credentials?|authorization)"
+_SET = _ANNOUNCING + r"[\w.\-]{0,24}[\"'\]]{0,2}[ \t]{0,3}[=:]{1,2}>?[ \t]{0,3}(?:(?i:bearer|basic|token) )?"
+_URL_USER = r"://[^\s:/@]{0,100}:"
+_LONG = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
+#: Follows from ``_SET``. A look back tries all its lengths, so this short one goes before the long one.
+_NEAR = r"[=:][> \t]{0,4}(?:[A-Za-z]{5,6} )?"
+#: The first looks back of each kind are cheap and fail at most places.
+CANDIDATE = "|".join((
+    rf"(?<=[\"'`])(?<={_NEAR}[\"'`])(?<={_SET}[\"'`])(?:(?<=\")[^\s\"]{{6,}}+|(?<=')[^\s']{{6,}}+|(?<=`)[^\s`]{{6,}}+)",
+    rf"(?<=[=:> \t])(?<={_NEAR})(?<={_SET})(?!(?i:bearer|basic|token) )[^\s\"'`=:>][^\s\"'`]{{4,}}[^\s\"'`,;.)\]}}]",
+    rf"(?<=:)(?<={_URL_USER})[^\s@/\"'`]{{4,}}+(?=@)",
+    _LONG))
+SHORTEST = 4   # characters of a candidate, at least
 MASK = "[SECRET]"
 _CHANGES = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
 _KEYWORD = r"(?i)(token|secret|passw(or)?d|passwd|api.?key|access.?key|private.?key|credential|authorization|bearer)"
@@ -39,6 +52,8 @@ _ASSIGNED = r"[=:]\s*[\"'`]?$"
 _TEST_PATH = r"(?i)(test|example|sample|fixture|docs?/|mock|\.lock$|\.md$|\.svg$|min\.js$)"
 _CONFIG_PATH = r"(?i)(\.env|conf|\.cfg|\.ini|\.ya?ml|\.properties|settings|secret|deploy)"
 _PREFIX = r"^(AKIA|ASIA|gh[pousr]_|xox[abps]-|sk_live_|sk-|AIza|glpat-|eyJ)"
+_CODE = r"^[A-Za-z_][\w.]*[(\[.]|^[$<{%*]"
+_NO_VALUE = r"(?i)^(none|null|true|false|string|required|optional|undefined|passw(or)?d|secret|hidden|default|missing|empty)\W*$"
 _PLACEHOLDER = r"(?i)(example|placeholder|your[_-]|xxxx|change.?me|dummy|0000000|1234567|redacted)"
 
 
@@ -89,6 +104,8 @@ def features(value: Column, before: Column, after: Column, path: Column, vocabul
         one(value, "^[0-9a-f]+$"), one(value, "^[0-9]+$"), one(value, _PREFIX), one(value, _PLACEHOLDER),
         one(path, _TEST_PATH), one(path, _CONFIG_PATH),
         one(before, _KEYWORD), one(before, _HARMLESS), one(before, _ASSIGNED), one(after, "^[\"'`]"),
+        one(before, _SET + "[\"'`]?$"), one(before, _URL_USER + "$"), share(r"[^A-Za-z0-9+/_\-=]"),
+        one(value, _CODE), one(value, _NO_VALUE),
     ]
 
 
@@ -227,11 +244,17 @@ _SECRET_NAMES = [("deploy/prod.env", "_SECRET_ACCESS_KEY="), ("config/settings.p
 _PLAIN_NAMES = [("package.lock", "_RELEASE_CHECKSUM_SHA256="), ("CHANGES.md", "_last_known_good_commit: "),
                 ("src2", "_expected_md5_digest = \""), ("src3", "_BUILD_REVISION_NUMBER="),
                 ("tests/data.json", "_request_correlation_uuid: \""), ("src4", "_artifact_content_digest = '")]
+#: What stands in the place of a password and is none.
+_NO_PASSWORDS = ["changeme", "password", "required", "undefined", "os.environ[", "getpass.getpass(", "${PASSWORD}", "<password>",
+                 "********", "your-password", "xxxxxxxx", "args.password", "config.get(", "Optional[str]", "placeholder",
+                 "string", "{{password}}", "%(password)s"]
+_URLS = ["postgres://app:", "https://admin:", "redis://:", "mysql://root:", "amqp://worker:", "mongodb://svc:"]
 
 
 def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """Labelled findings made from ``docs``: random keys of several forms set after words
-    that announce a secret, also at the end of long names (label 1); digests after harmless
+    that announce a secret, also at the end of long names, and passwords of several forms
+    there and in URLs (label 1); placeholders and code in their place, digests after harmless
     words and names, the names themselves, plain numbers, placeholders, joined words of the
     text and its own long words (label 0)."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
@@ -243,6 +266,8 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     word = F.coalesce(F.get(words, F.lit(0)), F.lit(""))
 
+    bare_path = F.coalesce(F.col(path).cast("string"), F.lit(""))
+
     def place(table: list[tuple[str, str]], joiner: str = " ") -> tuple[Column, Column]:
         at = lambda k: F.array(*[F.lit(row[k]) for row in table])[n]
         return at(0), F.concat(word, F.lit(joiner), at(1))
@@ -256,9 +281,22 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         rest = F.concat(F.substr(where[1], F.length(own) + 1), F.substring(digest, 1, 20))
         return row(own, (where[0], F.lit("export ")), F.left(rest, F.lit(20)), 0)
 
+    # passwords: random, of a word with digits and signs, of a word in other spelling
+    digits = F.translate(F.substring(digest, 50, 4), "abcdef", "012345")
+    sign = F.array(*map(F.lit, "&!#$@%"))[n]
+    stem = F.left(F.coalesce(F.get(words, F.lit(1)), F.lit("summer")), F.lit(9))
+    random8 = F.concat(F.substring(base64, 5, 5), sign, F.substring(base64, 11, 4))
+    passwords = [
+        random8, F.substring(base64, 15, 10), F.concat(F.initcap(stem), F.left(digits, F.lit(2)), sign, F.right(digits, F.lit(1))),
+        F.concat(F.translate(F.initcap(stem), "aeio", "4310"), sign, F.right(digits, F.lit(2))), F.concat(stem, digits),
+    ]
+    other = lambda k: F.array(*map(F.lit, _NO_PASSWORDS))[n + 6 * k]
+    url = (bare_path, F.concat(word, F.lit(" "), F.array(*map(F.lit, _URLS))[n]))
+    in_url = F.regexp_replace(F.array(*passwords)[F.pmod(n, F.lit(5))], "[@/]", "x")
+
     secret, plain = place(_SECRET_PLACES), place(_PLAIN_PLACES)
     secret_name, plain_name = place(_SECRET_NAMES, ""), place(_PLAIN_NAMES, "")
-    bare = (F.coalesce(F.col(path).cast("string"), F.lit("")), F.concat(F.array_join(words, " "), F.lit(" ")))
+    bare = (bare_path, F.concat(F.array_join(words, " "), F.lit(" ")))
     made = [
         row(F.substring(digest, 1, 40), secret, "\" the", 1), row(F.substring(digest, 41, 32), secret, "\"", 1),
         row(F.substring(base64, 1, 32), secret, "'", 1), row(F.substring(base64, 33, 40), secret, " and", 1),
@@ -272,13 +310,20 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         row(F.substring(digest, 21, 40), secret_name, "\" the", 1), row(F.substring(digest, 61, 32), secret_name, "", 1),
         row(F.substring(base64, 9, 40), secret_name, "'", 1), name(secret_name), name(plain_name),
         row(F.substring(digest, 41, 40), plain_name, "", 0), row(F.substring(digest, 11, 64), plain_name, "\"", 0),
+        *[row(value, where, "\"", 1) for value, where in zip(passwords, (secret, secret_name, secret, secret_name, secret), strict=True)],
+        row(in_url, url, "@db.local", 1), row(other(0), url, "@db.local", 0), row(F.get(words, F.lit(2)), url, "@", 0),
+        row(other(0), secret, "\"", 0), row(other(1), secret_name, " ", 0), row(other(2), secret, "", 0),
+        row(F.get(words, F.lit(3)), secret, " ", 0), row(F.get(words, F.lit(4)), secret_name, "\"", 0),
+        row(F.concat_ws("_", F.get(words, F.lit(5)), F.get(words, F.lit(6))), secret, ",", 0),
+        row(F.concat(F.get(words, F.lit(6)), F.lit("("), F.get(words, F.lit(7))), secret, ")", 0),
     ]
     own = F.transform(F.filter(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CANDIDATE), 0),
                                lambda v: F.regexp_like(v, F.lit("^[A-Za-z]+$"))),
                       lambda v: F.struct(v.alias("value"), F.lit("the ").alias("before"), F.lit(" ").alias("after"),
                                          bare[0].alias("path"), F.lit(0).alias("label")))
     found = docs.select(F.explode(F.concat(F.array(*made), F.slice(own, 1, 6))).alias("x")).select("x.*")
-    return found.where(F.length("value") >= 16)
+    short = F.regexp_like("before", F.lit(f"({_SET}[\"'`]?|{_URL_USER})$")) & (F.length("value") >= 6)
+    return found.where((F.length("value") >= 16) | short)
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source",

@@ -252,3 +252,17 @@ def test_secrets_after_long_names(spark):
     got = {r["doc_id"]: r for r in secrets.scan(docs, secrets.train(docs)).collect()}
     for i, text, _ in rows:
         assert got[i]["redacted"] == (text.replace(key(i), "[SECRET]") if i % 5 < 3 else text)
+
+
+def test_short_secrets(spark):
+    """Passwords of any characters after an announcing word or in a URL; placeholders and code stay."""
+    draw = random.Random(11)
+    said = [('password = "{}"', "Tr0ub4dor&3"), ("db_password: '{}'", "hunter42!x"), ("API_TOKEN={}", "Zk3!x9Qp"),
+            ("postgres://app:{}@db.local/main", "s3cr3t9"), ('{{"passwd": "{}"}}', "q7#Lm,2v$"), ('password = "{}"', "abcdEFGH12345678!x&y;z")]
+    left = ['password = "changeme"', "password: required", "token = os.environ[", 'secret: "${DB_SECRET}"', "http://host:8080/path", "user = summer12!x"]
+    rows = [(i, f"{prose(draw, 20)} {form.format(value)} {prose(draw, 5)}", "src0") for i, (form, value) in enumerate(said * 10)]
+    rows += [(1000 + i, f"{prose(draw, 20)} {text} {prose(draw, 5)}", "src0") for i, text in enumerate(left * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["redacted"] for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    for i, text, _ in rows:
+        assert got[i] == (text.replace((said * 10)[i][1], "[SECRET]") if i < 1000 else text)
