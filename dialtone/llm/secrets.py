@@ -10,9 +10,9 @@ how far a dictionary covers it, the path and the neighbouring words. It is train
 out as an expression over constant arrays of its nodes, evaluated inside the array of
 candidates: a scan is a single pass without a shuffle, and no row meets Python.
 
-Fitting reads a bounded sample: ``sample_rows`` documents drawn by a hash give the
-dictionary (``dictionary`` most frequent words), the usual letter pairs (``pairs``)
-and the contexts of labelled findings, ``most_findings`` at most.
+Words and letter pairs are counted over all documents: the ``dictionary`` most frequent
+words and the ``pairs`` usual pairs. The contexts of labelled findings come from a bounded
+sample: ``sample_rows`` documents drawn by a hash, ``most_findings`` at most.
 
 Nulls and empty texts have no candidates; a null path counts as empty. A candidate
 that repeats is judged at each place. Without both labels the forest is absent and
@@ -111,8 +111,8 @@ def features(value: Column, before: Column, after: Column, path: Column, vocabul
 
 def learn_vocabulary(docs: DataFrame, text: str, params: SecretScan) -> Vocabulary:
     """The most frequent words of three letters or more and pairs of letters in ``docs``."""
-    words = (docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{3,}+"), 0)).alias("w"))
-             .where(F.length("w") < 16).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    words = settle(docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]{3,}+"), 0)).alias("w"))
+                   .where(F.length("w") < 16).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
     top = words.orderBy(F.desc("n"), "w").limit(params.dictionary).collect()
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2))))
     pairs = (words.select(pair.alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n"))
@@ -328,9 +328,9 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source",
           params: SecretScan = SecretScan()) -> Model:
-    """A model for ``docs``: vocabulary and labelled findings from a bounded sample of them."""
+    """A model for ``docs``: the vocabulary of all of them, labelled findings from a bounded sample."""
     total = docs.count()
     share = min(1.0, params.sample_rows / max(1, total))
     drawn = hash_share(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), salt="secrets")
     sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(path).alias("source")).where(drawn < share)
-    return fit(labelled_findings(sample), learn_vocabulary(sample, "text", params), params)
+    return fit(labelled_findings(sample), learn_vocabulary(docs, text, params), params)

@@ -266,3 +266,17 @@ def test_short_secrets(spark):
     got = {r["doc_id"]: r["redacted"] for r in secrets.scan(docs, secrets.train(docs)).collect()}
     for i, text, _ in rows:
         assert got[i] == (text.replace((said * 10)[i][1], "[SECRET]") if i < 1000 else text)
+
+
+def test_secret_vocabulary_is_of_all_documents(spark):
+    """Counted by hand over all rows, however small the sample of findings is."""
+    rows = [(i, " ".join(["common"] * 3 + [f"rare{'abcdefghij'[i % 10]}"] * (1 + i % 10)), "src0") for i in range(200)]
+    docs = spark.createDataFrame([*rows, (900, None, None)], "doc_id long, text string, source string")
+    got = secrets.train(docs, params=secrets.SecretScan(sample_rows=5, dictionary=6, pairs=4)).vocabulary
+    words = Counter(w for _, text, _ in rows for w in text.split())
+    pairs = Counter()
+    for w, n in words.items():
+        for a, b in zip(w, w[1:], strict=False):
+            pairs[a + b] += n
+    most = lambda counts, k: tuple(w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k])
+    assert (got.words, got.pairs) == (most(words, 6), most(pairs, 4))
