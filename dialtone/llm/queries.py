@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, langid, mixing, quality, secrets, simhash, substrings, webtext
+from . import (alignment, ann, chat, decontaminate, langid, mixing, quality, secrets, simhash, substrings, suffixtree,
+               trie, webtext)
 from .common import bound_arrow_batches, read_table, remainder
 
 
@@ -88,6 +89,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffixtree.score(docs, remainder(F.col("doc_id"), 7) != 2)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_arrow_batches(spark)
+    return alignment.align(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    nodes = trie.prefix_trie(trie.rebuilt(trie.ordered_turns(turns)))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_secret_scan, op3_language_id, op4_chat_formatting, op5_nearest_neighbours,
-    op6_substring_dedup, op7_source_mixing, op8_html_extraction, op9_simhash_near_dedup, op10_quality_classifier)}
+    op6_substring_dedup, op7_source_mixing, op8_html_extraction, op9_simhash_near_dedup, op10_quality_classifier, op11_lm_scoring,
+    op12_tokenizer_alignment, op13_prefix_trie)}
