@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import date_id
 from ..sources.ivr_schema import CALL_COLUMNS, CALL_ID, DETAIL_COLUMNS, MODULE_SEQ
-from .joins import left_join, left_join_parts, with_nulls
+from .joins import Skew, hot_keys, left_join
 
 
 def prefixed_calls(calls: DataFrame, key: str = CALL_ID, prefix: str = "calls_") -> DataFrame:
@@ -27,34 +27,26 @@ def prefixed_calls(calls: DataFrame, key: str = CALL_ID, prefix: str = "calls_")
 
 
 def build_detail(calls: DataFrame, modules: DataFrame, steps: DataFrame,
-                 key: str = CALL_ID, seq: str = MODULE_SEQ,
-                 skew_safe: bool = True) -> DataFrame:
-    """The 25-column detail table.
+                 key: str = CALL_ID, seq: str = MODULE_SEQ, skew: Skew | None = Skew()) -> DataFrame:
+    """The 25-column detail table, two left joins.
 
-    ``skew_safe`` writes each left join as inner + anti join so that adaptive
-    execution can split a call id that is hot in modules or steps.
+    ``skew`` looks for call ids that are hot in modules and (call id, sequence) pairs that are hot
+    in steps before planning, one narrow aggregate each, and salts those only; None skips it.
     """
     c = prefixed_calls(calls, key)
+    hot_modules = hot_keys(modules, [key], skew) if skew else None
+    hot_steps = hot_keys(steps, [key, seq], skew) if skew else None
     m = modules.select(*[F.col(x).alias("_m_" + x) if x in (key, seq) else F.col(x)
                          for x in modules.columns])
     s = steps.select(*[F.col(x).alias("_s_" + x) if x in (key, seq) else F.col(x)
                        for x in steps.columns])
+    cm = left_join(c, m, [f"calls_{key}"], [f"_m_{key}"], hot_modules)
     # The module's own id equals the call id whenever a module matched and is
     # NULL otherwise, so joining steps on the call id is the same join.
-    on_steps = ([f"calls_{key}", f"_m_{seq}"], [f"_s_{key}", f"_s_{seq}"])
-    if skew_safe:
-        # calls without a module skip the second join
-        cm, alone = left_join_parts(c, m, [f"calls_{key}"], [f"_m_{key}"])
-        cms = left_join(cm, s, *on_steps).unionByName(
-            with_nulls(alone, [*m.schema.fields, *s.schema.fields]))
-    else:
-        cm = left_join(c, m, [f"calls_{key}"], [f"_m_{key}"], skew_safe=False)
-        cms = left_join(cm, s, *on_steps, skew_safe=False)
-    out = cms.withColumnRenamed(f"_m_{seq}", seq)
-    return out.select(*DETAIL_COLUMNS)
-
-
-def detail_from_driver(spark, sf_dir: str, skew_safe: bool = True) -> DataFrame:
+    cms = left_join(cm, s, [f"calls_{key}", f"_m_{seq}"], [f"_s_{key}", f"_s_{seq}"], hot_steps)
+    return cms.withColumnRenamed(f"_m_{seq}", seq).select(*DETAIL_COLUMNS)
+
+
+def detail_from_driver(spark, sf_dir: str, skew: Skew | None = Skew()) -> DataFrame:
     from ..sources.bindings import ivr_tables
-    calls, modules, steps = ivr_tables(spark, sf_dir)
-    return build_detail(calls, modules, steps, skew_safe=skew_safe)
+    return build_detail(*ivr_tables(spark, sf_dir), skew=skew)

@@ -5,22 +5,15 @@ Rows are ordered by (start, call id): the call id breaks ties between equal
 start times so the result is deterministic. NULL phones and the 'UNKNOWN'
 phone are windows like any other, as in the source.
 
-Three physical forms give the same rows:
-
-* ``skew_safe=False``: one window per phone. A phone holding a third of all
-  calls (the 'UNKNOWN' or NULL phone in practice) becomes one task.
-* ``skew_safe=True, bucket="position"`` (default): rows are range-partitioned
-  and sorted in (phone, start, call id) order, whose sampled bounds split any
-  hot phone; ``lag``/``lead`` run per range partition, and the first / last
-  row of a partition takes its neighbour from a one-row-per-partition table
-  (bounded, broadcast). A neighbour counts when it has the same phone. Exact
-  for any phone or time distribution, including a burst of equal start times.
-* ``skew_safe=True, bucket="day"`` (or "hour", ...): the window runs per
-  (phone, time bucket). Only the first/last row of a bucket needs a neighbour
-  from another bucket: the max/min start of the nearest non-empty bucket, read
-  from a per-(phone, bucket) table windowed by phone (one row per bucket).
-  Fewer shuffles than positions, but a phone whose calls crowd into one bucket
-  stays in one task.
+* Phones with a usual number of calls take one window per phone. Where the input is a table bucketed
+  by phone (``plans.ivr_jobs.save_by_phone``), neither the distinct rows nor the window needs
+  an exchange.
+* Phones that hold more than one task should have (in practice the 'UNKNOWN' or NULL
+  phone), found with a frequent-items sketch, are range-partitioned and sorted in
+  (phone, start, call id) order; the sampled bounds split them. ``lag``/``lead`` run per range
+  partition, and the first / last row of a partition takes its neighbour from a
+  one-row-per-partition table (bounded, broadcast). A neighbour counts when it has the
+  same phone. Exact for any distribution, including a burst of equal start times.
 """
 
 from __future__ import annotations
@@ -30,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import flag, whole_hours_between
 from ..sources.ivr_schema import OUT
+from .joins import Skew
 
 KEY, ENTITY, TS = "calls_ivr_id", "calls_phone_number", "calls_start_date"
 
@@ -42,63 +36,43 @@ def _flags(prev: Column, nxt: Column, ts: str, hours: int,
     ]
 
 
+def hot_entities(df: DataFrame, entity: str, skew: Skew) -> list:
+    """The values of ``entity`` (None among them) that hold too many rows for one task."""
+    found = df.agg(F.expr(f"approx_top_k({entity}, {skew.most}, {skew.tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(skew.least_rows, skew.factor * found["n"] / parts)
+    return [r["item"] for r in found["top"] if r["count"] >= least]
+
+
 def recency_flags(df: DataFrame, key: str = KEY, entity: str = ENTITY, ts: str = TS,
-                  hours: int = 24, skew_safe: bool = True, bucket: str = "position",
+                  hours: int = 24, skew: Skew | None = Skew(),
                   rep_name: str = OUT["repeated"],
                   cause_name: str = OUT["recall"], ordered: bool = False) -> DataFrame:
     """Columns: key, entity, ts, previous_call, next_call, <rep_name>, <cause_name>.
 
-    ``ordered=True`` adds the source's final ORDER BY (call id, phone) as a
-    range-partitioned global sort.
+    ``skew`` looks for hot phones before planning (one aggregate over the phone column); None
+    gives every phone a window. ``ordered=True`` adds the source's final ORDER BY (call id,
+    phone) as a range-partitioned global sort.
     """
-    base = df.select(key, entity, ts).distinct()
-    if not skew_safe:
-        w = Window.partitionBy(entity).orderBy(F.col(ts).asc_nulls_first(), F.col(key).asc_nulls_first())
-        out = base.select(key, entity, ts,
-                          F.lag(ts).over(w).alias("previous_call"),
-                          F.lead(ts).over(w).alias("next_call"))
-    elif bucket == "position":
-        out = _positional_neighbours(base, key, entity, ts)
-    else:
-        out = _bucketed_neighbours(base, key, entity, ts, bucket)
+    hot = hot_entities(df, entity, skew) if skew else []
+    base = df.select(key, entity, ts)
+    out = None
+    if hot:
+        known = [v for v in hot if v is not None]
+        is_hot = F.coalesce(F.col(entity).isin(known), F.lit(False)) if known else F.lit(False)
+        if None in hot:
+            is_hot = is_hot | F.col(entity).isNull()
+        out = _positional_neighbours(base.where(is_hot).distinct(), key, entity, ts)
+        base = base.where(~is_hot)
+    w = Window.partitionBy(entity).orderBy(F.col(ts).asc_nulls_first(), F.col(key).asc_nulls_first())
+    usual = base.distinct().select(key, entity, ts, F.lag(ts).over(w).alias("previous_call"), F.lead(ts).over(w).alias("next_call"))
+    out = usual if out is None else usual.unionByName(out)
     out = out.select(key, entity, ts, "previous_call", "next_call",
                      *_flags(F.col("previous_call"), F.col("next_call"), ts, hours,
                              rep_name, cause_name))
     return out.orderBy(key, entity) if ordered else out
 
 
-def _bucketed_neighbours(base: DataFrame, key: str, entity: str, ts: str,
-                         bucket: str) -> DataFrame:
-    b = F.date_trunc(bucket, F.col(ts))
-    # Non-NULL surrogates: (is NULL, value) pairs are injective and hashable.
-    r = base.select(
-        key, entity, ts,
-        F.col(entity).isNull().alias("_en"), F.coalesce(F.col(entity).cast("string"), F.lit("")).alias("_ev"),
-        b.isNull().alias("_bn"), F.coalesce(b, F.lit(0).cast("timestamp")).cast(base.schema[ts].dataType).alias("_bv"))
-    pk = ["_en", "_ev", "_bn", "_bv"]
-    w_in = Window.partitionBy(*pk).orderBy(F.col(ts).asc_nulls_first(), F.col(key).asc_nulls_first())
-    r = r.select(
-        *r.columns,
-        F.lag(ts).over(w_in).alias("_prev_in"), F.lead(ts).over(w_in).alias("_next_in"),
-        F.lag(F.lit(1)).over(w_in).isNull().alias("_first"),
-        F.lead(F.lit(1)).over(w_in).isNull().alias("_last"))
-    # Bucket bounds from the window output itself: the first row holds the
-    # smallest start, the last row the largest. Grouping by the window's own
-    # partition keys needs no new exchange, and depending on the window keeps
-    # the optimizer from re-deriving this table from the raw input.
-    per_bucket = r.groupBy(*pk).agg(F.max(F.when(F.col("_first"), F.col(ts))).alias("_bmin"),
-                                    F.max(F.when(F.col("_last"), F.col(ts))).alias("_bmax"))
-    # One row per (phone, bucket): NULL buckets first, like NULL starts.
-    w_b = Window.partitionBy("_en", "_ev").orderBy(F.col("_bn").desc(), F.col("_bv").asc())
-    edges = per_bucket.select(*pk, F.lag("_bmax").over(w_b).alias("_prev_b"),
-                              F.lead("_bmin").over(w_b).alias("_next_b"))
-    j = r.join(edges, pk, "inner")
-    return j.select(
-        key, entity, ts,
-        F.when(F.col("_first"), F.col("_prev_b")).otherwise(F.col("_prev_in")).alias("previous_call"),
-        F.when(F.col("_last"), F.col("_next_b")).otherwise(F.col("_next_in")).alias("next_call"))
-
-
 def _positional_neighbours(base: DataFrame, key: str, entity: str, ts: str) -> DataFrame:
     """Neighbours in (phone, start, call id) order without a window per phone.
 

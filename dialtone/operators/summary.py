@@ -1,13 +1,14 @@
 """Per-call summary.
 
 The source builds the summary by reading the detail nine times and joining
-eight grouped results on the call id. ``build_summary(..., form="fused")``
-computes every feature in ONE ``groupBy(call id)`` aggregate (partial
-aggregation map-side, one shuffle): the repeat flags, computed per phone, enter
-it as extra rows through a UNION rather than a join. ``explode_outer`` then
-restores the source's row fan-out (one row per label, per known phone and per
-(phone, start) variant of a call). ``form="joins"`` is the literal eight-join
-plan, kept as a cross-check.
+eight grouped results on the call id. Here every feature comes from ONE
+``groupBy(call id)`` aggregate (partial aggregation map-side, one shuffle): the
+repeat flags, computed per phone, enter it as extra rows through a UNION rather
+than a join. ``explode_outer`` then restores the source's row fan-out (one row per
+label, per known phone and per (phone, start) variant of a call).
+
+Two inputs give the same rows: ``summary_from_tables`` reads calls, modules and steps
+(``facts``: no join at all), ``build_summary`` a detail that was written before.
 
 Semantics kept from the source:
 * a call with k labels and p known phones yields k * max(p, 1) rows (times the
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import all_known, classify_label as label_class, flag, is_known
 from ..sources.ivr_schema import BASE_COLUMNS, SENTINEL, SUMMARY_COLUMNS
+from . import facts
 from . import features as feat
 from .recency import recency_flags
 
@@ -82,8 +84,7 @@ def _select_summary(df: DataFrame) -> DataFrame:
     return df.select(*SUMMARY_COLUMNS)
 
 
-def build_summary(detail: DataFrame, method: str = "max", form: str = "fused",
-                  skew_safe: bool = True, key: str = KEY,
+def build_summary(detail: DataFrame, method: str = "max", key: str = KEY,
                   calls: DataFrame | None = None) -> DataFrame:
     """S3 (method='max') and S4 (method='best_row') summary tables, 20 columns.
 
@@ -91,34 +92,14 @@ def build_summary(detail: DataFrame, method: str = "max", form: str = "fused",
     (``detail.prefixed_calls``). The repeat flags only read (call id, phone,
     start), which the detail copies unchanged from every call (the left joins
     keep all calls), so they can be computed from the calls alone instead of
-    re-running the detail's joins in a second branch.
+    from the detail's many rows per call.
     """
-    if method not in ("max", "best_row"):
-        raise ValueError("method must be 'max' or 'best_row'")
-    rec_src = calls if calls is not None else detail
-    if form == "joins":
-        return _summary_joins(detail, method, skew_safe, key, rec_src)
-    if form != "fused":
-        raise ValueError("form must be 'fused' or 'joins'")
-    return _summary_fused(detail, method, skew_safe, key, rec_src)
-
-
-def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
-                   rec_src: DataFrame) -> DataFrame:
-    label_t = T.StructType([T.StructField("calls_vdn_label", T.StringType())])
-    # The repeat flags (one row per distinct (call, phone, start)) enter the
-    # same aggregate through a UNION instead of a join after it: the summary
-    # is then shuffled once, by call id, and no join re-partitions its output.
-    rec = recency_flags(rec_src, skew_safe=skew_safe)
-    rec_rows = rec.select(
-        key, F.struct(F.col("calls_phone_number").alias("p"), F.col("calls_start_date").alias("s"),
-                      F.col("repeated_phone_24H").alias("rep"),
-                      F.col("cause_recall_phone_24H").alias("cause")).alias("_rv"),
-        F.lit(False).alias("_det")).filter(F.col(key).isNotNull())
+    _check(method)
     used = [key, *BASE_COLUMNS, "calls_vdn_label", *DOC_COLS, "customer_phone",
             "billing_account_id", "module_name", "step_name", "step_result"]
-    det_rows = detail.select(*used, F.lit(True).alias("_det"))
-    rows_ = det_rows.unionByName(rec_rows, allowMissingColumns=True)
+    rows_ = detail.select(*used, F.lit(True).alias("_det")).unionByName(
+        _repeat_rows(calls if calls is not None else detail, key).withColumn("_det", F.lit(False)),
+        allowMissingColumns=True)
     # NULL ids never join in the source: their features are NULL, so their rows
     # enter the group's MAX only and no array is collected from them.
     d = F.col("_det") & F.col(key).isNotNull()
@@ -131,20 +112,63 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
     else:
         base_aggs = [F.max(F.when(F.col("_det"), _scored_row(BEST_PAYLOAD, PHONE_SCORE_COLS, SENTINEL)))
                      .alias("_best")]
-    docs_known = all_known(DOC_COLS)
     agg = rows_.groupBy(key).agg(
         *base_aggs,
         F.collect_set(on_detail(F.struct("calls_vdn_label"))).alias("_labels"),
-        F.array_sort(F.collect_set(F.when(d & docs_known, F.struct(*DOC_COLS)))).alias("_docs"),
+        F.collect_set(F.when(d & all_known(DOC_COLS), F.struct(*DOC_COLS))).alias("_docs"),
         F.collect_set(F.when(d & (F.col("customer_phone") != F.lit(SENTINEL)),
                              F.col("customer_phone"))).alias("_phones"),
-        F.array_sort(F.collect_set(F.when(d & is_known("billing_account_id"),
-                                          F.col("billing_account_id")))).alias("_bills"),
+        F.collect_set(F.when(d & is_known("billing_account_id"), F.col("billing_account_id"))).alias("_bills"),
         F.max(on_detail(flag(feat.mass_outage_pred()))).alias("masiva_lg"),
         F.max(on_detail(flag(feat.info_by_phone_pred(refined=True)))).alias("info_by_phone_lg"),
         F.max(on_detail(flag(feat.info_by_dni_pred()))).alias("info_by_dni_lg"),
         F.collect_set("_rv").alias("_recs"),
     )
+    return _fan_out(agg, method, key)
+
+
+def summary_from_tables(calls: DataFrame, modules: DataFrame, steps: DataFrame, method: str = "max",
+                        key: str = KEY) -> DataFrame:
+    """The same summary from prefixed calls, modules and steps: two aggregates over tagged unions
+    (``facts``) instead of the detail's joins."""
+    _check(method)
+    rows_ = facts.call_rows_and_modules(calls, modules, steps, key, sets=True).unionByName(
+        _repeat_rows(calls, key), allowMissingColumns=True)
+    known_call = F.coalesce(F.col("_call"), F.lit(False)) & F.col(key).isNotNull()
+
+    def any_of(name: str) -> Column:
+        return flag(F.max(name) >= 1)
+
+    base_aggs = ([F.max(c).alias(c) for c in BASE_COLUMNS] if method == "max"
+                 else [facts.best_call_row(key).alias("_best")])
+    agg = rows_.groupBy(key).agg(
+        F.count_if("_call").alias("_calls"), *base_aggs,
+        F.collect_set(F.when(known_call, F.struct("calls_vdn_label"))).alias("_labels"),
+        facts.collected(facts.DOC).alias("_docs"), facts.collected(facts.PHONE_SEEN).alias("_phones"),
+        facts.collected(facts.BILL).alias("_bills"),
+        any_of("masiva_lg").alias("masiva_lg"), any_of("by_known_phone").alias("info_by_phone_lg"),
+        any_of("by_dni").alias("info_by_dni_lg"), F.collect_set("_rv").alias("_recs"),
+    ).where("_calls > 0")
+    return _fan_out(agg, method, key)
+
+
+def _check(method: str) -> None:
+    if method not in ("max", "best_row"):
+        raise ValueError("method must be 'max' or 'best_row'")
+
+
+def _repeat_rows(calls: DataFrame, key: str) -> DataFrame:
+    """The repeat flags, one row per distinct (call, phone, start). They enter the aggregate through
+    a UNION instead of a join after it: the summary is then shuffled once, by call id."""
+    return recency_flags(calls).select(
+        key, F.struct(F.col("calls_phone_number").alias("p"), F.col("calls_start_date").alias("s"),
+                      F.col("repeated_phone_24H").alias("rep"),
+                      F.col("cause_recall_phone_24H").alias("cause")).alias("_rv")).filter(F.col(key).isNotNull())
+
+
+def _fan_out(agg: DataFrame, method: str, key: str) -> DataFrame:
+    """One row per distinct label, known phone and (phone, start) variant of a call, as in the source."""
+    label_t = T.StructType([T.StructField("calls_vdn_label", T.StringType())])
     if method == "best_row":
         agg = agg.select("*", *[F.col("_best")[c].alias(c) for c in BASE_COLUMNS]).drop("_best")
     known_id = F.col(key).isNotNull()
@@ -153,7 +177,7 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
         # NULL ids never join in the source: their features are NULL.
         return F.when(known_id, c)
 
-    docs = _arr_null_if_empty(F.col("_docs"))
+    docs = _arr_null_if_empty(F.array_sort("_docs"))
     shaped = agg.select(
         key, *BASE_COLUMNS,
         F.when(known_id, F.col("_labels"))
@@ -161,14 +185,12 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
         keyed(docs["document_type"]).alias("document_type"),
         keyed(docs["document_identification"]).alias("document_identification"),
         keyed(F.col("_phones")).alias("_phones"),
-        keyed(_arr_null_if_empty(F.col("_bills"))).alias("billing_account_id"),
+        keyed(_arr_null_if_empty(F.array_sort("_bills"))).alias("billing_account_id"),
         keyed(F.col("masiva_lg")).alias("masiva_lg"),
         keyed(F.col("info_by_phone_lg")).alias("info_by_phone_lg"),
         keyed(F.col("info_by_dni_lg")).alias("info_by_dni_lg"),
         keyed(F.col("_recs")).alias("_recs"),
     )
-    # Restore the source's fan-out: one row per distinct label, per known
-    # phone and per (phone, start) variant of the call in the repeat flags.
     shaped = shaped.withColumn("_label", F.explode_outer("_labels"))
     shaped = shaped.withColumn("customer_phone", F.explode_outer("_phones"))
     shaped = shaped.withColumn("_rec", F.explode_outer("_recs"))
@@ -180,36 +202,3 @@ def _summary_fused(detail: DataFrame, method: str, skew_safe: bool, key: str,
         F.col("_rec")["cause"].alias("cause_recall_24H"))
     return _select_summary(out.withColumnRenamed(key, "ivr_id").select(
         "*", *_out_base()))
-
-
-def _summary_joins(detail: DataFrame, method: str, skew_safe: bool, key: str,
-                   rec_src: DataFrame) -> DataFrame:
-    """The eight-join plan, one grouped input per feature."""
-    if method == "max":
-        base = base_by_max(detail, key)
-    else:
-        base = best_row(detail, key)
-    base = base.select(key, *BASE_COLUMNS)
-    parts = [
-        feat.classify_label(detail, key).select(F.col(key).alias("_k"), "vdn_aggregation"),
-        feat.collect_parallel(detail, key).select(
-            F.col(key).alias("_k"), F.col("documents_types").alias("document_type"),
-            F.col("document_identifications").alias("document_identification")),
-        detail.filter(F.col("customer_phone") != F.lit(SENTINEL))
-              .select(F.col(key).alias("_k"), "customer_phone").distinct(),
-        feat.collect_values(detail, key).select(F.col(key).alias("_k"),
-                                                F.col("bills_per_register").alias("billing_account_id")),
-        feat.presence_flag(detail, feat.mass_outage_pred(), "masiva_lg", key)
-            .withColumnRenamed(key, "_k"),
-        feat.presence_flag(detail, feat.info_by_phone_pred(refined=True), "info_by_phone_lg", key)
-            .withColumnRenamed(key, "_k"),
-        feat.presence_flag(detail, feat.info_by_dni_pred(), "info_by_dni_lg", key)
-            .withColumnRenamed(key, "_k"),
-        recency_flags(rec_src, skew_safe=skew_safe).select(
-            F.col(key).alias("_k"), "repeated_phone_24H",
-            F.col("cause_recall_phone_24H").alias("cause_recall_24H")),
-    ]
-    out = base
-    for p in parts:
-        out = out.join(p, out[key] == p["_k"], "left").drop("_k")
-    return _select_summary(out.withColumnRenamed(key, "ivr_id").select("*", *_out_base()))

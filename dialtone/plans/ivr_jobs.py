@@ -1,7 +1,7 @@
 """End-to-end IVR jobs: base tables -> detail table -> summary tables.
 
 Each step replaces its output table (``CREATE OR REPLACE TABLE ... AS`` in the
-source). Writing the detail once and reading it back cuts the lineage between
+source) by a new version of it (``sources.versions``). Writing the detail once and reading it back cuts the lineage between
 the two jobs: a lost executor re-runs at most the current job's stages, and
 the summary reads the detail columnar-pruned from files instead of
 re-running the three-level join.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,54 +25,15 @@ from ..sources.ivr_schema import (
     CALLS_SCHEMA, DETAIL_COLUMNS, DETAIL_SCHEMA, MODULES_SCHEMA, STEPS_SCHEMA,
 )
 from ..sources.tables import read_typed
+from ..sources.versions import load_table, save_table
 
 DETAIL_PARTITION = "calls_start_date_id"
 
 
-def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-               fmt: str = "parquet") -> str:
-    """Replace the table at ``path`` with ``df``.
-
-    The new table is written whole into a folder beside ``path``; only then does it take
-    the old one's place, by two renames. A write that fails leaves the old table as it
-    was, and ``df`` may read from ``path`` itself. (On a store whose renames copy, the
-    switch takes as long as the copy; a table format with snapshots suits it better.)
-
-    With ``partition_by`` rows are rebalanced on those columns first: adaptive execution
-    puts a small day into one task and splits a large one by its measured size, so a day
-    has as many files as its size asks for, not one per task of the join before it.
-    """
-    spark = df.sparkSession
-    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(f"{beside}.new")
-    _switch(spark, path, f"{beside}.new", f"{beside}.old")
-    return path
-
-
-def _switch(spark: SparkSession, path: str, new: str, old: str) -> None:
-    """Put the folder ``new`` in the place of ``path``; the table there goes when all is done."""
-    at, fresh, gone = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    had = fs.exists(at)
-    if had and not fs.rename(at, gone):
-        raise OSError(f"cannot move {path} aside; the new table is in {new}")
-    if not fs.rename(fresh, at):
-        if had:
-            fs.rename(gone, at)
-        raise OSError(f"cannot move {new} to {path}")
-    if had:
-        fs.delete(gone, True)
-
-
 def detail_job(spark: SparkSession, calls: DataFrame, modules: DataFrame, steps: DataFrame,
-               out_path: str, skew_safe: bool = True) -> DataFrame:
+               out_path: str) -> DataFrame:
     """Build and replace the detail table; return it read back from files."""
-    det = build_detail(calls, modules, steps, skew_safe=skew_safe)
+    det = build_detail(calls, modules, steps)
     save_table(det, out_path, [DETAIL_PARTITION])
     return read_detail(spark, out_path)
 
@@ -81,13 +41,22 @@ def detail_job(spark: SparkSession, calls: DataFrame, modules: DataFrame, steps:
 def read_detail(spark: SparkSession, path: str) -> DataFrame:
     """The detail table with its declared schema (partition values would
     otherwise be inferred as integers)."""
-    return spark.read.schema(DETAIL_SCHEMA).parquet(path).select(*DETAIL_COLUMNS)
+    return load_table(spark, path, DETAIL_SCHEMA).select(*DETAIL_COLUMNS)
+
+
+def save_by_phone(calls: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Call rows (prefixed) as a catalog table bucketed and sorted by phone, start and call id: the
+    repeat flags of this table need no exchange. Replaces the table."""
+    cols = ["calls_phone_number", "calls_start_date", "calls_ivr_id"]
+    (calls.repartition(buckets, cols[0]).write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, cols[0]).sortBy(*cols).saveAsTable(table))
+    return calls.sparkSession.table(table)
 
 
 def summary_job(spark: SparkSession, detail: DataFrame, out_path: str, method: str = "max",
-                calls: DataFrame | None = None, skew_safe: bool = True) -> str:
+                calls: DataFrame | None = None) -> str:
     """Build and replace a summary table (S3 with method='max', S4 with 'best_row')."""
-    summ = build_summary(detail, method=method, form="fused", skew_safe=skew_safe,
+    summ = build_summary(detail, method=method,
                          calls=prefixed_calls(calls) if calls is not None else None)
     return save_table(summ, out_path)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import date_id
-from ..operators import cleaning, features as feat, profile, summary, validate
+from ..operators import cleaning, facts, features as feat, profile, summary, validate
 from ..operators.detail import build_detail, prefixed_calls
 from ..operators.recency import recency_flags
 from ..sources.bindings import ivr_tables, modules_from_lineitem
@@ -48,9 +48,8 @@ def arrays_as_text(df: DataFrame, sep: str = ",", field_sep: str = ":") -> DataF
     return df.select(*cols)
 
 
-def detail(spark: SparkSession, sf_dir: str, skew_safe: bool = True) -> DataFrame:
-    calls, modules, steps = ivr_tables(spark, sf_dir)
-    return build_detail(calls, modules, steps, skew_safe=skew_safe)
+def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_detail(*ivr_tables(spark, sf_dir))
 
 
 def call_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,33 +72,35 @@ def _q_classify_label(spark, d):
     return feat.classify_label(call_rows(spark, d))
 
 
+def tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(prefixed calls, modules, steps): what flags, counts and summaries aggregate without a join."""
+    calls, modules, steps = ivr_tables(spark, sf_dir)
+    return prefixed_calls(calls), modules, steps
+
+
 def _q_flag_module(spark, d):
-    return feat.presence_flag(detail(spark, d), feat.mass_outage_pred(), "masiva_lg")
+    return facts.call_flags(*tables(spark, d), {"masiva_lg": "masiva_lg"})
 
 
 def _q_flag_step(spark, d):
-    return feat.presence_flag(detail(spark, d), feat.info_by_phone_pred(), "info_by_phone_lg")
+    return facts.call_flags(*tables(spark, d), {"by_phone": "info_by_phone_lg"})
 
 
 def _q_flag_step_sum(spark, d):
-    return feat.presence_flag_by_sum(detail(spark, d), feat.info_by_dni_pred(), "info_by_dni_lg")
+    return facts.call_flags(*tables(spark, d), {"by_dni": "info_by_dni_lg"}, by_sum=True)
 
 
 def _q_flag_step_refined(spark, d):
-    return feat.presence_flag(detail(spark, d), feat.info_by_phone_pred(refined=True),
-                              "info_by_phone_lg")
+    return facts.call_flags(*tables(spark, d), {"by_known_phone": "info_by_phone_lg"})
 
 
 def _q_call_flags(spark, d):
-    return feat.presence_flags(detail(spark, d), {
-        "masiva_lg": feat.mass_outage_pred(),
-        "info_by_phone_lg": feat.info_by_phone_pred(refined=True),
-        "info_by_dni_lg": feat.info_by_dni_pred(),
-    })
+    return facts.call_flags(*tables(spark, d), {
+        "masiva_lg": "masiva_lg", "by_known_phone": "info_by_phone_lg", "by_dni": "info_by_dni_lg"})
 
 
 def _q_key_cardinality(spark, d):
-    return profile.key_cardinality(detail(spark, d))
+    return facts.key_cardinality(*tables(spark, d))
 
 
 def _q_value_combinations(spark, d):
@@ -161,14 +162,12 @@ def _q_base_by_max(spark, d):
 
 
 def _q_best_row(spark, d):
-    return summary.best_row(detail(spark, d))
+    return facts.best_row(*tables(spark, d))
 
 
 def _q_summary(method):
     def q(spark, d):
-        calls, modules, steps = ivr_tables(spark, d)
-        return arrays_as_text(summary.build_summary(build_detail(calls, modules, steps), method=method,
-                                                    calls=prefixed_calls(calls)))
+        return arrays_as_text(summary.summary_from_tables(*tables(spark, d), method=method))
     return q
 
 

@@ -1,4 +1,5 @@
 from dialtone.operators.detail import build_detail
+from dialtone.operators.joins import Skew
 from dialtone.sources.ivr_schema import DETAIL_COLUMNS
 
 from conftest import rows
@@ -36,11 +37,12 @@ def test_detail_matches_nested_loops(spark):
     assert _keys(det) == brute_detail_keys()
 
 
-def test_skew_safe_equals_plain_left_joins(spark):
+def test_salted_equals_plain_left_joins(spark):
     calls, mods, steps = ivr_frames(spark)
-    a = build_detail(calls, mods, steps, skew_safe=True)
-    b = build_detail(calls, mods, steps, skew_safe=False)
-    assert rows(a) == rows(b)
+    plain = rows(build_detail(calls, mods, steps, skew=None))
+    # every key is hot: all are salted, also 0.0 against -0.0
+    assert rows(build_detail(calls, mods, steps, skew=Skew(least_rows=1, factor=0, rows_per_salt=1))) == plain
+    assert rows(build_detail(calls, mods, steps)) == plain
 
 
 def test_every_call_kept_and_orphan_step_lost(spark):

@@ -3,10 +3,14 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from dialtone.operators.recency import recency_flags
+from dialtone.operators.joins import Skew
+from dialtone.operators.recency import hot_entities, recency_flags
+from dialtone.plans import ivr_jobs
 
 from conftest import rows
 
+# no phone is hot; phones with 100 calls; every phone
+FORMS = [None, Skew(least_rows=100, factor=0), Skew(least_rows=0, factor=0)]
 SCHEMA = "calls_ivr_id double, calls_phone_number string, calls_start_date timestamp"
 
 
@@ -14,7 +18,7 @@ def brute(data, hours=24):
     """Expected semantics by hand: distinct rows, per phone ordered by
     (start NULLS FIRST, id), previous/next start, flags on whole hours."""
     distinct = sorted(set(data), key=lambda r: (r[1] is None, r[1] or "",
-                                                 r[2] is not None, r[2] or datetime.min, r[0]))
+                                                 r[2] is not None, r[2] or datetime.min, r[0] is not None, r[0] or 0))
     out = []
     by_phone = {}
     for r in distinct:
@@ -37,17 +41,17 @@ def test_boundaries(spark):
     data = [(1.0, "a", t), (2.0, "a", t + timedelta(hours=24)),               # exactly 24h: no
             (3.0, "b", t), (4.0, "b", t + timedelta(hours=23, minutes=59, seconds=59))]  # 23:59:59: yes
     df = spark.createDataFrame(data, SCHEMA)
-    for skew_safe, bucket in ((False, "day"), (True, "day"), (True, "position")):
-        got = {r[0]: (r[5], r[6]) for r in recency_flags(df, skew_safe=skew_safe, bucket=bucket).collect()}
+    for skew in FORMS:
+        got = {r[0]: (r[5], r[6]) for r in recency_flags(df, skew=skew).collect()}
         assert got == {1.0: (0, 0), 2.0: (0, 0), 3.0: (0, 1), 4.0: (1, 0)}
 
 
-@pytest.mark.parametrize("bucket", ["day", "position"])
-def test_ties_broken_by_call_id(spark, bucket):
+@pytest.mark.parametrize("skew", FORMS)
+def test_ties_broken_by_call_id(spark, skew):
     t = datetime(2024, 1, 1, 8, 0, 0)
     data = [(9.0, "a", t), (2.0, "a", t), (5.0, "a", t + timedelta(hours=1))]
     got = {r[0]: (r[3], r[4])
-           for r in recency_flags(spark.createDataFrame(data, SCHEMA), bucket=bucket).collect()}
+           for r in recency_flags(spark.createDataFrame(data, SCHEMA), skew=skew).collect()}
     assert got[2.0] == (None, t) and got[9.0] == (t, t + timedelta(hours=1))
 
 
@@ -57,7 +61,8 @@ def test_burst_on_one_phone(spark):
     data = [(float(i), "HOT" if i % 3 == 0 else f"p{i % 7}",
              t if i % 3 == 0 else t + timedelta(minutes=i)) for i in range(900)]
     df = spark.createDataFrame(data, SCHEMA)
-    assert rows(recency_flags(df, bucket="position")) == rows(recency_flags(df, skew_safe=False))
+    assert hot_entities(df, "calls_phone_number", FORMS[1]) == ["HOT"]
+    assert rows(recency_flags(df, skew=FORMS[1])) == rows(recency_flags(df, skew=None))
 
 
 def _random_calls(seed, n=600):
@@ -76,14 +81,33 @@ def _random_calls(seed, n=600):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("bucket", ["hour", "day", "position"])
-def test_skew_safe_equals_window_and_brute_force(spark, seed, bucket):
+@pytest.mark.parametrize("skew", FORMS)
+def test_forms_equal_brute_force(spark, seed, skew):
     data = _random_calls(seed)
+    assert rows(recency_flags(spark.createDataFrame(data, SCHEMA), skew=skew)) == brute(data)
+
+
+def test_null_phone_may_be_hot(spark):
+    data = [(c, None if p == "HOT" else p, t) for c, p, t in _random_calls(5)]
     df = spark.createDataFrame(data, SCHEMA)
-    plain = rows(recency_flags(df, skew_safe=False))
-    safe = rows(recency_flags(df, skew_safe=True, bucket=bucket))
-    assert plain == safe
-    assert plain == brute(data)
+    assert hot_entities(df, "calls_phone_number", FORMS[1]) == [None]
+    assert rows(recency_flags(df, skew=FORMS[1])) == brute(data)
+
+
+def test_table_by_phone_needs_no_exchange(spark):
+    df = spark.createDataFrame(_random_calls(6), SCHEMA)
+    for skew in (None, FORMS[1]):
+        laid = ivr_jobs.save_by_phone(df, "calls_by_phone", 4)
+        out = recency_flags(laid, skew=skew)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan
+        if skew is None:
+            assert "Exchange" not in plan
+        else:   # the hot phone's ranges only
+            usual = plan.split("Union")[1].split("rangepartitioning")[0]
+            assert "Window" in usual.split("Scan parquet spark_catalog")[0] and "hashpartitioning(calls_phone_number" not in plan
+        assert rows(out) == rows(recency_flags(df, skew=skew))
+    spark.sql("DROP TABLE calls_by_phone")
 
 
 def test_repeated_equals_recalls(spark):
