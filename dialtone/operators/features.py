@@ -2,10 +2,9 @@
 
 Every feature is a ``groupBy(call id)`` aggregate: Spark combines map-side
 (partial aggregation) before the shuffle, so a hot call id costs one row per map
-task, not one row per detail row. Ordered arrays use
-``array_sort(collect_set(...))`` instead of an ordered ``ARRAY_AGG``: the set
-keeps one element per distinct value (what the source's GROUP BY produced) and
-the sort gives the rank order without a window over the call.
+task, not one row per detail row. Ordered arrays sort the distinct values of a call
+(what the source's GROUP BY produced) instead of an ordered ``ARRAY_AGG``; the sort
+gives the rank order without a window over the call.
 """
 
 from __future__ import annotations
@@ -33,9 +32,14 @@ def classify_label(df: DataFrame, key: str = KEY, label: str = "calls_vdn_label"
 
 
 # --- F2 / F3 / F4 -------------------------------------------------------------------
-def _sorted_set(cols: Sequence[str]) -> Column:
-    """Sorted distinct tuples of ``cols`` (struct order = sort order)."""
-    return F.array_sort(F.collect_set(F.struct(*[F.col(c) for c in cols])))
+def _sorted_distinct(df: DataFrame, key: str, cols: Sequence[str], out: str) -> DataFrame:
+    """Per key the sorted distinct tuples of ``cols`` (struct order = sort order).
+
+    Two phases: tuples are made distinct by (key, tuple), which deals a hot key's repeats over all
+    tasks, and only then collected by key, so a buffer never holds one twice.
+    """
+    distinct = df.select(key, *cols).distinct()
+    return distinct.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias(out))
 
 
 def collect_structs(df: DataFrame, key: str = KEY,
@@ -43,7 +47,7 @@ def collect_structs(df: DataFrame, key: str = KEY,
                     sentinel: str = SENTINEL, count_name: str = OUT["docs_per_call"],
                     out: str = OUT["documents_of_call"]) -> DataFrame:
     """per key, the array of distinct known tuples in rank order, and its size."""
-    g = df.filter(all_known(cols, sentinel)).groupBy(key).agg(_sorted_set(cols).alias(out))
+    g = _sorted_distinct(df.filter(all_known(cols, sentinel)), key, cols, out)
     return g.select(key, F.size(out).cast("bigint").alias(count_name), out)
 
 
@@ -63,9 +67,8 @@ def collect_values(df: DataFrame, key: str = KEY, col: str = "billing_account_id
                    out: str = OUT["bills_per_register"]) -> DataFrame:
     """per key, the sorted array of distinct known values; keys with at
     least ``min_count`` values."""
-    g = (df.filter(is_known(col, sentinel)).groupBy(key)
-           .agg(F.array_sort(F.collect_set(col)).alias(out)))
-    g = g.select(key, F.size(out).cast("bigint").alias(count_name), out)
+    g = _sorted_distinct(df.filter(is_known(col, sentinel)), key, [col], out)
+    g = g.select(key, F.size(out).cast("bigint").alias(count_name), F.col(out)[col].alias(out))
     if min_count > 1:
         g = g.filter(F.col(count_name) >= min_count)
     return g

@@ -45,13 +45,14 @@ def combination_coverage(df: DataFrame, key: str = KEY, cols: Sequence[str] = DO
 
 
 def values_per_key_histogram(df: DataFrame, key: str = KEY, cols: Sequence[str] = DOC_COLS,
-                             sentinel: str = SENTINEL, sep: str = "-") -> DataFrame:
+                             sentinel: str = SENTINEL, sep: str | None = "-") -> DataFrame:
     """How many keys carry n distinct values, n = 1, 2, ...
 
     Distinct values are counted on the joined text ``a-b`` like the source, so
-    ('x-y', 'z') and ('x', 'y-z') count as one.
+    ('x-y', 'z') and ('x', 'y-z') count as one. ``sep=None`` counts the tuples themselves.
     """
-    joined = F.concat(*sum([[F.col(c), F.lit(sep)] for c in cols], [])[:-1])
+    joined = (F.struct(*[F.col(c) for c in cols]) if sep is None
+              else F.concat(*sum([[F.col(c), F.lit(sep)] for c in cols], [])[:-1]))
     per_key = (df.filter(all_known(cols, sentinel)).groupBy(key)
                  .agg(F.count_distinct(joined).alias(OUT["values_per_key"])))
     n = OUT["values_per_key"]
@@ -87,9 +88,8 @@ def distinct_per_group(df: DataFrame, key: str = KEY, col: str = "customer_phone
                        sentinel: str = SENTINEL,
                        count_name: str = OUT["phones_per_register"],
                        ordered: bool = False) -> DataFrame:
-    """Distinct count of ``col`` per (key, col) -- 1 by construction. Its
-    rows are the per-(call, phone) rows the eight-join summary joins on (the
-    fused summary collects the same phones in its aggregate)."""
+    """Distinct count of ``col`` per (key, col) -- 1 by construction. (The
+    summary collects the same phones in its aggregate.)"""
     out = (df.filter(F.col(col) != F.lit(sentinel)).groupBy(key, col)
              .agg(F.count_distinct(col).alias(count_name)))
     return out.orderBy(key) if ordered else out

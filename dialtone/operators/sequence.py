@@ -80,7 +80,9 @@ def partitions(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFram
     # partition the remaining columns make the order total
     tie = F.xxhash64(*[F.col(f.name) for f in rest]) if rest else F.lit(0)
     full = sort + [F.col(f.name).asc_nulls_first() for f in rest]
-    dealt = df.withColumn("_tie", tie).repartitionByRange(n, *sort, F.col("_tie"))
+    dealt = df.withColumn("_tie", tie)
+    # without an order rows are dealt out evenly, with no sampling and no ranges
+    dealt = dealt.repartitionByRange(n, *sort, F.col("_tie")) if sort else dealt.repartition(n)
     s = dealt.sortWithinPartitions(*sort, "_tie", *full[len(sort):]).drop("_tie")
     s = s.withColumn("_mid", F.monotonically_increasing_id())
     return (dealt.withColumn("_pid", F.spark_partition_id().cast("long")),
@@ -154,7 +156,12 @@ def rank_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
 
 def row_sequence(df: DataFrame, order: Sequence[str], name: str = "seq",
                  start: int | Column = 0) -> DataFrame:
-    """Global 1-based sequence in ``order`` (plus ``start``), distributed."""
+    """Global 1-based sequence in ``order`` (plus ``start``), distributed.
+
+    An empty ``order`` numbers blocks of rows as they are dealt out: a count per partition and
+    its prefix sum, no range exchange. Inside a partition all columns order the rows, so
+    a task that runs again gives its rows the same numbers.
+    """
     start_col = start if isinstance(start, Column) else F.lit(start)
     g = global_position(df, order)
     return g.withColumn(name, start_col + F.col("_g") + 1).drop("_g")

@@ -38,8 +38,7 @@ def load_model(spark: SparkSession, base_path: str, model: Sequence[TableSpec] =
     if assign_keys:
         for spec in model:
             if spec.serial:
-                others = [c for c in tables[spec.name].columns if c != spec.serial]
-                tables[spec.name] = assign_key(tables[spec.name], spec.serial, others)
+                tables[spec.name] = assign_key(tables[spec.name], spec.serial)
     return tables
 
 

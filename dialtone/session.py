@@ -53,21 +53,26 @@ def apply_required_conf(spark: SparkSession) -> None:
             raise RuntimeError(f"{k} must be {v}, not {spark.conf.get(k)}")
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+               most_partitions: int = 65_536) -> dict[str, str]:
     """Settings sized for a large input (e.g. 100 TB on 1000 executors).
 
     * shuffle partitions: about one per ``target_partition_mb`` of the largest
       shuffle (the detail's joins move roughly the input once), at least two
       waves of the cluster's cores; AQE then coalesces small partitions and
       splits skewed ones at run time;
-    * file splits of the same size, so a scan task's batch fits in memory;
+    * beyond ``most_partitions`` partitions grow instead of their number. The driver keeps about a
+      bit per (map, reduce) pair, 0.5 GB for 65,536 of each; 100 TB then makes partitions
+      of 1.5 GB, which a task sorts and aggregates within 1 to 2 GB of execution memory and spills beyond;
+    * file splits of the same size as partitions up to 1 GB, so that maps stay as few;
     * AQE advisory size equal to the target, so coalescing aims for it.
     """
-    target = target_partition_mb * 1024 * 1024
+    mb = 1024 * 1024
+    target = max(target_partition_mb * mb, -(-input_bytes // most_partitions))
     parts = max(2 * total_cores, -(-input_bytes // target))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.files.maxPartitionBytes": str(min(target, 1024 * mb)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
     }

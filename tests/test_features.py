@@ -95,3 +95,20 @@ def test_ordered_reports(spark):
     assert got == sorted(got)
     keys = [r.calls_ivr_id for r in profile.distinct_per_group(det, ordered=True).collect()]
     assert keys == sorted(keys)
+
+
+def test_collected_values_are_distinct_before_the_buffer(spark):
+    """A call with 10^6 repeats of 10 values: the rows collected are 10."""
+    df = spark.range(1_000_000).selectExpr("if(id >= 0, 1.0D, 2.0D) AS calls_ivr_id", "cast(id % 10 AS string) AS billing_account_id")
+    out = feat.collect_values(df)
+    assert [tuple(r) for r in out.collect()] == [(1.0, 10, [str(i) for i in range(10)])]
+    plan = out._jdf.queryExecution().executedPlan()
+    # the collecting aggregate reads the exchange of the distinct rows
+    text = plan.toString().split("\n+- == Initial Plan ==")[0]
+    collecting = text[text.rindex("partial_collect_list"):]
+    assert "hashpartitioning(calls_ivr_id" in collecting and "billing_account_id" in collecting.split("hashpartitioning(")[1].split(")")[0]
+
+
+def test_histogram_of_tuples(spark):
+    hist = dict(profile.values_per_key_histogram(_detail(spark), sep=None).collect())
+    assert hist == {1: 1, 2: 2}                       # ('A-B','C') and ('A','B-C') are two

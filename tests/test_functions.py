@@ -1,9 +1,10 @@
+import pytest
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from dialtone.functions import (
-    classify_label, clean_int, date_id, is_known, register_clean_int, whole_hours_between,
+    classify_label, clean_int, date_id, is_known, create_clean_int, drop_clean_int, register_clean_int, whole_hours_between,
 )
 
 
@@ -56,10 +57,26 @@ def test_clean_int_column_and_sql_function_agree(spark):
     assert spark.sql(f"SELECT {name}(NULL), {name}(7)").first() == (-99999, 7)
 
 
+def test_catalog_function_is_created_replaced_used_and_dropped(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tools")
+    spark.sql("CREATE OR REPLACE FUNCTION tools.clean_int(x BIGINT) RETURNS BIGINT RETURN 1")
+    name = create_clean_int(spark, "tools")
+    df = spark.sql(f"SELECT {name}(NULL) AS a, {name}(id) AS b FROM range(3)")
+    assert sorted(tuple(r) for r in df.collect()) == [(-99999, 0), (-99999, 1), (-99999, 2)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "clean_int" not in plan and "Python" not in plan   # inlined
+    drop_clean_int(spark, "tools")
+    with pytest.raises(Exception, match="UNRESOLVED_ROUTINE"):
+        spark.sql(f"SELECT {name}(1)").collect()
+
+
 def test_scale_conf_bounds():
     from dialtone.session import scale_conf
     big = scale_conf(100 * 10 ** 12, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "372530"
+    assert big["spark.sql.shuffle.partitions"] == "65536"   # partitions grow, not their number
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) * 65536 >= 100 * 10 ** 12
+    assert big["spark.sql.files.maxPartitionBytes"] == str(1024 ** 3)
+    assert scale_conf(10 ** 13, 8)["spark.sql.shuffle.partitions"] == "37253"
     small = scale_conf(10 ** 6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     mid = scale_conf(512 * 1024 * 1024 * 100, 8)

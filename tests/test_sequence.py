@@ -77,3 +77,15 @@ def test_rank_within_property(spark):
         assert rows(ours.select("k", "v", "rn", "n")) == rows(ref.select("k", "v", "rn", "n"))
 
     check()
+
+
+def test_numbering_without_order_makes_no_ranges(spark):
+    df = spark.range(0, 5000, 1, 8).select((F.col("id") % 50).alias("x"), F.lit(None).cast("bigint").alias("key"))
+    df = df.unionByName(spark.createDataFrame([(-1, 1000)], "x bigint, key bigint"))
+    out = assign_key(df, "key")
+    got = sorted(r.key for r in out.collect())
+    assert got == [1000, *range(1001, 6001)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "RoundRobinPartitioning" in plan
+    # the same rows get the same numbers when the work is done again
+    assert rows(out) == rows(assign_key(df, "key"))

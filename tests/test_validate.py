@@ -1,6 +1,8 @@
 from datetime import date
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from dialtone.operators import validate
 from dialtone.sources.model import SCHOOL_MODEL, SCHOOL_TABLES, ForeignKey, TableSpec
 
@@ -118,3 +120,42 @@ def test_composite_and_mixed_width_keys(spark):
     assert got == {"primary_key": 3, "unique": 2, "foreign_key": 2}
     rows = validate.check_foreign_key(child, ["a", "b"], parent, ["x", "y"]).collect()
     assert sorted((r.a, r.b) for r in rows) == [(2, "v"), (3, "w")]
+
+
+def test_report_compares_keys_as_their_types_do(spark):
+    nan = float("nan")
+    spec = [TableSpec("child", unique=(("d",),), foreign_keys=(ForeignKey(("d",), "parent", ("p",)), ForeignKey(("i",), "parent", ("p",)),
+                                                              ForeignKey(("n",), "parent", ("m",)), ForeignKey(("t",), "parent", ("p",)))),
+            TableSpec("parent", primary_key=("p",))]
+    child = spark.createDataFrame([(-0.0, 0, Decimal("2.50"), "0"), (0.0, 7, Decimal("3.00"), "x"), (nan, 2, None, None), (nan, None, Decimal("9.10"), "2")],
+                                  "d double, i int, n decimal(9,2), t string")
+    parent = spark.createDataFrame([(0.0, Decimal("2.5")), (nan, Decimal("3.0")), (2.0, None)], "p double, m decimal(5,1)")
+    got = {(r.rule, r.columns): r.violations for r in validate.validate_model({"child": child, "parent": parent}, spec).collect()}
+    assert got == {("unique", "d"): 2,                       # 0.0 and -0.0, NaN and NaN
+                   ("foreign_key", "d->parent(p)"): 0, ("foreign_key", "i->parent(p)"): 1,
+                   ("foreign_key", "n->parent(m)"): 1,       # 9.10
+                   ("foreign_key", "t->parent(p)"): None,    # text against a number doesn't compare
+                   ("primary_key", "p"): 0}
+
+
+def test_more_row_rules_than_one_mask(spark):
+    n = validate.MASK_BITS + 15
+    cols = [f"c{i}" for i in range(n)]
+    df = spark.createDataFrame([tuple(None if i % 7 == 0 else "ab" for i in range(n)), tuple("abc" for _ in range(n))],
+                               ", ".join(f"{c} string" for c in cols))
+    spec = TableSpec("wide", not_null=tuple(cols), max_lengths={c: 2 for c in cols})
+    got = {(r.rule, r.columns): r.violations for r in validate.validate_model({"wide": df}, [spec]).collect()}
+    assert len(got) == 2 * n
+    for i, c in enumerate(cols):
+        assert got["not_null", c] == (i % 7 == 0) and got["max_length", f"{c}(2)"] == 1
+
+
+def test_unique_by_hash_stays_exact(spark):
+    data = [(i % 40, f"k{i % 60}", float(i % 2) * -0.0) for i in range(300)] + [(None, "a", 1.0), (None, "a", 1.0), (1, None, None)]
+    df = spark.createDataFrame(data, "a int, b string, c double")
+    few = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(7))  # noqa: E731  many keys share a hash
+    for allow_null in (True, False):
+        plain = sorted(map(str, validate.check_unique(df, ["a", "b", "c"], allow_null, by_hash=False).collect()))
+        assert plain
+        assert sorted(map(str, validate.check_unique(df, ["a", "b", "c"], allow_null, by_hash=True).collect())) == plain
+        assert sorted(map(str, validate.check_unique(df, ["a", "b", "c"], allow_null, by_hash=True, digest=few).collect())) == plain
