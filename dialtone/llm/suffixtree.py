@@ -207,16 +207,14 @@ def frequent(asked: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, int]
         n = np.zeros(len(keys), np.int64)
         np.add.at(n, place, np.concatenate([unpack(c) for _, c in parts]).astype(np.int64))
         much = n >= least
-        return pa.table({"key": pa.array([None, *keys[much].view(np.int64).tolist()], pa.int64()),
-                         "n": pa.array([len(keys), *n[much].tolist()], pa.int64())})
-
-    found = asked.groupBy("shard").applyInArrow(run, "key long, n long").toPandas()
-    none = found["key"].isna()
-    distinct = int(found.loc[none, "n"].sum())
-    rows = found.loc[~none]
-    keys = np.array([int(k) for k in rows["key"]], np.int64).view(np.uint64) if len(rows) else np.zeros(0, np.uint64)
-    order = np.argsort(keys)
-    return keys[order], rows["n"].to_numpy(np.int64)[order], distinct
+        return pa.table({"key": np.append(keys[much].view(np.int64), 0), "n": np.append(n[much], len(keys)),
+                         "whole": np.append(np.zeros(int(much.sum()), bool), True)})
+
+    found = asked.groupBy("shard").applyInArrow(run, "key long, n long, whole boolean").toPandas()
+    whole = found["whole"].to_numpy(bool)
+    keys, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)  # no nulls: whole numbers stay whole
+    order = np.argsort(keys[~whole].view(np.uint64))
+    return keys[~whole].view(np.uint64)[order], n[~whole][order], int(n[whole].sum())
 
 
 def candidates(blocks: DataFrame, params: SuffixTree) -> Tree:
