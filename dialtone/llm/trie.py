@@ -6,13 +6,13 @@ depth. Prefixes are told apart by two 64-bit hashes: the exclusive or of the has
 conversation has to pass one task turn by turn.
 
 Totals: every round rakes all leaves (their totals go to their parents) and compresses
-unary chains: a node with one child whose coin shows heads and whose parent's shows tails
-leaves its chain, and what it holds waits on the edge to its child. Chains shrink by a
-quarter a round, all else by its leaves, so rounds grow with the logarithm of the
-nodes. Then the rounds are run backwards: a node that left a chain gets its child's total and what
-lay between. Each round is joins and one aggregate over what is left, written to the
-shared folder. Hot parents are combined before their shuffle; other joins have one row a
-node on one side, so the adaptive planner may split a hot node's children.
+unary chains: a node with one child leaves its chain if its lot of the round beats its
+parent's and its child's, and what it holds waits on the edge to its child. Chains shrink
+by a third a round, all else by its leaves, so rounds grow with the logarithm of the
+nodes. Rake and compress each join nodes with what their neighbours send them as one union
+and one aggregate by node, which combines a hot parent's children before the shuffle;
+the nodes left are written to the shared folder. Then the rounds are run backwards: a node that left a
+chain gets its child's total and what lay between, by a join with those still there.
 
 Nulls: rows without a conversation are left out; a null turn sorts first; a null role or
 text is empty. Rows of one turn sort by role, then text; repeated rows are turns of their
@@ -23,9 +23,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..operators.sequence import rank_within
@@ -82,45 +83,75 @@ def prefixes(turns: DataFrame) -> DataFrame:
                     k[1].bitwiseXOR(F.col("z2")).alias("p2"), "words"))
 
 
-def _heads(conv: str, depth: str, turn: int) -> Column:
-    """A coin per node and round; the root's shows tails."""
-    return (F.col(depth) > 0) & (F.xxhash64(F.col(conv), F.col(depth), F.lit(turn)).bitwiseAND(1) == 1)
+def _first(mine: tuple[str, str], other: tuple[str, str], turn: int) -> Column:
+    """Whether a node's lot of this round beats another's; never both ways."""
+    lot = lambda node: F.xxhash64(*map(F.col, node), F.lit(turn))
+    return lot(mine) > lot(other)
+
+
+def _round(live: DataFrame, sent: list[DataFrame], names: list[str]) -> DataFrame:
+    """One superstep: the nodes of ``live`` with what was sent to them, by one aggregate over node names.
+    Every column has one sender, or is a sum (``s_``) or a count of children (``n``)."""
+    rows = live
+    for messages in sent:
+        rows = rows.unionByName(messages, allowMissingColumns=True)
+    kept = [c for c in rows.columns if c not in ("c", "d")]
+    total = lambda c: F.sum(c) if c.startswith("s_") or c == "n" else F.max(c)
+    return rows.groupBy("c", "d").agg(*[total(c).alias(c) for c in kept]).select("c", "d", *names)
 
 
 def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
     """(c, d, *values) summed over subtrees. ``nodes``: c, d (together a node's name; the root has d = 0),
     pc, pd (its parent's; null for the root) and the values of the node itself."""
     edge = [f"e_{v}" for v in values]
-    n = nodes.where("pd IS NOT NULL").groupBy("pc", "pd").agg(F.count(F.lit(1)).alias("n")).withColumnsRenamed({"pc": "c", "pd": "d"})
-    live = settle(nodes.join(n, ["c", "d"], "left").select(
-        "c", "d", "pc", "pd", F.coalesce("n", F.lit(0)).alias("n"), *values, *[F.lit(0).cast("long").alias(e) for e in edge]))
-    steps = []  # (leaves raked, nodes that left a chain) by round
-    while live.where("d > 0").limit(1).count():
-        raked = live.where("n = 0").select("c", "d", *values, "pc", "pd", *edge)
-        up = (raked.groupBy("pc", "pd").agg(F.count(F.lit(1)).alias("k"), *[F.sum(F.col(v) + F.col(e)).alias("u_" + v) for v, e in zip(values, edge, strict=True)])
-              .withColumnsRenamed({"pc": "c", "pd": "d"}))
-        zero = F.lit(0)
-        rest = settle(live.where("n > 0").join(up, ["c", "d"], "left").select(
-            "c", "d", "pc", "pd", (F.col("n") - F.coalesce("k", zero)).alias("n"),
-            *[(F.col(v) + F.coalesce(F.col("u_" + v), zero)).alias(v) for v in values], *edge))
-        leaves = (F.col("n") == 1) & _heads("c", "d", len(steps)) & ~_heads("pc", "pd", len(steps))
-        marked = rest.withColumn("goes", F.coalesce(leaves, F.lit(False)))
-        gone = marked.where("goes").select(F.col("c").alias("gc"), F.col("d").alias("gd"), F.col("pc").alias("to_c"), F.col("pd").alias("to_d"),
-                                           *[F.col(x).alias("g_" + x) for x in values + edge])
-        stay = marked.where("NOT goes")
-        # a child of a node that goes gets its parent; all that was between lies on the new edge
-        live = settle(stay.join(gone, (F.col("pc") == F.col("gc")) & (F.col("pd") == F.col("gd")), "left").select(
-            "c", "d", F.coalesce("to_c", "pc").alias("pc"), F.coalesce("to_d", "pd").alias("pd"), "n", *values,
-            *[(F.col(e) + F.coalesce(F.col("g_" + v) + F.col("g_" + e), zero)).alias(e) for v, e in zip(values, edge, strict=True)],
-            "gc", "gd", *[(F.col("g_" + v) + F.col(e)).alias("add_" + v) for v, e in zip(values, edge, strict=True)]))
-        steps.append((raked.select("c", "d", *values), live.where("gd IS NOT NULL").select(
-            "gc", "gd", "c", "d", *["add_" + v for v in values])))
+    zero = F.lit(0).cast("long")
+    state = ["c", "d", "pc", "pd", *values, *edge]
+    live = settle(nodes.select("c", "d", "pc", "pd", *values, *[zero.alias(e) for e in edge]))
+    leaves = None  # the first round finds out who has children
+    steps = []     # (leaves raked, nodes that left a chain) by round
+    while True:
+        # rake: a leaf's total goes to its parent; everyone else says that it is there
+        up = [F.col("pc").alias("c"), F.col("pd").alias("d")]
+        raked = live.where("n = 0") if leaves else live.where("false")
+        rest = live.where("n > 0") if leaves else live
+        full = rest.select(*state).withColumn("n", zero)
+        gifts = raked.where("pd IS NOT NULL").select(*up, *[(F.col(v) + F.col(e)).alias("s_" + v) for v, e in zip(values, edge, strict=True)])
+        alive = rest.where("pd IS NOT NULL").select(*up, F.lit(1).cast("long").alias("n"), F.col("c").alias("kc"), F.col("d").alias("kd"))
+        live = _round(full.withColumns({"s_" + v: zero for v in values}), [gifts, alive], [
+            "pc", "pd", *[(F.col(v) + F.col("s_" + v)).alias(v) for v in values], *edge, "n", "kc", "kd"])
+        live = settle(live)
+        # compress: a node with one child leaves its chain if its lot beats its parent's and its child's;
+        # what it holds waits on the edge to the child
+        one = (F.col("n") == 1) & F.col("pd").isNotNull()
+        goes = one & _first(("c", "d"), ("pc", "pd"), len(steps)) & _first(("c", "d"), ("kc", "kd"), len(steps))
+        marked = live.withColumn("goes", F.coalesce(goes, F.lit(False)))
+        heirs = marked.where("goes").select(
+            F.col("kc").alias("c"), F.col("kd").alias("d"), F.col("c").alias("gc"), F.col("d").alias("gd"), F.col("pc").alias("to_c"),
+            F.col("pd").alias("to_d"), *[F.col(x).alias("g_" + x) for x in values + edge])
+        stay = marked.where("NOT goes").select(*state, "n")
+        moved = [F.coalesce("to_c", "pc").alias("pc"), F.coalesce("to_d", "pd").alias("pd")]
+        seen = Observation()
+        live = settle(_round(stay, [heirs], [
+            *moved, *values, *[(F.col(e) + F.coalesce(F.col("g_" + v) + F.col("g_" + e), zero)).alias(e) for v, e in zip(values, edge, strict=True)],
+            "n", "gc", "gd", *[(F.col("g_" + v) + F.col(e)).alias("add_" + v) for v, e in zip(values, edge, strict=True)]])
+            .observe(seen, F.count_if(F.col("pd").isNotNull()).alias("n"), F.count_if(F.col("gd").isNotNull()).alias("left")))
+        left = live.where("gd IS NOT NULL").select("gc", "gd", "c", "d", *["add_" + v for v in values])
+        steps.append((raked.select("c", "d", *values) if leaves else None, left if seen.get["left"] else None))
+        leaves = True
+        if not seen.get["n"]:
+            break
+    # backwards: whoever was alive after a round has its total by now
     totals = live.select("c", "d", *values)
     for raked, left in reversed(steps):
-        # whoever was alive after this round has its total by now
-        back = left.join(totals, ["c", "d"]).select(F.col("gc").alias("c"), F.col("gd").alias("d"),
-                                                    *[(F.col("add_" + v) + F.col(v)).alias(v) for v in values])
-        totals = totals.unionByName(raked).unionByName(settle(back))
+        parts = [totals]
+        if raked is not None:
+            parts.append(raked)
+        if left is not None:
+            parts.append(left.join(totals, ["c", "d"]).select(
+                F.col("gc").alias("c"), F.col("gd").alias("d"), *[(F.col("add_" + v) + F.col(v)).alias(v) for v in values]))
+        totals = reduce(DataFrame.unionByName, parts)
+        if left is not None:
+            totals = settle(totals)  # those alive before the round: a share that shrinks with every later round
     return totals
 
 
