@@ -18,6 +18,7 @@ from ..functions.scalar import date_id
 from ..operators import cleaning, facts, features as feat, profile, summary, validate
 from ..operators.detail import build_detail, prefixed_calls
 from ..operators.recency import recency_flags
+from ..operators.sequence import row_sequence
 from ..sources.bindings import ivr_tables, modules_from_lineitem
 from ..sources.model import TPCH_MODEL
 from ..sources.tables import read_table
@@ -145,6 +146,22 @@ def _q_collect_parallel(spark, d):
     return arrays_as_text(feat.collect_parallel(detail(spark, d)))
 
 
+def _q_collect_structs_elements(spark, d):
+    """F2 with its arrays as arrays: a row per place in the array, and the array's length."""
+    got = feat.collect_structs(detail(spark, d))
+    return got.select("calls_ivr_id", F.size("documents_of_call").cast("bigint").alias("length"),
+                      F.posexplode("documents_of_call").alias("place", "e")).select("calls_ivr_id", "length", "place", "e.*")
+
+
+def _q_collect_parallel_elements(spark, d):
+    """the places of both arrays side by side."""
+    got = feat.collect_parallel(detail(spark, d))
+    return got.select("calls_ivr_id", F.size("documents_types").cast("bigint").alias("n_types"),
+                      F.size("document_identifications").cast("bigint").alias("n_ids"),
+                      F.posexplode(F.arrays_zip("documents_types", "document_identifications")).alias("place", "e")).select(
+        "calls_ivr_id", "n_types", "n_ids", "place", "e.*")
+
+
 def _q_collect_values(spark, d):
     return arrays_as_text(feat.collect_values(detail(spark, d)))
 
@@ -157,6 +174,13 @@ def _q_recency_flags(spark, d):
     return recency_flags(call_rows(spark, d))
 
 
+def _q_recency_report(spark, d):
+    """The repeat flags in the source's order (call id, phone), each row with its place in the report."""
+    flags = recency_flags(call_rows(spark, d)).select("calls_ivr_id", "calls_phone_number", "calls_start_date",
+                                                      "repeated_phone_24H", "cause_recall_phone_24H")
+    return row_sequence(flags, ["calls_ivr_id", "calls_phone_number", "calls_start_date"], name="place")
+
+
 def _q_base_by_max(spark, d):
     return summary.base_by_max(call_rows(spark, d))
 
@@ -212,9 +236,12 @@ IVR_QUERIES: dict[str, Query] = {
     "multi_valued_phones": _q_multi_valued_phones,
     "collect_structs": _q_collect_structs,
     "collect_parallel": _q_collect_parallel,
+    "collect_structs_elements": _q_collect_structs_elements,
+    "collect_parallel_elements": _q_collect_parallel_elements,
     "collect_values": _q_collect_values,
     "collect_values_multi": _q_collect_values_multi,
     "recency_flags": _q_recency_flags,
+    "recency_report": _q_recency_report,
     "base_by_max": _q_base_by_max,
     "best_row": _q_best_row,
     "summary_max": _q_summary("max"),

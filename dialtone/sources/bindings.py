@@ -6,7 +6,7 @@ parquet scan: the work grows with the tables and Catalyst prunes unused columns.
 
 calls  : one row per event (``event_id`` is the call id, ``user_id`` the phone)
 modules: one row per distinct (order, line, return flag) of ``lineitem``
-steps  : one row per ``lineitem`` row with line status 'F'
+steps  : one row per ``lineitem`` row
 """
 
 from __future__ import annotations

@@ -195,9 +195,18 @@ FROM (SELECT *, unnest(range(1, len(bills) + 1)) AS place FROM facts)""", FACTS)
     "collect_parallel": per_call("""len(docs) AS docs_per_call,
   array_to_string(list_transform(docs, lambda x: x.t), ',') AS documents_types,
   array_to_string(list_transform(docs, lambda x: x.n), ',') AS document_identifications""", "len(docs) > 0"),
+    "collect_structs_elements": ivr("""SELECT calls_ivr_id, len(docs) AS length, (place - 1)::INT AS place,
+  docs[place].t AS document_type, docs[place].n AS document_identification
+FROM (SELECT *, unnest(range(1, len(docs) + 1)) AS place FROM facts)""", FACTS),
+    "collect_parallel_elements": ivr("""SELECT calls_ivr_id, len(docs) AS n_types, len(docs) AS n_ids, (place - 1)::INT AS place,
+  docs[place].t AS documents_types, docs[place].n AS document_identifications
+FROM (SELECT *, unnest(range(1, len(docs) + 1)) AS place FROM facts)""", FACTS),
     "collect_values": per_call("len(bills) AS bills_per_call, array_to_string(bills, ',') AS bills_per_register", "len(bills) > 0"),
     "collect_values_multi": per_call("len(bills) AS bills_per_call, array_to_string(bills, ',') AS bills_per_register", "len(bills) > 1"),
     "recency_flags": ivr("SELECT * FROM repeats", TIMELINES),
+    "recency_report": ivr("""SELECT calls_ivr_id, calls_phone_number, calls_start_date, "repeated_phone_24H", "cause_recall_phone_24H",
+  row_number() OVER (ORDER BY calls_ivr_id NULLS FIRST, calls_phone_number NULLS FIRST, calls_start_date NULLS FIRST) AS place
+FROM repeats""", TIMELINES),
     "base_by_max": ivr("SELECT * FROM base", MAX_BASE),
     "best_row": ivr("SELECT * FROM base", BEST_BASE),
     "summary_max": summary(MAX_BASE),
