@@ -3,17 +3,19 @@ normalised test items scans every text once; hits are mapped back to the text.
 
 Normalisation works on UTF-8 bytes: A-Z become a-z, every other byte that is not
 a digit, a-z or at least 0x80 parts words. A window is ``window`` consecutive
-words of an item; an item of fewer words (but not none) is one window. The
-automaton knows windows as " w1 w2 ... wn ", so it matches whole words only.
+words of an item; an item of fewer words (but not none) is one window.
+
+The automaton reads words, not letters: every word of the benchmark has a code of a few
+characters, each place of the code from an alphabet of its own, so a match begins and
+ends with words and no node has many children. Words that the benchmark hasn't share a
+code that is in no window. The automaton is built once, on the driver, and broadcast; its
+nodes (about 40 bytes each) are bounded by the benchmark's words, and a benchmark that needs
+more than ``most_nodes`` is refused with its size, before anything is built.
 
 Nulls: a null text has no words and is clean; a null item has no windows; a null
 item id is named "" in the result. An empty benchmark hits nothing. Repeated
 documents are judged row by row, repeated items count once per item id. Input
 columns named like a result column give way to it. Texts are scanned whole.
-
-The automaton is broadcast, so the benchmark is cut in blocks of at most
-``block_nodes`` automaton nodes (an upper bound from the items' sizes); a batch
-of texts passes the blocks one after another and only one automaton is held.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from .common import append_columns
 class Decontamination:
     window: int = 13          # words
     share: int = 20           # contaminated: share * hit words >= words
-    block_nodes: int = 4_000_000
+    most_nodes: int = 20_000_000
 
 
 #: Lower-cases A-Z; bytes that are no word characters become spaces.
@@ -53,41 +55,68 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.translate(_WORDS).split()
 
 
-def build_automaton(items: list[tuple[str, bytes]], window: int):
-    """None if no item has a word. Bytes stand in the automaton as Latin-1."""
-    windows: dict[bytes, tuple[int, set[str]]] = {}
-    for name, raw in items:
-        words = words_of(raw)
-        n = min(window, len(words))
+UNKNOWN = "\xff"
+
+
+class Codes:
+    """Codes of ``width`` characters for the words of a benchmark."""
+
+    def __init__(self, words: list[bytes]):
+        self.width = next(w for w in range(1, 9) if (255 // w) ** w >= len(words))
+        size = 255 // self.width
+        self.unknown = UNKNOWN * self.width
+        self.of = {}
+        for n, word in enumerate(words):
+            code = ""
+            for place in range(self.width):
+                n, digit = divmod(n, size)
+                code += chr(place * size + digit)
+            self.of[word] = code
+
+    def read(self, words: list[bytes]) -> str:
+        return "".join([self.of.get(w, self.unknown) for w in words])
+
+
+@dataclass
+class Benchmark:
+    codes: Codes
+    automaton: object   # None if no item has a word
+
+
+def build_benchmark(items: list[tuple[str, bytes]], window: int, most_nodes: int) -> Benchmark:
+    texts = [(name, words_of(raw)) for name, raw in items]
+    codes = Codes(sorted({w for _, words in texts for w in words}))
+    nodes = sum(max(1, len(words) - window + 1) * min(window, len(words)) for _, words in texts) * codes.width
+    if nodes > most_nodes:
+        raise ValueError(f"the benchmark may need {nodes:,} automaton nodes of about 40 bytes, more than most_nodes = {most_nodes:,}; "
+                         "raise it, if workers have the memory, or judge the benchmark in parts")
+    windows: dict[str, tuple[int, set[str]]] = {}
+    for name, words in texts:
+        n, text = min(window, len(words)), codes.read(words)
         for i in range(len(words) - n + 1 if words else 0):
-            windows.setdefault(b" ".join(words[i:i + n]), (n, set()))[1].add(name)
+            windows.setdefault(text[i * codes.width:(i + n) * codes.width], (n, set()))[1].add(name)
     if not windows:
-        return None
+        return Benchmark(codes, None)
     automaton = ahocorasick.Automaton()
     for text, (n, names) in windows.items():
-        automaton.add_word(f" {text.decode('latin-1')} ", (n, sorted(names)))
+        automaton.add_word(text, (n, sorted(names)))
     automaton.make_automaton()
-    return automaton
+    return Benchmark(codes, automaton)
 
 
-def scan(raw: bytes | None, automaton, hit: np.ndarray | None, names: set[str]) -> np.ndarray | None:
-    """The words of a text that lie in a window (None: none so far); adds to ``names``."""
-    words = words_of(raw) if raw else []
-    if not words or automaton is None:
-        return hit
-    hay = b" " + b" ".join(words) + b" "
-    found = list(automaton.iter(hay.decode("latin-1")))
+def scan(words: list[bytes], bench: Benchmark) -> tuple[np.ndarray | None, list[str]]:
+    """Which words of a text lie in a window (None: none), and the items whose windows occur."""
+    if not words or bench.automaton is None:
+        return None, []
+    found = list(bench.automaton.iter(bench.codes.read(words)))
     if not found:
-        return hit
-    gaps = np.flatnonzero(np.frombuffer(hay, np.uint8) == 0x20)
-    ends = np.searchsorted(gaps, [end for end, _ in found])
+        return None, []
+    ends = np.array([end for end, _ in found]) // bench.codes.width + 1
     steps = np.zeros(len(words) + 1, np.int64)
     np.add.at(steps, ends - np.array([value[0] for _, value in found]), 1)
     np.add.at(steps, ends, -1)
-    for value in {id(v): v for _, v in found}.values():
-        names.update(value[1])
-    covered = np.cumsum(steps[:-1]) > 0
-    return covered if hit is None else hit | covered
+    names = {name for value in {id(v): v for _, v in found}.values() for name in value[1]}
+    return np.cumsum(steps[:-1]) > 0, sorted(names)
 
 
 def spans_of(raw: bytes, hit: np.ndarray) -> list[dict]:
@@ -107,40 +136,28 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     spark = docs.sparkSession
     bench = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
                          F.col(item_text).cast("binary").alias("raw")).where(F.col("raw").isNotNull())
+    # a window has a node per word at least, a word a byte and a gap at least
     size = bench.agg(F.sum(F.length("raw"))).first()[0] or 0
-    blocks = max(1, -(-size * params.window // params.block_nodes))
-    held = [spark.sparkContext.broadcast({"items": [
-        (r["name"], bytes(r["raw"])) for r in
-        bench.where(F.pmod(F.xxhash64("raw"), F.lit(blocks)) == k).collect()]}) for k in range(blocks)]
-    window, share = params.window, params.share
-
-    def automaton_of(block):
-        if len(held) > 1:  # one at a time
-            return build_automaton(block.value["items"], window)
-        if "automaton" not in block.value:  # stays with the worker's copy of the broadcast
-            block.value["automaton"] = build_automaton(block.value["items"], window)
-        return block.value["automaton"]
+    if size > 16 * params.most_nodes:
+        raise ValueError(f"the benchmark has {size:,} bytes, too many for most_nodes = {params.most_nodes:,}")
+    held = spark.sparkContext.broadcast(build_benchmark(
+        [(r["name"], bytes(r["raw"])) for r in bench.collect()], params.window, params.most_nodes))
+    share = params.share
 
     def judge(raws: list) -> list[list]:
-        hits: list = [None] * len(raws)
-        names: list[set] = [set() for _ in raws]
-        for block in held:
-            automaton = automaton_of(block)
-            for i, raw in enumerate(raws):
-                hits[i] = scan(raw, automaton, hits[i], names[i])
-        n_words = [len(words_of(raw)) if raw else 0 for raw in raws]
-        n_hit = [0 if h is None else int(h.sum()) for h in hits]
-        return [n_words, n_hit, [sorted(x) for x in names],
-                [[] if h is None else spans_of(raw, h) for raw, h in zip(raws, hits, strict=True)],
+        texts = [words_of(raw) if raw else [] for raw in raws]
+        found = [scan(words, held.value) for words in texts]
+        n_words = [len(words) for words in texts]
+        n_hit = [0 if h is None else int(h.sum()) for h, _ in found]
+        return [n_words, n_hit, [names for _, names in found],
+                [[] if h is None else spans_of(raw, h) for raw, (h, _) in zip(raws, found, strict=True)],
                 [h > 0 and share * h >= w for h, w in zip(n_hit, n_words, strict=True)]]
 
     return append_columns(docs, text, FIELDS, judge)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that the rule does not find contaminated, with their own columns."""
-    judged = contamination(docs.withColumn("_text", F.col(options.pop("text", "text"))), items, text="_text", **options)
-    keep = [c for c in docs.columns if c.lower() not in {f.name.lower() for f in FIELDS}]
-    if len(keep) < len(docs.columns):
-        raise ValueError("documents have columns named like the verdict's; rename them first")
-    return judged.where(~F.col("contaminated")).select(*docs.columns)
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that the rule does not find contaminated, with their own columns, whatever their names."""
+    own = {c: f"_own{i}" for i, c in enumerate(docs.columns)}
+    judged = contamination(docs.toDF(*own.values()).withColumn("_text", F.col(own[text])), items, text="_text", **options)
+    return judged.where(~F.col("contaminated")).select(*own.values()).toDF(*docs.columns)

@@ -250,11 +250,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              params: SimHash = SimHash()) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id, of rows with
     that id the one with the smallest hash, of wholly equal rows one. Of groups without
-    any id one document per fingerprint stays."""
-    found = near_duplicates(docs, doc_id, text, params)
+    any id one document per fingerprint stays. Columns may have any names."""
+    own = {c: f"_own{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*own.values())
+    found = near_duplicates(rows, own[doc_id], own[text], params)
     unnamed = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
     first = (found.groupBy("component_id", unnamed.alias("f"))
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_h1", "_h2")).alias("k"))
              .select(F.col("k._h1").alias("_h1"), F.col("k._h2").alias("_h2")))
-    kept = docs.select("*", *_row_hashes(docs)).join(first, ["_h1", "_h2"], "left_semi")
-    return kept.dropDuplicates(["_h1", "_h2"]).select(*docs.columns)
+    kept = rows.select("*", *_row_hashes(rows)).join(first, ["_h1", "_h2"], "left_semi")
+    return kept.dropDuplicates(["_h1", "_h2"]).select(*own.values()).toDF(*docs.columns)

@@ -425,7 +425,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     twice = variants.where("n_c > 1").select("h", "c")
     whole = places.join(twice.hint("merge"), ["h", "c"]).select(
         *_KEYS, F.greatest(F.col("at") - reach, F.lit(0)).alias("a"), (F.col("at") + params.length).alias("b"))
-    cuts = whole.unionByName(ranges).groupBy(*_KEYS).agg(F.collect_list(F.struct("a", "b")).alias("_cuts"))
+    # equal rows find the same ranges: a set, so that every one of them meets each range once
+    cuts = whole.unionByName(ranges).groupBy(*_KEYS).agg(F.collect_set(F.struct("a", "b")).alias("_cuts"))
     joined = texts.join(cuts, _KEYS, "left").select("doc_id", "text", "_cuts")
     schema = T.StructType([joined.schema["doc_id"], *FIELDS])
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]

@@ -222,3 +222,96 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() == counts[-1]
     assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+# --- pages: linear reading, the field against enumeration ------------------------------
+
+def test_long_and_deep_pages_are_read_in_time():
+    import time
+
+    begun = time.perf_counter()
+    deep = webtext.blocks_of("<div>x" * 100_000)
+    assert len(deep) == 100_000 and len(deep[-1].path.up()) == 100_000
+    assert len(webtext.blocks_of("<b x " * 200_000)) == 1            # a megabyte of tags that never end
+    assert len(webtext.blocks_of('<b x="' * 170_000)) == 1
+    assert len(webtext.blocks_of("".join(f'<div class="c{i}">x' for i in range(50_000)))) == 50_000
+    model = webtext.train([webtext.built_in(random.Random(1))])
+    assert len(model.labels(deep)) == 100_000
+    assert time.perf_counter() - begun < 60
+
+
+def test_one_dense_training_page_is_bounded():
+    import time
+
+    usual = [webtext.built_in(random.Random(i)) for i in range(100)]
+    dense = webtext.blocks_of("<article>" + "<p>ab" * 20_000 + "</article>")
+    nested = webtext.blocks_of("<main>" + "<div>x" * 20_000)
+    begun = time.perf_counter()
+    webtext.train([*usual, (dense, [1] * len(dense)), (nested, [1] * len(nested))], webtext.Extraction(rounds=20))
+    assert time.perf_counter() - begun < 60
+
+
+def small_field(seed, n_blocks=5):
+    draw = np.random.default_rng(seed)
+    page = "".join(f"<{t}>{w}" for t, w in zip(draw.choice(["p", "li", "nav", "h1"], n_blocks), draw.choice(["A b.", "12 3", "x", "© y"], n_blocks), strict=True))
+    blocks = webtext.blocks_of(page)
+    seen = webtext.describe(blocks)
+    index = {f: i for i, f in enumerate(sorted({f for a in seen for f in a}))}
+    return blocks, seen, webtext.Model(index, draw.normal(size=(len(index), 2)), draw.normal(size=(2, 2)))
+
+
+def value(model, seen, labels):
+    emit = sum(model.weights[model.index[f], y] for a, y in zip(seen, labels, strict=True) for f in a)
+    return emit + sum(model.steps[a, b] for a, b in zip(labels, labels[1:], strict=False))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_viterbi_and_gradient_equal_enumeration(seed):
+    from itertools import product
+
+    blocks, seen, model = small_field(seed)
+    every = list(product((0, 1), repeat=len(blocks)))
+    assert model.labels(blocks) == list(max(every, key=lambda y: value(model, seen, y)))
+    longer, more, _ = small_field(seed + 100, 7)
+    index = {f: i for i, f in enumerate(sorted({f for a in seen + more for f in a}))}
+    draw = np.random.default_rng(seed)
+    model = webtext.Model(index, draw.normal(size=(len(index), 2)), draw.normal(size=(2, 2)))
+    pages = [(seen, [int(x) for x in draw.integers(0, 2, len(seen))]), (more, [int(x) for x in draw.integers(0, 2, len(more))])]
+
+    def likelihood():
+        return sum(value(model, s, y) - np.logaddexp.reduce([value(model, s, z) for z in product((0, 1), repeat=len(s))]) for s, y in pages)
+
+    total, by_weight, by_step = webtext.batch_of(pages, index).likelihood(model.weights, model.steps)
+    assert total == pytest.approx(likelihood())
+    for table, gradient in ((model.weights, by_weight), (model.steps, by_step)):
+        for at in np.ndindex(*table.shape):
+            kept = table[at]
+            table[at] = kept + 1e-5
+            high = likelihood()
+            table[at] = kept - 1e-5
+            assert gradient[at] == pytest.approx((high - likelihood()) / 2e-5, abs=1e-5)
+            table[at] = kept
+
+
+# --- pipeline: any column names ----------------------------------------------------------
+
+CLASHES = ["n_words", "score", "findings", "_h1", "_text", "predicted", "redacted", "_own0", "a.b"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.unionByName(docs.limit(3)).unionByName(spark.createDataFrame(
+        [(9001, None, None, None, None), (None, "", None, "x", 0)], "doc_id long, text string, lang string, source string, n_chars long").select(*docs.columns))
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, docs, SF)
+        got = stage(spark, wide, SF)
+        assert plain.columns == docs.columns and got.columns == wide.columns, name
+        rows = got.collect()
+        assert Counter(tuple(r)[:len(docs.columns)] for r in rows) == Counter(map(tuple, plain.collect())), name
+        for r in rows:
+            mine = "none" if r["doc_id"] is None else str(r["doc_id"])
+            assert list(r)[len(docs.columns):] == [f"{c} {mine}" for c in CLASHES], name
+        assert stage(spark, wide.limit(0), SF).count() == 0, name
+    mixed = corpus_pipeline.STAGES[-1][1](spark, wide, SF)
+    assert mixed.count() == wide.count()

@@ -48,15 +48,13 @@ def hits(text, items):
     return len(words), sum(hit), sorted(names)
 
 
-@pytest.mark.parametrize("nodes", [4_000_000, 500])
-def test_contamination(spark, nodes):
+def test_contamination(spark):
     draw = random.Random(1)
     items = [(1, prose(draw, 20)), (2, prose(draw, 5) + " Ünder-Score"), (3, None), (4, "..."), (5, prose(draw, 14)), (1, "eins zwei")]
     rows = [(1, None), (2, ""), (3, "A " + items[0][1].upper() + "! end"), (4, prose(draw, 300) + "\n" + items[4][1] + " x"),
             (5, prose(draw, 50)), (5, prose(draw, 50)), (None, "é " + items[1][1].replace(" ", " -- ")), (7, "Eins, zwei; drei")]
     docs = table(spark, rows).withColumn("N_WORDS", F.lit("clash"))
-    got = decontaminate.contamination(docs, table(spark, items, "item_id long, text string"),
-                                      params=decontaminate.Decontamination(block_nodes=nodes)).collect()
+    got = decontaminate.contamination(docs, table(spark, items, "item_id long, text string")).collect()
     assert len(got) == len(rows)
     for (doc, text), row in zip(rows, got, strict=True):
         n, hit, names = hits(text, items)
@@ -66,6 +64,41 @@ def test_contamination(spark, nodes):
         assert len(WORDS.findall(lowered(marked))) == hit
 
 
+def test_one_automaton_for_a_large_benchmark(spark, monkeypatch):
+    """Over 500 KB of items: built once, on the driver; hits as by brute force."""
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(60_000)]
+    items = [(i, prose(draw, 400, words)) for i in range(220)]
+    assert sum(len(t) for _, t in items) > 500_000
+    built = []
+    real = decontaminate.build_benchmark
+    monkeypatch.setattr(decontaminate, "build_benchmark", lambda *a: built.append(1) or real(*a))
+    docs = []
+    for i in range(30):
+        own = items[i * 7 % 220][1].split()
+        at, n = draw.randrange(380), draw.randint(10, 20)
+        docs.append((i, prose(draw, 40, words) + " " + " ".join(own[at:at + n]) + " " + prose(draw, 40, words)))
+    params = decontaminate.Decontamination(most_nodes=10_000_000)
+    got = decontaminate.contamination(table(spark, docs).repartition(6), table(spark, items, "item_id long, text string"), params=params).collect()
+    assert built == [1]
+    few = lambda text: [(n, t) for n, t in items if len(set(text.split()) & set(t.split())) >= 10]
+    for r in got:
+        n, hit, names = hits(r["text"], few(r["text"]))
+        assert (r["n_words"], r["n_hit"], r["hit_items"]) == (n, hit, names)
+    assert sum(r["n_hit"] > 0 for r in got) > 10
+    with pytest.raises(ValueError, match="most_nodes"):
+        decontaminate.contamination(table(spark, docs), table(spark, items, "item_id long, text string"),
+                                    params=decontaminate.Decontamination(most_nodes=1_000_000))
+
+
+def test_codes_tell_words_apart():
+    for n in (0, 1, 255, 256, 20_000):
+        words = [b"%d" % i for i in range(n)]
+        codes = decontaminate.Codes(words)
+        assert len(set(codes.of.values()) | {codes.unknown}) == n + 1 and {len(c) for c in codes.of.values()} <= {codes.width}
+        assert codes.read([b"nobody", *words[:2]]) == codes.unknown + "".join(codes.of[w] for w in words[:2])
+
+
 def test_contamination_of_nothing(spark):
     empty = table(spark, [], "item_id long, text string")
     docs = table(spark, [(1, "a b")])
@@ -280,3 +313,19 @@ def test_secret_vocabulary_is_of_all_documents(spark):
             pairs[a + b] += n
     most = lambda counts, k: tuple(w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k])
     assert (got.words, got.pairs) == (most(words, 6), most(pairs, 4))
+
+
+def test_equal_rows_cost_as_much_as_own_ids(spark):
+    """R equal rows of one text: work grows with R, not with its square."""
+    import time
+
+    text = prose(random.Random(8), 700, [f"w{i}" for i in range(5000)])
+    times = {}
+    for name, ids in (("warm", [1] * 50), ("equal", [1] * 2000), ("own", range(2000))):
+        rows = table(spark, [(i, text) for i in ids])
+        t = time.perf_counter()
+        got = substrings.remove_repeats(rows).select("doc_id", "n_bytes", "n_removed", F.size("spans").alias("n")).distinct().collect()
+        times[name] = time.perf_counter() - t
+        n = len(text.encode())
+        assert {tuple(r)[1:] for r in got} == {(n, n, 1)} and len(got) == len(set(ids))
+    assert times["equal"] < 3 * times["own"] + 5
