@@ -9,7 +9,9 @@ maxima, sets and multiplicities, which aggregates give:
 2. calls and what is known of their modules go through a second union and one
    aggregate by call id. Ids without a call go.
 
-Both aggregates combine map-side, so a hot call or module is one row per task. Multiplicities
+Both aggregates combine map-side, so a hot call or module is one row per task. Where values
+are collected, the combinations of a step's known values are made distinct by module, kept
+where a window finds the module, made distinct by call, and only then meet by call. Multiplicities
 follow from the counts: a module row of k copies with s steps makes k * max(s, 1) rows of
 the detail, a call id of c rows and r such rows c * max(r, 1). The best row's score is
 the sum of a call's part and a step's part, so the best of all pairs is the best call row
@@ -23,18 +25,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import all_known, flag, is_known
-from ..sources.ivr_schema import BASE_COLUMNS, CALL_ID, MODULE_SEQ, OUT, SENTINEL
+from ..sources.ivr_schema import BASE_COLUMNS, CALL_ID, MODULE_SEQ, OUT
 from .features import info_by_dni_pred, info_by_phone_pred, mass_outage_pred
 
 KEY = "calls_ivr_id"
 PHONE = "calls_phone_number"
 STEP_SCORE_COLS = ("customer_phone", "billing_account_id")
 DOC_COLS = ("document_type", "document_identification")
-DOC, PHONE_SEEN, BILL = 1, 2, 3  # kinds of a call's collected values
 
 
 def module_predicates() -> dict[str, Column]:
@@ -62,40 +63,45 @@ def _tagged(modules: DataFrame, steps: DataFrame, key: str, seq: str) -> DataFra
     return m.unionByName(s, allowMissingColumns=True)
 
 
-def module_facts(modules: DataFrame, steps: DataFrame, key: str = CALL_ID, seq: str = MODULE_SEQ,
-                 sets: bool = False) -> DataFrame:
-    """Per module: ``copies``, ``steps``, ``masiva_lg`` and how many steps meet each predicate, the best
-    step; with ``sets`` also ``seen``, the distinct known values of its steps as (kind, a, b)."""
+def module_facts(modules: DataFrame, steps: DataFrame, key: str = CALL_ID, seq: str = MODULE_SEQ) -> DataFrame:
+    """Per module: ``copies``, ``steps``, ``masiva_lg`` and how many steps meet each predicate, the best step."""
     is_module = F.col("_module")
-    aggs = [F.count_if(is_module).alias("copies"), F.count_if(~is_module).alias("steps"),
-            *[F.max(flag(is_module & p)).alias(n) for n, p in module_predicates().items()],
-            *[F.sum(flag(~is_module & p)).alias(n) for n, p in step_predicates().items()],
-            F.max(F.when(~is_module, _best(step_score(), STEP_SCORE_COLS))).alias("best_step")]
-    if sets:
-        text = lambda c: F.col(c).cast("string")
-        none = F.lit(None).cast("string")
-
-        def value(kind: int, a: Column, b: Column) -> Column:
-            return F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
-
-        found = [F.when(~is_module & all_known(DOC_COLS), value(DOC, text(DOC_COLS[0]), text(DOC_COLS[1]))),
-                 F.when(~is_module & is_known("customer_phone"), value(PHONE_SEEN, text("customer_phone"), none)),
-                 F.when(~is_module & is_known("billing_account_id"), value(BILL, text("billing_account_id"), none))]
-        aggs.append(F.concat(*[F.collect_set(f) for f in found]).alias("seen"))
-    return _tagged(modules, steps, key, seq).groupBy(key, seq).agg(*aggs).where("copies > 0")
-
-
-def call_rows_and_modules(calls: DataFrame, modules: DataFrame, steps: DataFrame, key: str = KEY,
-                          sets: bool = False) -> DataFrame:
-    """The second union: call rows (``_call``) with prefixed columns, and a row per module; with ``sets``
-    one per module and value seen. What a module row repeats are maxima, which repeats don't change."""
-    m = module_facts(modules, steps, sets=sets)
-    m = m.select(F.col(CALL_ID).alias(key), F.lit(False).alias("_call"),
-                 (F.col("copies") * F.greatest("steps", F.lit(1))).alias("_rows"), *module_predicates(),
-                 *[(F.col("copies") * F.col(n)).alias(n) for n in step_predicates()], "best_step",
-                 *([F.explode_outer("seen").alias("_seen")] if sets else []))
-    c = calls.select(key, F.lit(True).alias("_call"), *BASE_COLUMNS, "calls_vdn_label")
-    return c.unionByName(m, allowMissingColumns=True)
+    return _tagged(modules, steps, key, seq).groupBy(key, seq).agg(
+        F.count_if(is_module).alias("copies"), F.count_if(~is_module).alias("steps"),
+        *[F.max(flag(is_module & p)).alias(n) for n, p in module_predicates().items()],
+        *[F.sum(flag(~is_module & p)).alias(n) for n, p in step_predicates().items()],
+        F.max(F.when(~is_module, _best(step_score(), STEP_SCORE_COLS))).alias("best_step")).where("copies > 0")
+
+
+def call_values(modules: DataFrame, steps: DataFrame, key: str = CALL_ID, seq: str = MODULE_SEQ) -> DataFrame:
+    """The distinct combinations of known values and predicates met in a call's modules and their
+    steps: columns of the steps, NULL where a value (or a part of the document) isn't known."""
+    is_module = F.col("_module")
+    known = {c: all_known(DOC_COLS) for c in DOC_COLS} | {c: is_known(c) for c in STEP_SCORE_COLS}
+    flags = [flag(is_module & p).alias(n) for n, p in module_predicates().items()]
+    flags += [flag(~is_module & p).alias(n) for n, p in step_predicates().items()]
+    rows = _tagged(modules, steps, key, seq).select(
+        key, seq, *[F.when(~is_module & cond, F.col(c)).alias(c) for c, cond in known.items()], *flags, flag(is_module).alias("_m")).distinct()
+    exists = F.max("_m").over(Window.partitionBy(key, seq))
+    return rows.withColumn("_m", exists).where("_m > 0").drop("_m", seq).distinct()
+
+
+def call_rows_and_modules(calls: DataFrame, modules: DataFrame, steps: DataFrame, key: str = KEY) -> DataFrame:
+    """The second union: call rows (``_call``) with prefixed columns, and a row per module."""
+    m = module_facts(modules, steps).select(
+        F.col(CALL_ID).alias(key), F.lit(False).alias("_call"), (F.col("copies") * F.greatest("steps", F.lit(1))).alias("_rows"),
+        *module_predicates(), *[(F.col("copies") * F.col(n)).alias(n) for n in step_predicates()], "best_step")
+    return _call_rows(calls, key).unionByName(m, allowMissingColumns=True)
+
+
+def call_rows_and_values(calls: DataFrame, modules: DataFrame, steps: DataFrame, key: str = KEY) -> DataFrame:
+    """The second union with the values to collect: call rows, and the distinct combinations of values."""
+    v = call_values(modules, steps).withColumnRenamed(CALL_ID, key).withColumn("_call", F.lit(False))
+    return _call_rows(calls, key).unionByName(v, allowMissingColumns=True)
+
+
+def _call_rows(calls: DataFrame, key: str) -> DataFrame:
+    return calls.select(key, F.lit(True).alias("_call"), *BASE_COLUMNS, "calls_vdn_label")
 
 
 def call_flags(calls: DataFrame, modules: DataFrame, steps: DataFrame, names: dict[str, str],
@@ -128,10 +134,3 @@ def best_row(calls: DataFrame, modules: DataFrame, steps: DataFrame, key: str =
     g = rows.groupBy(key).agg(F.count_if("_call").alias("_calls"), best_call_row(key).alias("_c"),
                               F.max("best_step").alias("_s")).where("_calls > 0")
     return g.select(key, *[F.col("_c")[c].alias(c) for c in BASE_COLUMNS], *[F.col("_s")[c].alias(c) for c in STEP_SCORE_COLS])
-
-
-def collected(kind: int, sentinel: str = SENTINEL) -> Column:
-    """Aggregate: the distinct values of a kind."""
-    seen = F.col("_seen")
-    value = F.struct(seen["a"].alias(DOC_COLS[0]), seen["b"].alias(DOC_COLS[1])) if kind == DOC else seen["a"]
-    return F.collect_set(F.when(seen["kind"] == kind, value))

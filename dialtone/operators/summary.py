@@ -132,7 +132,7 @@ def summary_from_tables(calls: DataFrame, modules: DataFrame, steps: DataFrame,
     """The same summary from prefixed calls, modules and steps: two aggregates over tagged unions
     (``facts``) instead of the detail's joins."""
     _check(method)
-    rows_ = facts.call_rows_and_modules(calls, modules, steps, key, sets=True).unionByName(
+    rows_ = facts.call_rows_and_values(calls, modules, steps, key).unionByName(
         _repeat_rows(calls, key), allowMissingColumns=True)
     known_call = F.coalesce(F.col("_call"), F.lit(False)) & F.col(key).isNotNull()
 
@@ -141,11 +141,13 @@ def summary_from_tables(calls: DataFrame, modules: DataFrame, steps: DataFrame,
 
     base_aggs = ([F.max(c).alias(c) for c in BASE_COLUMNS] if method == "max"
                  else [facts.best_call_row(key).alias("_best")])
-    agg = rows_.groupBy(key).agg(
+    # rows are distinct by call by now: they go to their call as they are, which is less than
+    # a buffer of sets for each of them
+    agg = rows_.repartition(F.col(key)).groupBy(key).agg(
         F.count_if("_call").alias("_calls"), *base_aggs,
         F.collect_set(F.when(known_call, F.struct("calls_vdn_label"))).alias("_labels"),
-        facts.collected(facts.DOC).alias("_docs"), facts.collected(facts.PHONE_SEEN).alias("_phones"),
-        facts.collected(facts.BILL).alias("_bills"),
+        F.collect_set(F.when(F.col(DOC_COLS[0]).isNotNull(), F.struct(*DOC_COLS))).alias("_docs"),
+        F.collect_set("customer_phone").alias("_phones"), F.collect_set("billing_account_id").alias("_bills"),
         any_of("masiva_lg").alias("masiva_lg"), any_of("by_known_phone").alias("info_by_phone_lg"),
         any_of("by_dni").alias("info_by_dni_lg"), F.collect_set("_rv").alias("_recs"),
     ).where("_calls > 0")
