@@ -59,7 +59,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM placed GROUP BY conv_id
 """
 
+#: crc32 by shifts: a byte enters with the first of eight, 0xEDB88320 is its polynomial.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda x, e: xor(xor(x, e) >> 1, (xor(x, e) & 1) * 3988292384)), 4294967295)"""
+
+PREFIX_TRIE = rf"""
+WITH placed AS (
+  SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(said ORDER BY pos) AS said, {_CRC32} % 4 AS h FROM placed GROUP BY conv_id
+), lines AS (
+  SELECT o.conv_id, list_concat(coalesce(b.said[1:o.h], []), o.said[o.h + 1:]) AS line
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), members AS (
+  SELECT conv_id, d, line[1:d] AS prefix, len(line) = d AS ends FROM (SELECT *, unnest(range(0, len(line) + 1)) AS d FROM lines)
+), nodes AS (
+  SELECT prefix, d, min(conv_id) AS c, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY prefix, d
+), named AS (
+  SELECT m.conv_id, n.* FROM members m JOIN nodes n USING (prefix, d)
+), linked AS (
+  SELECT n.c, n.d, p.c AS parent, n.n_convs, n.ends_sha256,
+         (n.n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE len(regexp_extract_all(n.prefix[n.d].text, '[^ 	-]+')) END AS saved
+  FROM nodes n LEFT JOIN named p ON p.conv_id = n.c AND p.d = n.d - 1
+), counted AS (
+  SELECT l.*, (SELECT count(*) FROM linked k WHERE k.parent = l.c AND k.d = l.d + 1) AS n_children FROM linked l
+), below AS (
+  SELECT a.c, a.d, count(*) FILTER (l.n_children = 0) AS n_leaves, CAST(sum(l.saved) AS BIGINT) AS saved_tokens
+  FROM counted l JOIN named a ON a.conv_id = l.c AND a.d <= l.d GROUP BY a.c, a.d
+)
+SELECT c AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted JOIN below USING (c, d)
+"""
+
 ORACLES = {
     "op1_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
     "op4_chat_formatting": CHAT_FORMATTING,
+    "op13_prefix_trie": PREFIX_TRIE,
 }
