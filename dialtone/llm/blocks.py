@@ -106,6 +106,32 @@ def ask_all(blocks: DataFrame, questions: Callable[..., Iterator[tuple[int, byte
     return blocks.mapInArrow(run, "block long, shard int, ask binary")
 
 
+def gather_all(asked: DataFrame, shards: int) -> DataFrame:
+    """(shard, blocks, asks): all questions of a shard as one row, by block. Written to the shared folder, the
+    table may be read again and again without another shuffle."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        return pa.table({"shard": table.column("shard")[:1], "blocks": pa.array([table.column("block").to_pylist()], pa.list_(pa.int64())),
+                         "asks": pa.array([bundle(table.column("ask").to_pylist())], pa.binary())})
+
+    return asked.repartition(shards, "shard").groupBy("shard").applyInArrow(run, "shard int, blocks array<long>, asks binary")
+
+
+def answer_gathered(gathered: DataFrame, answer: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
+    """(block, shard, reply) from the rows of ``gather_all``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, blocks, asks in zip(*(batch.column(i) for i in range(3)), strict=True):
+                replies = answer(unbundle(asks.as_py()))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(blocks.as_py(), pa.int64()), pa.array([shard.as_py()] * len(replies), pa.int32()),
+                    pa.array(replies, pa.binary())], names=["block", "shard", "reply"])
+
+    return gathered.select("shard", "blocks", "asks").mapInArrow(run, "block long, shard int, reply binary")
+
+
 def answer_all(asked: DataFrame, answer: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
     """(block, shard, reply): ``answer`` gets all questions of one shard, by block."""
 

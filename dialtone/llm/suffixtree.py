@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from .blocks import (answer_all, ask_all, blocks_of, bundle, pack, pack_sorted, shard_of, shards_for, unbundle, unpack,
+from .blocks import (answer_gathered, ask_all, blocks_of, bundle, gather_all, pack, pack_sorted, shard_of, shards_for, unbundle, unpack,
                      unpack_sorted, with_replies)
 from .common import _arrow_type, settle
 
@@ -333,9 +333,12 @@ class Shard:
 
 def gains_of(held, length: int, strengths: tuple[float, ...]):
 
-    def run(table: pa.Table) -> pa.Table:
-        nodes, gains = Shard(table.column("ask").to_pylist(), held.value).gains(held.value, length, strengths)
-        return pa.table({"node": nodes, **{f"g{i}": g for i, g in enumerate(gains)}})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for asks in batch.column(0):
+                nodes, gains = Shard(unbundle(asks.as_py()), held.value).gains(held.value, length, strengths)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), *map(pa.array, gains)],
+                                                 names=["node", *(f"g{i}" for i in range(len(gains)))])
 
     return run
 
@@ -346,7 +349,7 @@ def retain(asked: DataFrame, tree: Tree, params: SuffixTree) -> None:
     for length in range(1, params.depth + 1):
         run = gains_of(spark.sparkContext.broadcast(tree), length, strengths)
         names = [f"g{i}" for i in range(len(strengths))]
-        found = (asked.groupBy("shard").applyInArrow(run, "node long, " + ", ".join(f"{c} long" for c in names))
+        found = (asked.select("asks").mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in names))
                  .groupBy("node").agg(*[F.sum(c).alias(c) for c in names]).toPandas())  # one row per candidate at most
         nodes, gains = found["node"].to_numpy(np.int64), found[names].to_numpy(np.int64) / NATS
         best = gains.argmax(axis=1) if len(nodes) else np.zeros(0, np.int64)
@@ -360,9 +363,8 @@ def learn(blocks: DataFrame, params: SuffixTree) -> tuple[Tree, DataFrame, int]:
     tree = candidates(blocks, params)
     shards = shards_for(blocks.agg(F.sum("n_tokens")).first()[0] or 0, 2 * params.shard)
     held = blocks.sparkSession.sparkContext.broadcast(tree)
-    asked = settle(ask_all(blocks.select("block", "payload"),
-                           lambda row: ask_entries(row["payload"], held.value, shards))
-                   .repartition(shards, "shard"))
+    asked = settle(gather_all(ask_all(blocks.select("block", "payload"),
+                                      lambda row: ask_entries(row["payload"], held.value, shards)), shards))
     retain(asked, tree, params)
     return tree, asked, shards
 
@@ -421,5 +423,5 @@ def score(docs: DataFrame, train: Column, text: str = "text", doc_id: str = "doc
                     pa.array(total((counts > 0)[block.ids].astype(np.int64))), pa.array(np.full(len(block.sizes), tree.tokens)),
                     pa.array(total(base[block.ids])), pa.array(total(logs[place]))], names=schema.names)
 
-    answered = with_replies(blocks.select("block", "ids", "payload"), answer_all(asked, answer))
+    answered = with_replies(blocks.select("block", "ids", "payload"), answer_gathered(asked, answer))
     return answered.select("ids", "payload", "replies").mapInArrow(finish, schema)
