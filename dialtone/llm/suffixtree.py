@@ -57,8 +57,8 @@ class SuffixTree:
     least_count: int = 2
     least_gain: float = 0.02
     strengths: tuple[float, ...] = (0.5, 2.0, 8.0, 32.0, 128.0, 512.0, 2048.0, 8192.0, 32768.0)
-    block: int = 12 << 20      # bytes of text in a block
-    shard: int = 1 << 21       # entries in a shard
+    block: int = 6 << 20       # bytes of text in a block
+    shard: int = 1 << 20       # tokens that a shard answers for, about
     held_words: int = 500_000  # words whose hashes a task keeps
 
 
@@ -222,7 +222,7 @@ def candidates(blocks: DataFrame, params: SuffixTree) -> Tree:
     sizes = blocks.agg(F.sum("n_train"), F.sum("n_texts"), F.sum("n_tokens")).first()
     tokens, texts, total = (int(x or 0) for x in sizes)
     least = max(params.least_count, int(np.ceil(params.least_share * tokens)))
-    shards = shards_for(total, 2 * params.shard)
+    shards = shards_for(total, 4 * params.shard)  # words, far fewer than tokens
     payloads = blocks.select("block", "payload")
 
     def words(row: dict) -> Iterator[tuple[int, bytes]]:
@@ -361,7 +361,7 @@ def retain(asked: DataFrame, tree: Tree, params: SuffixTree) -> None:
 def learn(blocks: DataFrame, params: SuffixTree) -> tuple[Tree, DataFrame, int]:
     """The tree, what blocks ask of shards (a written table), and the number of shards."""
     tree = candidates(blocks, params)
-    shards = shards_for(blocks.agg(F.sum("n_tokens")).first()[0] or 0, 2 * params.shard)
+    shards = shards_for(blocks.agg(F.sum("n_tokens")).first()[0] or 0, params.shard)
     held = blocks.sparkSession.sparkContext.broadcast(tree)
     asked = settle(gather_all(ask_all(blocks.select("block", "payload"),
                                       lambda row: ask_entries(row["payload"], held.value, shards)), shards))
