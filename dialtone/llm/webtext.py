@@ -292,7 +292,14 @@ class Model:
         return path[::-1]
 
     def _sum(self, features) -> list[float]:
-        return self.weights[[self.index[f] for f in sorted(features) if f in self.index]].sum(axis=0).tolist()
+        if not hasattr(self, "_plain"):  # per worker: plain numbers by feature
+            self._plain = dict(zip(self.index, self.weights[list(self.index.values())].tolist(), strict=True)) if self.index else {}
+        rest = article = 0.0
+        for f in sorted(features):
+            if f in self._plain:
+                r, a = self._plain[f]
+                rest, article = rest + r, article + a
+        return [rest, article]
 
     def _of_path(self, path: Path | None) -> list[float]:
         """Scores of the path's features; every element adds its own to its parent's once."""
