@@ -7,11 +7,12 @@ advances whichever ends first, both at a common end, which is a cut. Finished
 documents leave the vector. A long document enters as several lanes, which begin
 where both tokenizers must have a cut.
 
-Encoding: a single space between a visible ASCII character and a letter or digit
+Encoding: a single space between a visible ASCII or Latin character and a letter or digit
 begins a token of both tokenizers, so texts are taken apart there, and each different
 part of a block is encoded once. (A's pattern begins a match at such a space; no piece
-of B holds a space after another character, which loading checks.) Byte lengths come
-from the vocabularies.
+of B holds a space after another character, which loading checks.) New parts are encoded
+many at a time, with such spaces between them, and taken apart again by byte lengths,
+which come from the vocabularies; those whose bytes don't come back so are encoded one by one.
 
 Counts: how many documents hold an id pair linked is added up in shards of the pairs
 (see ``blocks``); the highest count of an A id is one number per entry of A's
@@ -29,13 +30,15 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +48,10 @@ from .blocks import (answer_all, ask_all, blocks_of, bundle, pack, pack_sorted,
 from .common import _arrow_type, settle
 
 #: A space before which both tokenizers begin a token.
-_PARTS = regex.compile(r"(?<=[!-~]) (?=[0-9A-Za-zÀ-ɏ])")
+_PARTS = re.compile(r"(?<=[!-~À-ɏ]) (?=[0-9A-Za-zÀ-ɏ])")
+_LATIN = {chr(c) for c in range(0xC0, 0x250)}
+_BEFORE = frozenset(map(chr, range(0x21, 0x7F))) | _LATIN
+_AFTER = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | _LATIN
 SEPARATORS = (b",", b"|", b";")
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
@@ -60,25 +66,18 @@ class Alignment:
     shard: int = 1 << 21          # pair entries in one shard
     held_parts: int = 400_000     # encoded parts that a task keeps between blocks
     held_bytes: int = 64 << 20
-
-
-class Known(dict):
-    """Numbers for parts in order of their first use."""
-
-    def __missing__(self, part):
-        self[part] = n = len(self)
-        return n
+    joined: int = 64              # parts encoded as one text
 
 
 class Ragged:
     """Rows of numbers, end to end."""
 
     def __init__(self):
-        self.values, self.sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.values, self.sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
 
-    def add(self, rows: list) -> None:
-        self.sizes.append(np.fromiter(map(len, rows), np.int64, len(rows)))
-        self.values.append(np.concatenate([np.asarray(r, np.int64) for r in rows]) if rows else np.zeros(0, np.int64))
+    def add(self, values: list, sizes: list | np.ndarray) -> None:
+        self.values.append(np.array(values, np.int32))
+        self.sizes.append(np.array(sizes, np.int32))
 
     def joined(self) -> tuple[np.ndarray, np.ndarray]:
         self.values, self.sizes = [np.concatenate(self.values)], [np.concatenate(self.sizes)]
@@ -113,7 +112,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.ids_a, self.ids_b, self.good, self.bytes = Known(), Ragged(), Ragged(), [], 0
+        self.known = defaultdict(count().__next__)  # numbers for parts in order of their first use
+        self.ids_a, self.ids_b, self.good, self.bytes = Ragged(), Ragged(), [], 0
 
     def codes(self, texts: list) -> list[np.ndarray]:
         """Per text the numbers of its parts, all of them encoded."""
@@ -125,20 +125,53 @@ class Encoder:
             text = raw.decode("utf-8", "replace") if raw else ""
             parts = [] if not text else [text] if self.whole else _PARTS.split(text)
             out.append(np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts)))
-        fresh = [p for n, p in enumerate(self.known) if n >= begun] if begun else list(self.known)
+        fresh = list(islice(self.known, begun, None))
         for at in range(0, len(fresh), 20_000):
-            self._encode(fresh[at:at + 20_000])
+            self._encode(fresh[at:at + 20_000], 1 if self.whole else self.params.joined)
         return out
 
-    def _encode(self, parts: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
-        b = self.b.encode(parts, num_threads=1)
-        raws = [(" " + p).encode() for p in parts]
-        self.good += [b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw
-                      for x, y, raw in zip(a, b, raws, strict=True)]
-        self.bytes += sum(map(len, raws))
-        self.ids_a.add(a)
-        self.ids_b.add(b)
+    def _encode(self, parts: list[str], most: int) -> None:
+        """Adds the tokens of ``parts``, up to ``most`` encoded as one text."""
+        runs = list(runs_of(parts, most))
+        texts = [" ".join(run) for run in runs]
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        b = self.b.encode(texts, num_threads=1)
+        for run, text, x, y in zip(runs, texts, (e.ids for e in a), b, strict=True):
+            raw = (" " + text).encode()
+            good = b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw
+            if len(run) == 1:
+                sizes = [len(x)], [len(y)]
+            elif good:
+                ends = np.cumsum([len(p.encode()) + 1 for p in run])
+                sizes = sizes_in(ends, self.a_len[x]), sizes_in(ends, self.b_len[y])
+            else:
+                sizes = None, None
+            if sizes[0] is None or sizes[1] is None:
+                self._encode(run, 1)
+                continue
+            self.good += [good] * len(run)
+            self.bytes += len(raw)
+            self.ids_a.add(x, sizes[0])
+            self.ids_b.add(y, sizes[1])
+
+
+def runs_of(parts: list[str], most: int) -> Iterator[list[str]]:
+    """``parts`` in order, up to ``most`` at a time that a space between them would part again."""
+    run: list[str] = []
+    for part in parts:
+        if run and (len(run) == most or run[-1][-1] not in _BEFORE or part[0] not in _AFTER):
+            yield run
+            run = []
+        run.append(part)
+    if run:
+        yield run
+
+
+def sizes_in(ends: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
+    """How many tokens of these byte lengths each part takes; None if a part's end is no token's."""
+    token_ends = np.cumsum(lengths)
+    last = np.searchsorted(token_ends, ends)
+    return np.diff(last, prepend=-1) if (token_ends[last] == ends).all() else None
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -157,11 +190,11 @@ def piece_bytes(piece: str) -> bytes:
 
 def gather(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows ``codes`` of a ragged table end to end, and their sizes."""
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[codes]
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+    n = sizes[codes].astype(np.int64)
     total = int(n.sum())
     at = np.arange(total) + np.repeat(starts[codes] - (np.cumsum(n) - n), n)
-    return values[at], n
+    return values[at].astype(np.int64), n
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, ia: np.ndarray, ib: np.ndarray,

@@ -243,6 +243,31 @@ def test_parts_encode_like_whole_texts(encoder):
     check()
 
 
+def test_new_parts_are_encoded_together(encoder):
+    fresh = alignment.Encoder(alignment.Alignment())
+    taken = []
+
+    class Counted:
+        def encode(self, texts, **more):
+            taken.extend(texts)
+            return encoder.b.encode(texts, **more)
+
+    fresh.b = Counted()
+    text = " ".join(f"w{n} naß{n}é" for n in range(1000))
+    found = alignment.align_texts(fresh, [text.encode(), b"", text.encode()])
+    want = brute_alignment(encoder, text)
+    assert found.ids_a.tolist() == want[0] * 2 and found.ids_b.tolist() == want[1] * 2
+    assert len(fresh.known) == 2000 and len(taken) < 50
+
+    # a part whose bytes change costs its own document's tokens, not those of parts encoded beside it
+    texts = ["one two▁three four", "five six seven", "ﬁve ²eight", "nine  ten eleven", "日本 twelve thirteen"]
+    found = alignment.align_texts(alignment.Encoder(alignment.Alignment()), [t.encode() for t in texts])
+    want = [brute_alignment(encoder, t) for t in texts]
+    assert want[0] is None and want[1] is not None
+    assert found.n_a.tolist() == [len(w[0]) if w else 0 for w in want] and found.n_b.tolist() == [len(w[1]) if w else 0 for w in want]
+    assert found.ids_a.tolist() == [i for w in want if w for i in w[0]] and found.ids_b.tolist() == [i for w in want if w for i in w[1]]
+
+
 def test_alignment_of_nothing(spark):
     bound_arrow_batches(spark)
     empty = table(spark, [], "doc_id long, text string")
