@@ -125,12 +125,19 @@ def key_cardinality(calls: DataFrame, modules: DataFrame, steps: DataFrame, key:
 
 def best_call_row(key: str = KEY) -> Column:
     """Aggregate over call rows: the best by known phone, then the columns, descending, NULLs last."""
-    return F.max(F.when(F.col("_call"), _best(flag(is_known(PHONE)), BASE_COLUMNS)))
+    return F.max(F.when(F.col("_call"), _scored_call()))
+
+
+def _scored_call() -> Column:
+    return _best(flag(is_known(PHONE)), BASE_COLUMNS)
 
 
 def best_row(calls: DataFrame, modules: DataFrame, steps: DataFrame, key: str = KEY) -> DataFrame:
-    """Per call id the detail's row with the highest completeness score, ties by the columns listed."""
-    rows = call_rows_and_modules(calls, modules, steps, key)
-    g = rows.groupBy(key).agg(F.count_if("_call").alias("_calls"), best_call_row(key).alias("_c"),
-                              F.max("best_step").alias("_s")).where("_calls > 0")
+    """Per call id the detail's row with the highest completeness score, ties by the columns listed.
+
+    A maximum of structs is sorted for, so rows are kept narrow: a call's columns are one struct before
+    the union, which a module's row leaves NULL; an id without such a struct has no call."""
+    m = module_facts(modules, steps).select(F.col(CALL_ID).alias(key), F.col("best_step").alias("_s"))
+    rows = calls.select(key, _scored_call().alias("_c")).unionByName(m, allowMissingColumns=True)
+    g = rows.groupBy(key).agg(F.max("_c").alias("_c"), F.max("_s").alias("_s")).where(F.col("_c").isNotNull())
     return g.select(key, *[F.col("_c")[c].alias(c) for c in BASE_COLUMNS], *[F.col("_s")[c].alias(c) for c in STEP_SCORE_COLS])

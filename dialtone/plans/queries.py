@@ -19,6 +19,7 @@ from ..operators import cleaning, facts, features as feat, profile, summary, val
 from ..operators.detail import build_detail, prefixed_calls
 from ..operators.recency import recency_flags
 from ..operators.sequence import row_sequence
+from ..session import bound_sorts
 from ..sources.bindings import ivr_tables, modules_from_lineitem
 from ..sources.model import TPCH_MODEL
 from ..sources.tables import read_table
@@ -186,6 +187,7 @@ def _q_base_by_max(spark, d):
 
 
 def _q_best_row(spark, d):
+    bound_sorts(spark)
     return facts.best_row(*tables(spark, d))
 
 

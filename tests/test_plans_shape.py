@@ -4,11 +4,13 @@ import os
 import pytest
 
 from dialtone.operators.cleaning import drop_unknown
-from dialtone.operators.detail import build_detail
+from dialtone.operators import facts
+from dialtone.operators.detail import build_detail, prefixed_calls
 from dialtone.plans import ivr_jobs
 from dialtone.operators.joins import Skew
 from dialtone.operators.recency import recency_flags
 from dialtone.plans.queries import call_rows
+from dialtone.session import SORTED_BYTES
 from dialtone.sources import versions
 from dialtone.plans.queries import ALL_QUERIES
 
@@ -46,6 +48,33 @@ def test_scans_and_joins(spark, name):
     assert (plan.executedPlan().toString().count("FileScan"), joins) == SHAPES[name]
 
 
+def test_sorted_rows_and_partitions_stay_small(spark):
+    """best_row sorts whole partitions: its rows hold a call's columns once, its partitions are bounded."""
+    calls, mods, steps = ivr_frames(spark)
+    plan = facts.best_row(prefixed_calls(calls), mods, steps)._jdf.queryExecution().analyzed()
+    unions = [n for n in _nodes(plan) if n.nodeName() == "Union"]
+    assert len(unions) == 2 and unions[0].output().size() == 3
+
+    before = {k: spark.conf.get(k) for k in SORTED_BYTES}
+    try:
+        for k in SORTED_BYTES:
+            spark.conf.set(k, "128MB")
+        ALL_QUERIES["best_row"](spark, SF)
+        assert {k: int(spark.conf.get(k)) for k in SORTED_BYTES} == SORTED_BYTES
+        for k in SORTED_BYTES:
+            spark.conf.set(k, "1m")  # a session with smaller ones keeps them
+        ALL_QUERIES["best_row"](spark, SF)
+        assert {spark.conf.get(k) for k in SORTED_BYTES} == {"1m"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _nodes(plan):
+    children = plan.children()
+    return [plan, *(n for i in range(children.size()) for n in _nodes(children.apply(i)))]
+
+
 def test_no_query_uses_python_or_cross_products(spark):
     for name, q in ALL_QUERIES.items():
         plan = _plan(q(spark, SF))

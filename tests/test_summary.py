@@ -149,6 +149,23 @@ def test_facts_equal_the_detail(spark, frames):
         assert sorted(map(tuple, facts.call_flags(*t, names, by_sum=by_sum).collect()), key=str) == want
 
 
+def test_best_row_of_hot_repeated_and_null_calls(spark):
+    """Calls without modules, modules without calls, repeated and NULL ids, a hot call, NULL columns."""
+    call = lambda i, phone, result: (i, phone, result, None, None, None, 5, None, None, None, None)
+    calls = [call(1.0, "UNKNOWN", "z"), call(1.0, "6", "a"), call(1.0, "6", None), call(None, None, "n"), call(None, "7", None),
+             call(2.0, None, None), *[call(4.0, str(n), "r") for n in range(50)]]
+    mods = [(1.0, 1, "M", None, None), (1.0, 1, "M", None, None), (3.0, 1, "M", None, None), (None, 1, "M", None, None),
+            *[(4.0, n, "M", None, None) for n in range(40)]]
+    step = lambda i, s, phone, bill: (i, s, 1, "S", "OK", None, None, None, phone, bill)
+    steps = [step(1.0, 1, "UNKNOWN", "9"), step(1.0, 1, "5", None), step(1.0, 2, "5", "9"), step(3.0, 1, "5", "9"), step(None, 1, "5", "9"),
+             *[step(4.0, n % 40, str(n), "UNKNOWN") for n in range(200)]]
+    frames = [spark.createDataFrame(r, s) for r, s in ((calls, CALLS_SCHEMA), (mods, MODULES_SCHEMA), (steps, STEPS_SCHEMA))]
+    found = facts.best_row(prefixed_calls(frames[0]), *frames[1:])
+    assert rows(found) == rows(best_row(build_detail(*frames)))
+    assert {r["calls_ivr_id"]: (r["calls_phone_number"], r["calls_ivr_result"], r["customer_phone"], r["billing_account_id"]) for r in found.collect()} == {
+        None: ("7", None, None, None), 1.0: ("6", "a", "UNKNOWN", "9"), 2.0: (None, None, None, None), 4.0: ("9", "r", "99", "UNKNOWN")}
+
+
 def test_facts_of_empty_tables(spark):
     empty = [spark.createDataFrame([], s) for s in (CALLS_SCHEMA, MODULES_SCHEMA, STEPS_SCHEMA)]
     t = (prefixed_calls(empty[0]), *empty[1:])
